@@ -82,6 +82,15 @@ def shape_edges(shape: Column) -> Column:
     return F.flatten(F.transform(F.flatten(shape), ring_edges))
 
 
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value evaluated once."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _moments(a: Column, mx: Column, my: Column) -> Column:
+    return F.struct(a.alias("a"), mx.alias("mx"), my.alias("my"))
+
+
 def area_centroid(shape: Column) -> Column:
     """Centroid by area: parts weigh by size and holes count against them.
 
@@ -90,43 +99,35 @@ def area_centroid(shape: Column) -> Column:
     they are wound. A shape without area gives its vertex centroid.
     """
     origin = shape[0][0][0]
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-
-    def ring_moments(ring: Column) -> Column:
-        def add(acc: Column, e: Column) -> Column:
-            x1, y1 = e["x1"] - origin["lon"], e["y1"] - origin["lat"]
-            x2, y2 = e["x2"] - origin["lon"], e["y2"] - origin["lat"]
-            cross = x1 * y2 - x2 * y1
-            return F.struct(
-                (acc["a"] + cross).alias("a"),
-                (acc["mx"] + (x1 + x2) * cross).alias("mx"),
-                (acc["my"] + (y1 + y2) * cross).alias("my"),
-            )
+    zero = _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))
 
-        return F.aggregate(ring_edges(ring), zero, add)
+    def add_edge(acc: Column, e: Column) -> Column:
+        x1, y1 = e["x1"] - origin["lon"], e["y1"] - origin["lat"]
+        x2, y2 = e["x2"] - origin["lon"], e["y2"] - origin["lat"]
+        cross = x1 * y2 - x2 * y1
+        return _moments(acc["a"] + cross, acc["mx"] + (x1 + x2) * cross, acc["my"] + (y1 + y2) * cross)
 
     def signed(ring: Column, i: Column) -> Column:
-        moments = ring_moments(ring)
-        sign = F.when(moments["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0)) * F.when(
-            i == 0, F.lit(1.0)
-        ).otherwise(F.lit(-1.0))
-        return F.struct(
-            (sign * moments["a"]).alias("a"), (sign * moments["mx"]).alias("mx"), (sign * moments["my"]).alias("my")
-        )
+        role = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
 
-    def total(acc: Column, m: Column) -> Column:
-        return F.struct(
-            (acc["a"] + m["a"]).alias("a"), (acc["mx"] + m["mx"]).alias("mx"), (acc["my"] + m["my"]).alias("my")
+        def turn(m: Column) -> Column:
+            sign = role * F.when(m["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+            return _moments(sign * m["a"], sign * m["mx"], sign * m["my"])
+
+        return _let(F.aggregate(ring_edges(ring), zero, add_edge), turn)
+
+    def centre(m: Column) -> Column:
+        three_areas = 3 * F.nullif(m["a"], F.lit(0.0))
+        by_area = F.struct(
+            (origin["lon"] + m["mx"] / three_areas).alias("lon"), (origin["lat"] + m["my"] / three_areas).alias("lat")
         )
+        return F.when(m["a"] != 0, by_area).otherwise(vertex_centroid(shape))
 
-    summed = F.aggregate(F.flatten(F.transform(shape, lambda poly: F.transform(poly, signed))), zero, total)
-    return F.when(
-        summed["a"] != 0,
-        F.struct(
-            (origin["lon"] + summed["mx"] / (3 * F.nullif(summed["a"], F.lit(0.0)))).alias("lon"),
-            (origin["lat"] + summed["my"] / (3 * F.nullif(summed["a"], F.lit(0.0)))).alias("lat"),
-        ),
-    ).otherwise(vertex_centroid(shape))
+    rings = F.flatten(F.transform(shape, lambda polygon: F.transform(polygon, signed)))
+    total = F.aggregate(
+        rings, zero, lambda acc, m: _moments(acc["a"] + m["a"], acc["mx"] + m["mx"], acc["my"] + m["my"])
+    )
+    return _let(total, centre)
 
 
 def inside(lon: Column, lat: Column, edges: Column) -> Column:

@@ -104,7 +104,8 @@ def numeric_grounding(context: Column, answer: Column) -> Column:
 
 def faithfulness(route: Column, context: Column, answer: Column, judge: Column) -> Column:
     """Judge's score on the judged routes (-1 when there is none), numeric grounding elsewhere."""
-    judged = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), judge)), F.lit(-1.0))
+    # least and greatest skip nulls, so a missing score is tested first
+    judged = F.when(judge.isNull(), -1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), judge)))
     return F.when(route.isin(JUDGED_ROUTES), judged).otherwise(numeric_grounding(context, answer))
 
 

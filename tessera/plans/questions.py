@@ -35,6 +35,12 @@ def _by_borough(t: Tables, *measures: str) -> DataFrame:
     return per_area.join(t["dim_neighbourhood"].select("neighbourhood_id", "borough"), "neighbourhood_id")
 
 
+def correlation(x: str, y: str) -> Column:
+    """Pearson correlation; null when either measure does not vary."""
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+
+
 def listing_count(t: Tables) -> DataFrame:
     return t["dim_listing"].agg(_rows().alias("listings"))
 
@@ -139,7 +145,7 @@ def poi_and_score(t: Tables) -> DataFrame:
     """Points of interest and mean score per neighbourhood, with their correlation over all of them."""
     scored = t["dim_listing"].groupBy("neighbourhood_id").agg(F.avg("review_scores_rating").alias("avg_score"))
     rows = t["dim_neighbourhood"].join(scored, "neighbourhood_id").filter(F.col("avg_score").isNotNull())
-    related = rows.select(F.corr("poi_total", "avg_score")).scalar()
+    related = rows.select(correlation("poi_total", "avg_score")).scalar()
     return rows.select("neighbourhood", "borough", "poi_total", "avg_score", related.alias("correlation"))
 
 
@@ -174,7 +180,7 @@ def complaints_and_score(t: Tables) -> DataFrame:
     rows = noise.join(scored, "borough").withColumn(
         "complaints_per_listing", F.col("complaints") / F.col("listings")
     )
-    related = rows.select(F.corr("complaints_per_listing", "avg_score")).scalar()
+    related = rows.select(correlation("complaints_per_listing", "avg_score")).scalar()
     return rows.select("borough", "complaints", "listings", "complaints_per_listing", "avg_score", related.alias("correlation"))
 
 

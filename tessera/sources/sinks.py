@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,11 +54,11 @@ def reload_published(spark: SparkSession, gold_path: str, tables: list[str], pre
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, row_count) in one plan."""
-    counts = [df.select(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
-    out = counts[0]
-    for other in counts[1:]:
-        out = out.unionByName(other)
-    return out
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def write_index(documents: DataFrame, path: str) -> tuple[DataFrame, int]:

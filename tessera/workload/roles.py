@@ -121,7 +121,7 @@ def raw_complaints(spark: SparkSession, sf: str) -> DataFrame:
 
 def places(spark: SparkSession, sf: str) -> DataFrame:
     """Parts as stored places, one row each."""
-    rows = table(spark, sf, "part").withColumn("_nation", F.expr("cast(p_partkey % 25 AS int)"))
+    rows = table(spark, sf, "part").withColumn("_nation", F.expr("cast(p_partkey % 7 * p_size % 25 AS int)"))
     return rows.join(boroughs(spark, sf), F.col("_nation") == F.col("n_nationkey")).selectExpr(
         "concat('place-', p_partkey) AS place_id",
         "p_name AS name",
@@ -136,6 +136,7 @@ def places(spark: SparkSession, sf: str) -> DataFrame:
         "-74.25D + cast(p_partkey * 7919 % 10000 AS double) * 0.000055D AS lon",
         "40.5D + cast(p_partkey * 104729 % 10000 AS double) * 0.000040D AS lat",
         "p_partkey",
+        "n_nationkey",
     )
 
 
@@ -145,7 +146,7 @@ def place_hits(spark: SparkSession, sf: str) -> DataFrame:
     areas = boroughs(spark, sf).select(F.col("n_nationkey").alias("_n"), F.col("neighbourhood").alias("file"))
     turns = F.explode(
         F.array(
-            F.struct(F.expr("cast(p_partkey % 25 AS int)").alias("n"), F.lit(0).alias("shift")),
+            F.struct(F.col("n_nationkey").alias("n"), F.lit(0).alias("shift")),
             F.struct(F.expr("cast((p_partkey * 7 + 3) % 25 AS int)").alias("n"), F.lit(1).alias("shift")),
         )
     )
