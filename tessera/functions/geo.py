@@ -42,117 +42,85 @@ def reach_lon(lat: Column, radius_m: float) -> Column:
     )
 
 
-def drop_repeats(ring: Column) -> Column:
-    """Remove vertices equal to the one before them."""
-    return F.filter(ring, lambda p, i: (i == 0) | (p != ring[F.greatest(i - 1, F.lit(0))]))
-
-
-def tidy_shape(shape: Column) -> Column:
-    return F.transform(shape, lambda polygon: F.transform(polygon, drop_repeats))
-
-
-def _mean(values: Column) -> Column:
-    total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return total / F.nullif(F.size(values), F.lit(0))
+def tidy_shape(shape: str) -> Column:
+    """Remove vertices equal to the one before them, in every ring."""
+    return F.expr(
+        f"""transform({shape}, polygon -> transform(polygon, ring ->
+            filter(ring, (p, i) -> i = 0 OR p <> ring[greatest(i - 1, 0)])))"""
+    )
 
 
-def vertex_centroid(shape: Column) -> Column:
+def vertex_centroid(shape: str) -> Column:
     """Mean of the outline vertices of each part, then the mean over parts.
 
     The closing vertex counts like any other, and parts weigh the same whatever
     their area.
     """
-    lon = _mean(F.transform(shape, lambda poly: _mean(F.transform(poly[0], lambda p: p["lon"]))))
-    lat = _mean(F.transform(shape, lambda poly: _mean(F.transform(poly[0], lambda p: p["lat"]))))
-    return F.struct(lon.alias("lon"), lat.alias("lat"))
-
-
-def ring_edges(ring: Column) -> Column:
-    """Consecutive vertex pairs, the ring closed if it is not."""
-    def edge(p: Column, i: Column) -> Column:
-        nxt = F.try_element_at(ring, F.when(i + 1 < F.size(ring), i + 2).otherwise(F.lit(1)).cast("int"))
-        return F.struct(
-            p["lon"].alias("x1"), p["lat"].alias("y1"), nxt["lon"].alias("x2"), nxt["lat"].alias("y2")
-        )
+    def mean(axis: str) -> str:
+        ring_mean = f"aggregate(polygon[0], 0D, (s, p) -> s + p.{axis}) / nullif(size(polygon[0]), 0)"
+        return f"aggregate({shape}, 0D, (s, polygon) -> s + {ring_mean}) / nullif(size({shape}), 0)"
 
-    return F.transform(ring, edge)
+    return F.expr(f"named_struct('lon', {mean('lon')}, 'lat', {mean('lat')})")
 
 
-def shape_edges(shape: Column) -> Column:
-    return F.flatten(F.transform(F.flatten(shape), ring_edges))
-
-
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with the value evaluated once."""
-    return F.transform(F.array(value), then)[0]
-
-
-def _moments(a: Column, mx: Column, my: Column) -> Column:
-    return F.struct(a.alias("a"), mx.alias("mx"), my.alias("my"))
+def shape_edges(shape: str) -> Column:
+    """Consecutive vertex pairs of all rings of a shape, rings closed where they are not."""
+    return F.expr(
+        f"""flatten(transform(flatten({shape}), ring -> transform(ring, (p, i) -> named_struct(
+            'x1', p.lon, 'y1', p.lat,
+            'x2', ring[(i + 1) % size(ring)].lon, 'y2', ring[(i + 1) % size(ring)].lat))))"""
+    )
 
 
-def area_centroid(shape: Column) -> Column:
+def area_centroid(shape: str) -> Column:
     """Centroid by area: parts weigh by size and holes count against them.
 
-    Each ring's moments are taken about the shape's first vertex, which keeps the
-    products small, and signed so that outlines add and holes subtract whatever way
-    they are wound. A shape without area gives its vertex centroid.
+    Each ring's moments are taken about the shape's first vertex ``o``, which keeps
+    the products small, and signed so that outlines add and holes subtract whatever
+    way they are wound. A shape without area gives its vertex centroid. One-element
+    arrays bind a value that is used more than once.
     """
-    origin = shape[0][0][0]
-    zero = _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))
-
-    def add_edge(acc: Column, e: Column) -> Column:
-        x1, y1 = e["x1"] - origin["lon"], e["y1"] - origin["lat"]
-        x2, y2 = e["x2"] - origin["lon"], e["y2"] - origin["lat"]
-        cross = x1 * y2 - x2 * y1
-        return _moments(acc["a"] + cross, acc["mx"] + (x1 + x2) * cross, acc["my"] + (y1 + y2) * cross)
-
-    def signed(ring: Column, i: Column) -> Column:
-        role = F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0))
-
-        def turn(m: Column) -> Column:
-            sign = role * F.when(m["a"] < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-            return _moments(sign * m["a"], sign * m["mx"], sign * m["my"])
-
-        return _let(F.aggregate(ring_edges(ring), zero, add_edge), turn)
-
-    def centre(m: Column) -> Column:
-        three_areas = 3 * F.nullif(m["a"], F.lit(0.0))
-        by_area = F.struct(
-            (origin["lon"] + m["mx"] / three_areas).alias("lon"), (origin["lat"] + m["my"] / three_areas).alias("lat")
-        )
-        return F.when(m["a"] != 0, by_area).otherwise(vertex_centroid(shape))
-
-    rings = F.flatten(F.transform(shape, lambda polygon: F.transform(polygon, signed)))
-    total = F.aggregate(
-        rings, zero, lambda acc, m: _moments(acc["a"] + m["a"], acc["mx"] + m["mx"], acc["my"] + m["my"])
+    nothing = "named_struct('a', 0D, 'mx', 0D, 'my', 0D)"
+    cross = "(e.x1 * e.y2 - e.x2 * e.y1)"
+    sign = "(CASE WHEN r = 0 THEN 1D ELSE -1D END) * (CASE WHEN m.a < 0 THEN -1D ELSE 1D END)"
+    edges = """transform(ring, (p, i) -> named_struct(
+        'x1', p.lon - o.lon, 'y1', p.lat - o.lat,
+        'x2', ring[(i + 1) % size(ring)].lon - o.lon, 'y2', ring[(i + 1) % size(ring)].lat - o.lat))"""
+    ring_moments = f"""aggregate({edges}, {nothing}, (m, e) -> named_struct(
+        'a', m.a + {cross}, 'mx', m.mx + (e.x1 + e.x2) * {cross}, 'my', m.my + (e.y1 + e.y2) * {cross}))"""
+    signed = f"""transform(array({ring_moments}), m -> named_struct(
+        'a', {sign} * m.a, 'mx', {sign} * m.mx, 'my', {sign} * m.my))[0]"""
+    total = f"""aggregate(
+        flatten(transform({shape}, polygon -> transform(polygon, (ring, r) -> {signed}))), {nothing},
+        (t, m) -> named_struct('a', t.a + m.a, 'mx', t.mx + m.mx, 'my', t.my + m.my))"""
+    by_area = "named_struct('lon', o.lon + t.mx / (3 * t.a), 'lat', o.lat + t.my / (3 * t.a))"
+    centre = F.expr(
+        f"""transform(array({shape}[0][0][0]), o -> transform(array({total}), t ->
+            CASE WHEN t.a <> 0 THEN {by_area} END)[0])[0]"""
     )
-    return _let(total, centre)
+    return F.coalesce(centre, vertex_centroid(shape))
 
 
-def inside(lon: Column, lat: Column, edges: Column) -> Column:
+def inside(lon: str, lat: str, edges: str) -> Column:
     """Even-odd ray cast over all edges of a shape, holes and further parts included.
 
     Edges are half-open in latitude and the crossing must lie strictly to the east,
-    so of two shapes that share an edge exactly one holds a point on it.
+    so of two shapes that share an edge exactly one holds a point on it. An edge that
+    spans the latitude is never level, so the division is safe.
     """
-    def crossings(acc: Column, e: Column) -> Column:
-        spans = (e["y1"] > lat) != (e["y2"] > lat)
-        # the divisor is zero only where spans is false
-        run = F.when(e["y2"] == e["y1"], F.lit(1.0)).otherwise(e["y2"] - e["y1"])
-        east = lon < (e["x2"] - e["x1"]) * (lat - e["y1"]) / run + e["x1"]
-        return acc + F.when(spans & east, F.lit(1)).otherwise(F.lit(0))
-
-    return F.aggregate(edges, F.lit(0), crossings) % 2 == 1
+    spans = f"(e.y1 > {lat}) <> (e.y2 > {lat})"
+    crossing = f"(e.x2 - e.x1) * ({lat} - e.y1) / (e.y2 - e.y1) + e.x1"
+    return F.expr(
+        f"""aggregate({edges}, 0, (n, e) ->
+            n + CASE WHEN {spans} THEN CASE WHEN {lon} < {crossing} THEN 1 ELSE 0 END ELSE 0 END) % 2 = 1"""
+    )
 
 
-def bounds(edges: Column) -> Column:
-    def extreme(pick, field: str) -> Column:
-        return pick(F.transform(edges, lambda e: e[field]))
+def bounds(edges: str) -> Column:
+    def extreme(pick: str, field: str) -> str:
+        return f"{pick}({edges}.{field})"
 
-    return F.struct(
-        extreme(F.array_min, "x1").alias("west"),
-        extreme(F.array_max, "x1").alias("east"),
-        extreme(F.array_min, "y1").alias("south"),
-        extreme(F.array_max, "y1").alias("north"),
+    return F.expr(
+        f"""named_struct('west', {extreme('array_min', 'x1')}, 'east', {extreme('array_max', 'x1')},
+            'south', {extreme('array_min', 'y1')}, 'north', {extreme('array_max', 'y1')})"""
     )

@@ -98,8 +98,8 @@ def points_in_shapes(
     ``shapes`` carries a ``shape`` column. Shapes are repeated for the cells of their
     bounding box and for each salt; points are not repeated.
     """
-    edged = shapes.select(shape_id, geo.shape_edges(F.col("shape")).alias("_edges")).withColumn(
-        "_box", geo.bounds(F.col("_edges"))
+    edged = shapes.select(shape_id, geo.shape_edges("shape").alias("_edges")).withColumn(
+        "_box", geo.bounds("_edges")
     )
     cells = (
         edged.withColumn(
@@ -123,7 +123,7 @@ def points_in_shapes(
     )
     return (
         placed.join(cells, ["_row", "_column", "_salt"])
-        .filter(in_box & geo.inside(F.col("_lon"), F.col("_lat"), F.col("_edges")))
+        .filter(in_box & geo.inside("_lon", "_lat", "_edges"))
         .select(shape_id, point_id)
     )
 

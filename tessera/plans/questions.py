@@ -6,6 +6,8 @@ that only groups, not rows, meet it.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from tessera.operators.keep import keep_first
 from tessera.operators.lookback import lookback_means
 from tessera.operators.nearby import places_find, places_group
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 
 def _rows() -> Column:

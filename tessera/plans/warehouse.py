@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_ROWS = 100
 MOST_ROWS = 1000
 
 
-def register_views(tables: dict[str, DataFrame]) -> None:
+def register_views(tables: Mapping[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
 

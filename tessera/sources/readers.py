@@ -180,13 +180,15 @@ def read_boundaries(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 def boundary_documents(boundaries: DataFrame) -> DataFrame:
     """Name, borough, tidied shape, both centroids and load time."""
-    shape = geo.tidy_shape(F.col("shape"))
-    return boundaries.select(
+    tidied = boundaries.withColumns(
+        {"vertex_centroid": geo.vertex_centroid("shape"), "shape": geo.tidy_shape("shape")}
+    )
+    return tidied.select(
         "neighbourhood",
         "borough",
-        shape.alias("shape"),
-        geo.vertex_centroid(F.col("shape")).alias("vertex_centroid"),
-        geo.area_centroid(shape).alias("area_centroid"),
+        "shape",
+        "vertex_centroid",
+        geo.area_centroid("shape").alias("area_centroid"),
         F.current_timestamp().alias("loaded_at"),
     )
 

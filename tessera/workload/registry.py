@@ -16,7 +16,7 @@ from tessera.functions import calendar, casts, geo, nested, text
 from tessera.functions.vectors import dot
 from tessera.operators import keep, lookback, lookup, nearby, scoring, search, strata
 from tessera.plans import gold, questions, silver, warehouse
-from tessera.session import scratch_path
+from tessera.session import scratch_path, settle
 from tessera.sources import landing, lineage, readers, sinks
 from tessera.streaming.incremental import land_new_files
 from tessera.workload import roles
@@ -222,14 +222,15 @@ def _boundary_file(spark, sf):
 def geojson_features(spark, sf):
     """Boundaries written as feature collections and read back as nested points."""
     rings = F.flatten("shape")
-    return _boundary_file(spark, sf).select(
+    edged = _boundary_file(spark, sf).withColumn("_edges", geo.shape_edges("shape"))
+    return edged.withColumn("_box", geo.bounds("_edges")).select(
         "neighbourhood",
         "borough",
         F.size("shape").alias("parts"),
         F.size(rings).alias("rings"),
         F.size(F.flatten(rings)).alias("vertices"),
-        geo.bounds(geo.shape_edges(F.col("shape")))["west"].alias("west"),
-        geo.bounds(geo.shape_edges(F.col("shape")))["south"].alias("south"),
+        "_box.west",
+        "_box.south",
     )
 
 
@@ -631,16 +632,25 @@ def nested_scalars(spark, sf):
     FROM shape""",
 )
 def centroids(spark, sf):
-    shape = F.col("shape")
-    tidy = geo.tidy_shape(F.transform(shape, lambda p: F.transform(p, lambda r: F.concat(F.slice(r, 1, 1), r))))
-    return roles.shapes(spark, sf).select(
+    """Both centroids, and repeated vertices put in and removed again."""
+    rows = roles.shapes(spark, sf).withColumn(
+        "_repeated", F.expr("transform(shape, polygon -> transform(polygon, ring -> concat(slice(ring, 1, 1), ring)))")
+    )
+    found = rows.select(
+        "neighbourhood",
+        F.size(F.flatten(F.flatten("shape"))).alias("vertices_before"),
+        F.size(F.flatten(F.flatten(geo.tidy_shape("_repeated")))).alias("vertices_after"),
+        geo.vertex_centroid("shape").alias("_vertex"),
+        geo.area_centroid("shape").alias("_area"),
+    )
+    return found.select(
         "neighbourhood",
-        F.size(F.flatten(F.flatten(shape))).alias("vertices_before"),
-        F.size(F.flatten(F.flatten(tidy))).alias("vertices_after"),
-        geo.vertex_centroid(shape)["lon"].alias("vertex_lon"),
-        geo.vertex_centroid(shape)["lat"].alias("vertex_lat"),
-        geo.area_centroid(shape)["lon"].alias("area_lon"),
-        geo.area_centroid(shape)["lat"].alias("area_lat"),
+        "vertices_before",
+        "vertices_after",
+        F.col("_vertex.lon").alias("vertex_lon"),
+        F.col("_vertex.lat").alias("vertex_lat"),
+        F.col("_area.lon").alias("area_lon"),
+        F.col("_area.lat").alias("area_lat"),
     )
 
 
@@ -839,8 +849,8 @@ _CENTRE_LON, _CENTRE_LAT = f"(x + {roles.CELL_LON}::DOUBLE / 2)", f"(y + {roles.
 )
 def geo_radius_join(spark, sf):
     """Every place within 1,000 m of the middle of every boundary."""
-    middle = geo.area_centroid(F.col("shape"))
-    centres = roles.shapes(spark, sf).select("neighbourhood", middle["lon"].alias("lon"), middle["lat"].alias("lat"))
+    documents = readers.boundary_documents(roles.shapes(spark, sf))
+    centres = settle(documents.select("neighbourhood", "area_centroid.lon", "area_centroid.lat"), "boundary-centres")
     joined = nearby.radius_join(centres, roles.places(spark, sf), 1000.0, "neighbourhood", "place_id")
     return joined.withColumn("dist_metres", F.round("dist_metres", 2))
 

@@ -7,6 +7,7 @@ every role covers its whole table.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -316,31 +317,53 @@ def _once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
 
 
-def star(spark: SparkSession, sf: str, settled: bool = True) -> dict[str, DataFrame]:
-    """The star schema over the roles.
+class Star(Mapping):
+    """The star schema over the roles, each table made when it is first asked for.
 
     Days, neighbourhoods, monthly complaints and daily weather are written once and
     read back, so that joins with them are planned by their file size. Listings,
     hosts and the two facts stay plans, of which each query keeps what it needs.
     """
-    def small(name, build):
-        return _once(spark, sf, name, build) if settled else build()
-
-    found = listings(spark, sf)
-    dated = reviews(spark, sf)
-    areas = small("dim_neighbourhood", lambda: gold.dim_neighbourhood(found, clean_places(spark, sf), PLACE_TYPES))
-    days = small("dim_date", lambda: gold.dim_date(dated))
-    noise = small("noise_borough_month", lambda: gold.noise_borough_month(complaints(spark, sf)))
-    daily = small("weather", lambda: weather(spark, sf))
-    listed = gold.dim_listing(found, areas)
-    fact = gold.fact_review(dated, listed, areas, days, noise)
-    return {
-        "dim_date": days,
-        "dim_neighbourhood": areas,
-        "dim_host": gold.dim_host(found),
-        "dim_listing": listed,
-        "noise_borough_month": noise,
-        "fact_review": fact,
-        "fact_review_weather": gold.fact_review_weather(fact, daily),
-        "weather": daily,
-    }
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self._at = (spark, sf)
+        self._made: dict[str, DataFrame] = {}
+        self._makers = {
+            "dim_date": lambda: self._small("dim_date", lambda: gold.dim_date(reviews(spark, sf))),
+            "dim_neighbourhood": lambda: self._small(
+                "dim_neighbourhood",
+                lambda: gold.dim_neighbourhood(listings(spark, sf), clean_places(spark, sf), PLACE_TYPES),
+            ),
+            "dim_host": lambda: gold.dim_host(listings(spark, sf)),
+            "dim_listing": lambda: gold.dim_listing(listings(spark, sf), self["dim_neighbourhood"]),
+            "noise_borough_month": lambda: self._small(
+                "noise_borough_month", lambda: gold.noise_borough_month(complaints(spark, sf))
+            ),
+            "fact_review": lambda: gold.fact_review(
+                reviews(spark, sf),
+                self["dim_listing"],
+                self["dim_neighbourhood"],
+                self["dim_date"],
+                self["noise_borough_month"],
+            ),
+            "fact_review_weather": lambda: gold.fact_review_weather(self["fact_review"], self["weather"]),
+            "weather": lambda: self._small("weather", lambda: weather(spark, sf)),
+        }
+
+    def _small(self, name: str, build) -> DataFrame:
+        return _once(*self._at, name, build)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def star(spark: SparkSession, sf: str) -> Star:
+    return Star(spark, sf)
