@@ -105,7 +105,8 @@ def stable_key(*parts: Column) -> Column:
 
 
 def decode_entities(value: Column) -> Column:
-    return reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ENTITIES.items(), value)
+    decoded = reduce(lambda c, kv: F.replace(c, F.lit(kv[0]), F.lit(kv[1])), ENTITIES.items(), value)
+    return F.when(F.contains(value, F.lit("&")), decoded).otherwise(value)
 
 
 def intro_paragraphs(html: Column) -> Column:

@@ -20,9 +20,14 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column], n: int = 1,
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """One row per key. Remaining columns break ties, so the choice never depends on file order."""
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    return keep_first(df, keys, [*(order or []), *rest] or [F.lit(1)])
+    """One row per key: the first in ``order``, then by a hash of the remaining columns.
+
+    The hash makes the choice independent of file and task order without a sort over
+    every column.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    tie = [F.xxhash64(*rest)] if rest else [F.lit(1)]
+    return keep_first(df, keys, [*(order or []), *tie])
 
 
 def last_writer_wins(df: DataFrame, key: str, file: str, position: str) -> DataFrame:

@@ -13,11 +13,13 @@ from pyspark.sql import types as T
 from tessera.functions.text import long_enough, strip, strip_citations
 from tessera.functions.vectors import dot, literal_vector
 from tessera.operators.keep import keep_first
+from tessera.operators.strata import sample_rows
 
 Encoder = Callable[[list[str]], np.ndarray]
 
-# Texts per encoder call, least characters, and result counts.
+# Texts per encoder call, size of the review sample, least characters, result counts.
 ENCODE_BATCH = 64
+MAX_REVIEWS = 50_000
 LEAST_REVIEW_CHARS = 20
 LEAST_PARAGRAPH_CHARS = 30
 REVIEW_RESULTS, REVIEW_RESULTS_MAX = 10, 50
@@ -244,6 +246,25 @@ def review_documents(reviews: DataFrame) -> DataFrame:
     )
 
 
+def build_review_index(
+    reviews: DataFrame, load_encoder: Callable[[], Encoder], sample_size: int = MAX_REVIEWS
+) -> DataFrame:
+    """Sampled, numbered and embedded review documents.
+
+    The sample decides which texts are encoded at all; expects neighbourhood,
+    listing_id, review_date, review_key, comments.
+    """
+    chosen = sample_rows(reviews, "neighbourhood", "listing_id", ["review_date", "review_key"], sample_size)
+    return embed(review_documents(chosen), "document", load_encoder)
+
+
+def build_context_index(
+    articles: DataFrame, load_encoder: Callable[[], Encoder], boroughs: DataFrame | None = None
+) -> DataFrame:
+    """Embedded paragraphs of all articles."""
+    return embed(paragraph_documents(articles, boroughs), "document", load_encoder)
+
+
 def paragraph_documents(articles: DataFrame, boroughs: DataFrame | None = None) -> DataFrame:
     """One index document per intro paragraph, numbered by its place in the article.
 

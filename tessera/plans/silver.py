@@ -111,4 +111,4 @@ def clean_places(raw: DataFrame) -> DataFrame:
         "name",
         *[F.col(c).try_cast("double").alias(c) for c in ("rating", "lat", "lng")],
     ).filter(F.col("place_id").isNotNull())
-    return keep_one(rows, ["neighbourhood", "place_type", "place_id"])
+    return keep_one(rows, ["neighbourhood", "place_type", "place_id"], [F.col("name").asc_nulls_last()])

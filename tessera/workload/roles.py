@@ -6,7 +6,6 @@ every role covers its whole table.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,13 +14,13 @@ from pyspark.sql.types import StructType
 
 from tessera.operators.scoring import CONTEXT_TOOL, GEODATA_TOOL, REVIEW_TOOL, ROUTES, WAREHOUSE_TOOL, question_answer_pairs
 from tessera.plans import gold, silver
-from tessera.session import settle
+from tessera.session import scratch_path
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 PLACE_TYPES = ["ECONOMY", "STANDARD", "PROMO", "MEDIUM", "LARGE", "SMALL"]
 WEST, SOUTH, CELL_LON, CELL_LAT = -74.25, 40.5, 0.11, 0.08
 
-_SETTLED: dict[tuple[str, str, str], tuple[str, str]] = {}
+_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -307,38 +306,42 @@ def clean_places(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean_places(places(spark, sf).withColumnRenamed("lon", "lng"))
 
 
-def _once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """A dimension written once per application, then read back with its real size."""
+def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A table written once per application, then read back: published, in the shared folder."""
     key = (spark.sparkContext.applicationId, sf, name)
-    if key not in _SETTLED:
-        written = settle(build(), name)
-        _SETTLED[key] = (written.inputFiles()[0].rsplit("/", 1)[0], written.schema.json())
-    path, schema = _SETTLED[key]
-    return spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(path)
+    if key not in _WRITTEN:
+        df = build()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+        _WRITTEN[key] = (path, df.schema)
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path)
 
 
 class Star(Mapping):
     """The star schema over the roles, each table made when it is first asked for.
 
-    Days, neighbourhoods, monthly complaints and daily weather are written once and
-    read back, so that joins with them are planned by their file size. Listings,
-    hosts and the two facts stay plans, of which each query keeps what it needs.
+    ``published`` tables are written once and read back, as a warehouse is loaded once
+    and then queried; reads are pruned to the columns a question needs. Otherwise only
+    the four small tables (days, neighbourhoods, monthly complaints, daily weather)
+    are written, so that joins with them are planned by their file size, and the rest
+    are plans from the raw roles. The bridge always stays a plan.
     """
 
-    def __init__(self, spark: SparkSession, sf: str):
+    SMALL = ("dim_date", "dim_neighbourhood", "noise_borough_month", "weather")
+    LARGE = ("dim_host", "dim_listing", "fact_review")
+
+    def __init__(self, spark: SparkSession, sf: str, published: bool = True):
         self._at = (spark, sf)
-        self._made: dict[str, DataFrame] = {}
+        self._written = self.SMALL + (self.LARGE if published else ())
         self._makers = {
-            "dim_date": lambda: self._small("dim_date", lambda: gold.dim_date(reviews(spark, sf))),
-            "dim_neighbourhood": lambda: self._small(
-                "dim_neighbourhood",
-                lambda: gold.dim_neighbourhood(listings(spark, sf), clean_places(spark, sf), PLACE_TYPES),
+            "dim_date": lambda: gold.dim_date(reviews(spark, sf)),
+            "dim_neighbourhood": lambda: gold.dim_neighbourhood(
+                listings(spark, sf), clean_places(spark, sf), PLACE_TYPES
             ),
             "dim_host": lambda: gold.dim_host(listings(spark, sf)),
             "dim_listing": lambda: gold.dim_listing(listings(spark, sf), self["dim_neighbourhood"]),
-            "noise_borough_month": lambda: self._small(
-                "noise_borough_month", lambda: gold.noise_borough_month(complaints(spark, sf))
-            ),
+            "noise_borough_month": lambda: gold.noise_borough_month(complaints(spark, sf)),
             "fact_review": lambda: gold.fact_review(
                 reviews(spark, sf),
                 self["dim_listing"],
@@ -347,16 +350,12 @@ class Star(Mapping):
                 self["noise_borough_month"],
             ),
             "fact_review_weather": lambda: gold.fact_review_weather(self["fact_review"], self["weather"]),
-            "weather": lambda: self._small("weather", lambda: weather(spark, sf)),
+            "weather": lambda: weather(spark, sf),
         }
 
-    def _small(self, name: str, build) -> DataFrame:
-        return _once(*self._at, name, build)
-
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = self._makers[name]()
-        return self._made[name]
+        make = self._makers[name]
+        return once(*self._at, name, make) if name in self._written else make()
 
     def __iter__(self):
         return iter(self._makers)
@@ -367,3 +366,7 @@ class Star(Mapping):
 
 def star(spark: SparkSession, sf: str) -> Star:
     return Star(spark, sf)
+
+
+def star_plans(spark: SparkSession, sf: str) -> Star:
+    return Star(spark, sf, published=False)
