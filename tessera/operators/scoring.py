@@ -166,6 +166,12 @@ def scored_context(results: DataFrame, question: str = "id") -> DataFrame:
     return results.groupBy(question).agg(joined.alias("context"))
 
 
+def context_or_default(questions: DataFrame, contexts: DataFrame, question: str = "id") -> DataFrame:
+    """One row per question, also for those whose run returned nothing."""
+    keys = questions.select(question)
+    return keys.join(contexts, question, "left").withColumn("context", F.coalesce("context", F.lit(NO_RESULTS)))
+
+
 def _joined_in_order(entry: Column, separator: str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["piece"]), separator)
 

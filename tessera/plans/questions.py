@@ -237,5 +237,10 @@ def reviews_by_weather(t: Tables, wet: list[float], warm: list[float]) -> DataFr
 
 
 def band(value: Column, edges: list[float]) -> Column:
-    """Number of edges at or below the value; null stays null."""
-    return F.when(value.isNotNull(), sum(((value >= F.lit(e)).cast("int") for e in edges), F.lit(0)))
+    """Number of edges at or below the value; null stays null.
+
+    The value is rounded to nine digits first, so that a mean that falls on an edge
+    lands on the same side whatever order it was summed in.
+    """
+    steps = ((F.round(value, 9) >= F.lit(e)).cast("int") for e in edges)
+    return F.when(value.isNotNull(), sum(steps, F.lit(0)))
