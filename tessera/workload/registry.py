@@ -1104,11 +1104,11 @@ def context_index(spark, sf):
     return _digest(stored)
 
 
-def _review_index(spark, sf):
+def published_review_index(spark, sf):
     return roles.once(spark, sf, "review_index", lambda: _build_review_index(spark, sf))
 
 
-def _context_index(spark, sf):
+def published_context_index(spark, sf):
     return roles.once(spark, sf, "context_index", lambda: _build_context_index(spark, sf))
 
 
@@ -1124,7 +1124,7 @@ CHECK_IN = "smooth self check-in with clear instructions"
 @query("q04_checkin_texts", _review_search_sql(CHECK_IN, 10))
 def q04_checkin_texts(spark, sf):
     """Texts closest to a question, over all valid texts."""
-    hits = search.search_reviews(_review_index(spark, sf), CHECK_IN, search.LetterProfile())
+    hits = search.search_reviews(published_review_index(spark, sf), CHECK_IN, search.LetterProfile())
     return hits.withColumn("text_md5", F.md5("document")).drop("document")
 
 
@@ -1137,7 +1137,7 @@ CHARACTER = "the character and history of the area"
     FROM paragraph ORDER BY similarity DESC, id LIMIT 5""",
 )
 def context_topk(spark, sf):
-    hits = search.neighbourhood_context(_context_index(spark, sf), CHARACTER, search.LetterProfile())
+    hits = search.neighbourhood_context(published_context_index(spark, sf), CHARACTER, search.LetterProfile())
     return hits.select("id", F.md5("document").alias("text_md5"), "neighbourhood", "borough", "similarity")
 
 
@@ -1154,7 +1154,7 @@ def _dual_sql(words: str, review_where: str, context_where: str) -> str:
 
 
 def _dual(spark, sf, words: str, neighbourhood: str | None = None):
-    reviews, context = _review_index(spark, sf), _context_index(spark, sf)
+    reviews, context = published_review_index(spark, sf), published_context_index(spark, sf)
     hits = search.dual_search(reviews, context, words, search.LetterProfile(), neighbourhood)
     return hits.select("source", "id", F.md5("document").alias("text_md5"), "neighbourhood", "similarity")
 
@@ -1348,7 +1348,7 @@ SUPERHOST = "responsive superhost, spotless and thoughtful extras"
 
 @query("q17_superhost_texts", _review_search_sql(SUPERHOST, 5))
 def q17_superhost_texts(spark, sf):
-    hits = search.search_reviews(_review_index(spark, sf), SUPERHOST, search.LetterProfile(), 5)
+    hits = search.search_reviews(published_review_index(spark, sf), SUPERHOST, search.LetterProfile(), 5)
     return hits.withColumn("text_md5", F.md5("document")).drop("document")
 
 
