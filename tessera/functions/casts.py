@@ -23,12 +23,20 @@ def to_int(value: Column | str) -> Column:
     return to_double(value).try_cast("int")
 
 
-def to_date(value: Column | str, pattern: str | None = None) -> Column:
-    if pattern:
-        return F.try_to_date(_col(value), pattern)
+def to_date(value: Column | str) -> Column:
     return _col(value).try_cast("date")
 
 
+def iso_millis_to_date(value: Column | str) -> Column:
+    """Date of a text like 2024-05-06T23:59:59.000; any other form gives null.
+
+    The cast parses without a pattern object and needs no time zone; the test in front
+    of it keeps out the shorter forms that the cast alone would take.
+    """
+    exact = _col(value).rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{3}$")
+    return F.when(exact, _col(value).try_cast("timestamp_ntz").cast("date"))
+
+
 def flag(value: Column | str) -> Column:
     """"t" is true, any other text false, null stays null."""
     return _col(value) == F.lit("t")

@@ -1,4 +1,4 @@
-"""Spatial queries: near a point, within a radius, inside a shape, find and group."""
+"""Spatial queries: near a point, within a radius, inside a shape."""
 
 from __future__ import annotations
 
@@ -126,50 +126,3 @@ def points_in_shapes(
         .filter(in_box & geo.inside("_lon", "_lat", "_edges"))
         .select(shape_id, point_id)
     )
-
-
-def places_find(
-    places: DataFrame,
-    place_type: str | None = None,
-    borough: str | None = None,
-    neighbourhood: str | None = None,
-    min_rating: float | None = None,
-    rated_only: bool = False,
-    columns: list[str] | None = None,
-    sort: list[tuple[str, int]] | None = None,
-    limit: int = 20,
-) -> DataFrame:
-    """Documents that satisfy all given predicates, sorted and capped at 1..200 rows.
-
-    ``place_type`` matches any entry of the ``types`` array. Sort directions are 1
-    and -1; missing values sort first ascending and last descending.
-    """
-    found = places
-    if place_type is not None:
-        found = found.filter(F.array_contains("types", place_type))
-    if borough is not None:
-        found = found.filter(F.col("borough") == borough)
-    if neighbourhood is not None:
-        found = found.filter(F.col("neighbourhood") == neighbourhood)
-    if rated_only:
-        found = found.filter(F.col("rating").isNotNull())
-    if min_rating is not None:
-        found = found.filter(F.col("rating") > min_rating)
-    if sort:
-        found = found.orderBy(*[F.col(c).asc_nulls_first() if d > 0 else F.col(c).desc_nulls_last() for c, d in sort])
-    found = found.limit(max(1, min(int(limit), 200)))
-    return found.select(*columns) if columns else found
-
-
-def places_group(places: DataFrame, by: str, place_type: str | None = None, rated_only: bool = True) -> DataFrame:
-    """Mean rating and number of places per group, best first."""
-    chosen = places
-    if place_type is not None:
-        chosen = chosen.filter(F.array_contains("types", place_type))
-    if rated_only:
-        chosen = chosen.filter(F.col("rating").isNotNull())
-    return (
-        chosen.groupBy(by)
-        .agg(F.avg("rating").alias("avg_rating"), F.count(F.lit(1)).alias("place_count"))
-        .orderBy(F.col("avg_rating").desc_nulls_last(), F.col(by))
-    )

@@ -11,9 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.documents import places_find, places_group
 from tessera.operators.keep import keep_first
 from tessera.operators.lookback import lookback_means
-from tessera.operators.nearby import places_find, places_group
 
 Tables = Mapping[str, DataFrame]
 
@@ -56,7 +56,7 @@ def top_places(places: DataFrame, place_type: str, borough: str, n: int = 5) ->
         places,
         place_type=place_type,
         borough=borough,
-        columns=["place_id", "name", "neighbourhood", "rating"],
+        include=["place_id", "name", "neighbourhood", "rating"],
         sort=[("rating", -1), ("place_id", 1)],
         limit=n,
     )

@@ -17,7 +17,6 @@ BOROUGHS = {
     "BRONX": "Bronx",
     "STATEN ISLAND": "Staten Island",
 }
-COMPLAINT_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
 SCORES = [
     "review_scores_rating",
@@ -92,7 +91,7 @@ def clean_complaints(raw: DataFrame, boroughs: dict[str, str] = BOROUGHS, unique
     """
     rows = raw.select(
         "unique_key",
-        casts.to_date("created_date", COMPLAINT_TIME).alias("complaint_date"),
+        casts.iso_millis_to_date("created_date").alias("complaint_date"),
         literal_lookup(boroughs, F.upper("borough")).alias("borough"),
         "complaint_type",
         "descriptor",

@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from tessera.functions import calendar, casts, geo, nested, text
 from tessera.functions.vectors import dot
-from tessera.operators import keep, lookback, lookup, nearby, scoring, search, strata
+from tessera.operators import documents, keep, lookback, lookup, nearby, scoring, search, strata
 from tessera.plans import gold, questions, silver, warehouse
+from tessera.plans.build import build_layers
 from tessera.session import scratch_path, settle
 from tessera.sources import landing, lineage, readers, sinks
 from tessera.streaming.incremental import land_new_files
@@ -195,8 +196,8 @@ def places_unnest(spark, sf):
 )
 def place_docs(spark, sf):
     """Stored place documents: borough looked up, a longitude-first point, one row per place."""
-    documents = readers.place_documents(_place_files(spark, sf), roles.boroughs(spark, sf))
-    kept = keep.last_writer_wins(documents, "place_id", "file", "position")
+    found = readers.place_documents(_place_files(spark, sf), roles.boroughs(spark, sf))
+    kept = keep.last_writer_wins(found, "place_id", "file", "position")
     return kept.select("*", "geometry.lon", "geometry.lat").drop("geometry", "loaded_at", "file", "position")
 
 
@@ -407,6 +408,45 @@ def publish_gold(spark, sf):
     return sinks.row_counts({name: spark.table(f"{name}_{suffix}") for name in gold.LOAD_ORDER})
 
 
+@query(
+    "layered_build",
+    " UNION ALL ".join(
+        f"SELECT '{item}' AS item, 'ok' AS status, count(*) AS rows FROM {source}"
+        for item, source in {
+            "bronze/listings": "customer",
+            "bronze/reviews": "orders",
+            "bronze/weather": "weather",
+            "bronze/noise_complaints": "lineitem",
+            "bronze/places": "place",
+            "silver/listings": "listing",
+            "silver/reviews": "review",
+            "silver/weather": "weather",
+            "silver/noise_complaints": "complaint",
+            "silver/places": "place",
+            "gold/dim_date": "dim_date",
+            "gold/dim_neighbourhood": "dim_neighbourhood",
+            "gold/dim_host": "dim_host",
+            "gold/dim_listing": "dim_listing",
+            "gold/noise_borough_month": "noise",
+            "gold/fact_review": "fact_review",
+            "gold/fact_review_weather": "bridge",
+        }.items()
+    ),
+)
+def layered_build(spark, sf):
+    """All three layers from raw to star schema, each table read from the written one before it."""
+    raw = {
+        "listings": roles.raw_listings(spark, sf),
+        "reviews": roles.raw_reviews(spark, sf),
+        "weather": roles.raw_weather(spark, sf),
+        "noise_complaints": roles.raw_complaints(spark, sf),
+        "places": roles.places(spark, sf).withColumnRenamed("lon", "lng"),
+    }
+    known = {r: r for r in roles.REGIONS}
+    _, record = build_layers(spark, raw, scratch_path(spark, "layers"), known, roles.PLACE_TYPES)
+    return record.drop("finished_at")
+
+
 @query(
     "arrays_to_json",
     "SELECT borough, year, month, complaint_count, to_json(complaint_types)::VARCHAR AS complaint_types FROM noise",
@@ -513,8 +553,8 @@ def prefix_and_range_filter(spark, sf):
 
 @query("min_length_filter", f"SELECT doc_id, n_chars FROM documents WHERE length({strip('text')}) >= 20")
 def min_length_filter(spark, sf):
-    documents = roles.table(spark, sf, "documents")
-    return documents.filter(text.long_enough(F.col("text"), search.LEAST_REVIEW_CHARS)).select("doc_id", "n_chars")
+    rows = roles.table(spark, sf, "documents")
+    return rows.filter(text.long_enough(F.col("text"), search.LEAST_REVIEW_CHARS)).select("doc_id", "n_chars")
 
 
 @query(
@@ -533,12 +573,39 @@ def keyword_guard(spark, sf):
     WHERE place_type = 'ECONOMY' AND borough = 'ASIA' AND rating > 2.0 ORDER BY rating DESC, place_id LIMIT 50""",
 )
 def places_find(spark, sf):
-    return nearby.places_find(
+    return documents.places_find(
         roles.places(spark, sf), place_type="ECONOMY", borough="ASIA", min_rating=2.0,
-        columns=["place_id", "name", "neighbourhood", "rating"], sort=[("rating", -1), ("place_id", 1)], limit=50,
+        include=["place_id", "name", "neighbourhood", "rating"], sort=[("rating", -1), ("place_id", 1)], limit=50,
     )
 
 
+@query(
+    "neighbourhoods_find",
+    """SELECT neighbourhood, borough, round(x + 0.055, 6) AS lon, round(y + 0.04, 6) AS lat FROM shape
+    WHERE borough = 'ASIA' AND y + 0.04 > 40.6 ORDER BY neighbourhood DESC LIMIT 20""",
+)
+def neighbourhoods_find(spark, sf):
+    """Boundary documents of one borough north of a line, without their geometry."""
+    stored = readers.boundary_documents(roles.shapes(spark, sf)).select("*", "area_centroid.lon", "area_centroid.lat")
+    return documents.find(
+        stored,
+        documents.all_of(F.col("borough") == "ASIA", F.col("shape").isNotNull(), F.col("area_centroid.lat") > 40.6),
+        exclude=["shape", "vertex_centroid", "area_centroid", "loaded_at"],
+        sort=[("neighbourhood", -1)],
+    )
+
+
+@query(
+    "places_group",
+    """SELECT neighbourhood, max(rating) AS best, sum(user_ratings_total)::BIGINT AS votes, count(*) AS places FROM place
+    WHERE rating > 3 GROUP BY 1""",
+)
+def places_group(spark, sf):
+    """Match, group and sort over whole places."""
+    measures = {"best": F.max("rating"), "votes": F.sum("user_ratings_total"), "places": F.count(F.lit(1))}
+    return documents.group(roles.places(spark, sf), "neighbourhood", measures, F.col("rating") > 3, [("votes", -1)])
+
+
 @query(
     "lookback_range",
     "SELECT (min(review_date) - 10)::DATE::VARCHAR AS start_date, max(review_date)::VARCHAR AS end_date, true AS refetch FROM review",
@@ -850,8 +917,8 @@ _CENTRE_LON, _CENTRE_LAT = f"(x + {roles.CELL_LON}::DOUBLE / 2)", f"(y + {roles.
 )
 def geo_radius_join(spark, sf):
     """Every place within 1,000 m of the middle of every boundary."""
-    documents = readers.boundary_documents(roles.shapes(spark, sf))
-    centres = settle(documents.select("neighbourhood", "area_centroid.lon", "area_centroid.lat"), "boundary-centres")
+    boundaries = readers.boundary_documents(roles.shapes(spark, sf))
+    centres = settle(boundaries.select("neighbourhood", "area_centroid.lon", "area_centroid.lat"), "boundary-centres")
     joined = nearby.radius_join(centres, roles.places(spark, sf), 1000.0, "neighbourhood", "place_id")
     return joined.withColumn("dist_metres", F.round("dist_metres", 2))
 
@@ -1061,8 +1128,8 @@ def batch_vector_topk(spark, sf):
 )
 def embed_documents(spark, sf):
     """Whole texts through an encoder loaded once per task."""
-    documents = roles.table(spark, sf, "documents").select("doc_id", "text")
-    vectors = search.embed(documents, "text", search.LetterProfile)
+    rows = roles.table(spark, sf, "documents").select("doc_id", "text")
+    vectors = search.embed(rows, "text", search.LetterProfile)
     position = search.LetterProfile.letters.index
     return vectors.select(
         "doc_id", *[F.col("embedding")[position(c)].cast("bigint").alias(f"n_{c}") for c in "aeiourst"]

@@ -81,7 +81,7 @@ def raw_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_reviews(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select(
-        F.col("o_custkey").cast("string").alias("listing_id"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+        F.col("o_custkey").cast("string").alias("listing_id"), F.col("o_orderdate").cast("date").cast("string").alias("date")
     )
 
 
@@ -106,7 +106,7 @@ def raw_complaints(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").join(region, F.expr("l_suppkey % 5") == F.col("r_regionkey"))
     return rows.selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS unique_key",
-        "date_format(l_shipdate, \"yyyy-MM-dd'T'HH:mm:ss.SSS\") AS created_date",
+        "concat(cast(l_shipdate AS date), 'T', substring(cast(l_shipdate AS string), 12, 8), '.000') AS created_date",
         "concat('Noise - ', l_returnflag) AS complaint_type",
         "l_linestatus AS descriptor",
         "cast(NULL AS string) AS incident_zip",

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tessera.functions import geo
-from tessera.operators import keep, lookback, lookup, nearby, search, strata
+from tessera.operators import documents, keep, lookback, lookup, nearby, search, strata
 from tessera.workload import roles
 
 
@@ -126,12 +126,12 @@ def test_points_in_shapes_equals_brute_force(spark, data):
 
 def test_places_find_clamps_and_sorts(spark):
     places = spark.createDataFrame([(str(i), ["bar"], float(i % 5) if i % 7 else None, "X") for i in range(300)], "place_id string, types array<string>, rating double, borough string")
-    assert nearby.places_find(places, limit=10_000).count() == 200
-    assert nearby.places_find(places, limit=0).count() == 1
-    got = nearby.places_find(places, place_type="bar", sort=[("rating", 1), ("place_id", 1)], limit=1).first()
+    assert documents.places_find(places, limit=10_000).count() == 200
+    assert documents.places_find(places, limit=0).count() == 1
+    got = documents.places_find(places, place_type="bar", sort=[("rating", 1), ("place_id", 1)], limit=1).first()
     assert got.rating is None
-    assert nearby.places_find(places, min_rating=3.0, limit=200).filter("rating <= 3").isEmpty()
-    assert nearby.places_group(places, "borough", "bar").first().place_count == sum(1 for i in range(300) if i % 7)
+    assert documents.places_find(places, min_rating=3.0, limit=200).filter("rating <= 3").isEmpty()
+    assert documents.places_group(places, "borough", "bar").first().place_count == sum(1 for i in range(300) if i % 7)
 
 
 # --- sampling ---
@@ -250,8 +250,8 @@ def test_paragraph_documents(spark):
 
 
 def test_same_encoder_for_index_and_question(spark):
-    documents = spark.createDataFrame([("1", "quiet street", "A"), ("2", "zzz", "A"), ("3", "quiet", "B")], "id string, document string, neighbourhood string")
-    index = search.embed(documents, "document", search.LetterProfile, batch=2)
+    texts = spark.createDataFrame([("1", "quiet street", "A"), ("2", "zzz", "A"), ("3", "quiet", "B")], "id string, document string, neighbourhood string")
+    index = search.embed(texts, "document", search.LetterProfile, batch=2)
     got = search.search_reviews(index, "quiet street", search.LetterProfile(), 1000)
     assert [r.id for r in got.collect()] == ["1", "3", "2"]
     assert search.neighbourhood_context(index, "quiet", search.LetterProfile(), 5, "B").count() == 1

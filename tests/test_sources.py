@@ -7,8 +7,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tessera.functions import casts
 from tessera.operators.keep import last_writer_wins
 from tessera.plans import silver
+from tessera.plans.build import build_layers, read_sources
 from tessera.sources import landing, lineage, readers, schemas, sinks
 from tessera.streaming.incremental import land_new_files
 
@@ -200,3 +202,42 @@ def test_publish_and_reload(spark, tmp_path):
     assert spark.table("reloaded_t1").count() == 0
     assert sinks.arrays_as_json(df).first().kinds == '["b","a"]'
     spark.sql("DROP TABLE reloaded_t1")
+
+
+def test_layers_from_raw_folders(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for day, listing in (("2024-01-01", "9"), ("2024-06-01", "1")):
+        folder = raw / "snapshots" / f"up_to_{day}"
+        folder.mkdir(parents=True)
+        base = {"id": listing, "host_id": "7", "neighbourhood_cleansed": "A", "neighbourhood_group_cleansed": "Queens"}
+        listing_csv(folder / "listings.csv.gz", [base, {**base, "id": "2"}])
+        (folder / "reviews.csv").write_text(f"listing_id,date\n{listing},2024-05-06\n2,2024-05-07\n3,2024-05-07\n")
+    daily = {n: [1.0, 2.0] for n in ("temperature_2m_max", "temperature_2m_min", "precipitation_sum", "windspeed_10m_max", "weathercode")}
+    write_json(raw / "weather", "w.json", {"daily": {"time": ["2024-04-26", "2024-05-06"], **daily}})
+    complaint = {"unique_key": "1", "created_date": "2024-05-06T00:00:00.000", "borough": "QUEENS", "complaint_type": "Noise"}
+    write_json(raw / "noise", "n.json", {"records": [complaint, complaint]})
+    write_json(raw / "places", "A.json", {"neighbourhood": "A", "results_by_type": {"bar": [place("1", 4)]}})
+    tables, record = build_layers(spark, read_sources(spark, str(raw)), str(tmp_path / "out"))
+    counts = {r.item: r.rows for r in record.collect()}
+    assert (counts["bronze/listings"], counts["silver/reviews"], counts["gold/fact_review"]) == (2, 3, 2)
+    assert rows(tables["fact_review"].select("review_id", "complaint_count")) == [("1-20240506", 2), ("2-20240507", 2)]
+    assert rows(tables["fact_review_weather"].select("review_id", "days_before_review")) == [("1-20240506", 10), ("2-20240507", 1)]
+    assert tables["dim_neighbourhood"].first().poi_bar == 1
+    assert rows(lineage.status_totals(record))[0][:2] == ("ok", len(counts))
+
+
+@pytest.mark.parametrize(
+    "value, expected",
+    [
+        ("2024-05-06T23:59:59.000", "2024-05-06"),
+        ("2024-05-06T24:59:59.000", None),
+        ("2024-02-30T00:00:00.000", None),
+        ("2024-05-06", None),
+        ("2024-05-06T23:59:59", None),
+        ("2024-05-06T23:59:59.000Z", None),
+        (None, None),
+    ],
+)
+def test_complaint_times(spark, value, expected):
+    got = spark.createDataFrame([(value,)], "v string").select(casts.iso_millis_to_date("v").cast("string")).first()[0]
+    assert got == expected
