@@ -61,7 +61,8 @@ def embed(
 
 
 def with_similarity(index: DataFrame, query: Column) -> DataFrame:
-    similarity = F.round(dot(F.col("embedding"), query), SCORE_DIGITS)
+    scale = F.lit(10.0**SCORE_DIGITS)
+    similarity = F.rint(dot(F.col("embedding"), query) * scale) / scale
     return index.withColumn("similarity", similarity).withColumn("distance", 1 - F.col("similarity"))
 
 
@@ -172,7 +173,8 @@ def batch_top_k(
 
     Up to ``shared_queries`` queries (counted first, one short job) are sent to the
     tasks that scan the index, which is then not shuffled. Beyond that, both sides are
-    cut into hash blocks of bounded size and every pair of blocks becomes one group.
+    cut into hash blocks of about ``block_rows`` rows and every pair of blocks becomes
+    one group: the index moves once per query block, the queries once per index block.
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.col("embedding").alias("embedding"))
     items = index.select(F.col(item_id).alias("item_id"), F.col("embedding").alias("embedding"))
@@ -198,7 +200,7 @@ def batch_top_k(
 
         partial = items.mapInPandas(scan, schema)
     else:
-        query_blocks = -(-q.count() // shared_queries)
+        query_blocks = -(-q.count() // block_rows)
         item_blocks = -(-items.count() // block_rows)
 
         def block(column: str, n: int) -> Column:
