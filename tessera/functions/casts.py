@@ -18,6 +18,11 @@ def to_long(value: Column | str) -> Column:
     return _col(value).try_cast("bigint")
 
 
+def to_whole_long(value: Column | str) -> Column:
+    """Text to bigint, truncating decimals without losing digits of long ids."""
+    return F.coalesce(to_long(value), _col(value).try_cast("decimal(38,10)").try_cast("bigint"))
+
+
 def to_int(value: Column | str) -> Column:
     """Text to int by way of double: "3.0" is 3, which a direct try_cast refuses."""
     return to_double(value).try_cast("int")

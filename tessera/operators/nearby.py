@@ -96,15 +96,21 @@ def points_in_shapes(
     """Every (shape, point) with the point inside, by grid cells and a ray cast.
 
     ``shapes`` carries a ``shape`` column. Shapes are repeated for the cells of their
-    bounding box and for each salt; points are not repeated.
+    bounding box and for each salt; points are not repeated. A ray to the east only
+    meets edges at its own latitude, so each row of cells carries just the edges that
+    reach into it, however many vertices the whole outline has.
     """
     edged = shapes.select(shape_id, geo.shape_edges("shape").alias("_edges")).withColumn(
         "_box", geo.bounds("_edges")
     )
+    # a little wider than the row, for latitudes that round across its border
+    south = f"(_row * {cell_degrees!r}D - 90D - 1e-9D)"
+    reaches_row = f"greatest(e.y1, e.y2) >= {south} AND least(e.y1, e.y2) <= {south} + {cell_degrees + 2e-9!r}D"
     cells = (
         edged.withColumn(
             "_row", F.explode(F.sequence(_cell(F.col("_box.south"), -90.0, cell_degrees), _cell(F.col("_box.north"), -90.0, cell_degrees)))
         )
+        .withColumn("_edges", F.expr(f"filter(_edges, e -> {reaches_row})"))
         .withColumn(
             "_column", F.explode(F.sequence(_cell(F.col("_box.west"), -180.0, cell_degrees), _cell(F.col("_box.east"), -180.0, cell_degrees)))
         )

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.nested import shared_fraction
 from tessera.functions.text import contains_any, numbers_in
@@ -199,6 +200,36 @@ def answer_context(results: DataFrame, question: str = "id") -> DataFrame:
     return per_call.groupBy(question).agg(_joined_in_order(F.struct("call", "piece"), "\n\n---\n\n").alias("context"))
 
 
+def summarised_rows(result: DataFrame, tool: str, order: list[Column]) -> DataFrame:
+    """The rows of one tool's result that an answer is shown: (rank, piece).
+
+    The first rows in ``order`` up to the tool's number, as JSON text with floating
+    numbers rounded to 2 digits and without geometry; of search hits, the first
+    characters of the document.
+    """
+    top = result.orderBy(*order).limit(ROWS_SHOWN[tool])
+    rank = F.row_number().over(Window.orderBy(*order))
+    if tool in (REVIEW_TOOL, CONTEXT_TOOL):
+        piece = F.substring("document", 1, SEARCH_CHARS)
+    else:
+        shown = [f for f in result.schema.fields if f.name not in ("geometry", "shape", "centroid")]
+        piece = F.to_json(F.struct(*[_two_digits(F.col(f.name), f.dataType).alias(f.name) for f in shown]))
+    # at most 15 rows are left here, so one window over them is enough
+    return top.select(rank.alias("rank"), piece.alias("piece"))
+
+
+def _two_digits(value: Column, kind: T.DataType) -> Column:
+    """Floating numbers rounded to 2 digits at any depth of arrays and structs."""
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.round(value, 2)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _two_digits(x, kind.elementType))
+    if isinstance(kind, T.StructType):
+        parts = [_two_digits(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*parts))
+    return value
+
+
 def route_labels(questions: DataFrame, text: str, planned: str) -> DataFrame:
     """Route of each question: the planned one, corrected by the words of the question.
 

@@ -52,8 +52,8 @@ def clean_listings(raw: DataFrame) -> DataFrame:
         "number_of_reviews",
     ]
     typed = raw.select(
-        casts.to_long("id").alias("listing_id"),
-        casts.to_long("host_id").alias("host_id"),
+        casts.to_whole_long("id").alias("listing_id"),
+        casts.to_whole_long("host_id").alias("host_id"),
         *[F.col(source).alias(name) for name, source in text.items()],
         *[casts.to_date(c).alias(c) for c in ("host_since", "first_review", "last_review")],
         *[casts.flag(c).alias(c) for c in ("host_is_superhost", "host_identity_verified", "instant_bookable")],
@@ -69,7 +69,7 @@ def clean_listings(raw: DataFrame) -> DataFrame:
 def clean_reviews(raw: DataFrame) -> DataFrame:
     """Distinct (listing_id, review_date); two guests on one day are one row."""
     return (
-        raw.select(casts.to_long("listing_id").alias("listing_id"), casts.to_date("date").alias("review_date"))
+        raw.select(casts.to_whole_long("listing_id").alias("listing_id"), casts.to_date("date").alias("review_date"))
         .filter(F.col("listing_id").isNotNull() & F.col("review_date").isNotNull())
         .distinct()
     )

@@ -1325,6 +1325,27 @@ def context_assembly(spark, sf):
     return made.select("id", F.md5("context").alias("context_md5"))
 
 
+@query(
+    "tool_summary",
+    """SELECT row_number() OVER (ORDER BY season, borough) AS rank, '{"season":"' || season || '","borough":"' || borough || '","reviews":' || reviews || '}' AS piece
+    FROM (SELECT season, borough, count(*) AS reviews FROM fact_review JOIN dim_date USING (date_id) JOIN dim_neighbourhood USING (neighbourhood_id)
+          GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 15)""",
+)
+def tool_summary(spark, sf):
+    """The rows of a warehouse answer that a reader is shown."""
+    star = roles.star(spark, sf)
+    result = (
+        star["fact_review"]
+        .groupBy("date_id", "neighbourhood_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(star["dim_date"].select("date_id", "season"), "date_id")
+        .join(star["dim_neighbourhood"].select("neighbourhood_id", "borough"), "neighbourhood_id")
+        .groupBy("season", "borough")
+        .agg(F.sum("n").alias("reviews"))
+    )
+    return scoring.summarised_rows(result, scoring.WAREHOUSE_TOOL, [F.col("season"), F.col("borough")])
+
+
 _PLANS = ["warehouse", "geodata", "semantic", "geodata+warehouse", "warehouse+semantic", "other"]
 _ASKED = [" occupancy by season", " food near me", " top rated venues in town, price and host", " what guests say"]
 

@@ -26,6 +26,15 @@ def test_whole_numbers_may_carry_decimals(spark, value, expected):
     assert one(spark, casts.to_int("v"), v=F.lit(value).cast("string")) == expected
 
 
+@pytest.mark.parametrize(
+    "value, strict, whole",
+    [("1234567890123456789", 1234567890123456789, 1234567890123456789), ("3.0", None, 3), ("1234567890123456789.0", None, 1234567890123456789), ("x", None, None), ("", None, None), ("99999999999999999999", None, None)],
+)
+def test_long_ids(spark, value, strict, whole):
+    assert one(spark, casts.to_long("v"), v=value) == strict
+    assert one(spark, casts.to_whole_long("v"), v=value) == whole
+
+
 def test_flags_keep_null(spark):
     got = spark.createDataFrame([("t",), ("f",), ("x",), (None,)], "v string").select(casts.flag("v")).collect()
     assert [r[0] for r in got] == [True, False, False, None]

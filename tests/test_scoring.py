@@ -116,3 +116,16 @@ def test_pairs_need_the_next_turn(spark):
         "conv_id int, turn int, role string, text string",
     )
     assert rows(s.question_answer_pairs(turns)) == [(1, 1, "q1", "a1")]
+
+
+def test_summarised_rows(spark):
+    rows_in = spark.createDataFrame(
+        [(n, n + 0.126, [0.555, 1.0], (2.346,), (1.0, 2.0)) for n in range(20)],
+        "n int, score double, parts array<double>, inner struct<x:double>, geometry struct<lon:double, lat:double>",
+    )
+    got = s.summarised_rows(rows_in, W, [F.col("n").desc()]).orderBy("rank").collect()
+    assert len(got) == 15 and got[0].piece == '{"n":19,"score":19.13,"parts":[0.56,1.0],"inner":{"x":2.35}}'
+    assert s.summarised_rows(rows_in, G, [F.col("n")]).count() == 8
+    texts = spark.createDataFrame([(n, "d" * 400) for n in range(9)], "id int, document string")
+    got = s.summarised_rows(texts, R, [F.col("id")]).collect()
+    assert len(got) == 5 and all(r.piece == "d" * 300 for r in got)

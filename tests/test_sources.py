@@ -204,6 +204,22 @@ def test_publish_and_reload(spark, tmp_path):
     spark.sql("DROP TABLE reloaded_t1")
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    for name in ("bucketed_a", "bucketed_b"):
+        df = spark.range(1000).select(F.col("id").alias("k"), F.lit(name).alias(name))
+        assert sinks.publish(df, name, buckets=4, bucket_by=["k"]) == 1000
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("bucketed_a").join(spark.table("bucketed_b"), "k")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and joined.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+        spark.sql("DROP TABLE bucketed_a")
+        spark.sql("DROP TABLE bucketed_b")
+
+
 def test_layers_from_raw_folders(spark, tmp_path):
     raw = tmp_path / "raw"
     for day, listing in (("2024-01-01", "9"), ("2024-06-01", "1")):
