@@ -321,36 +321,38 @@ def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
 class Star(Mapping):
     """The star schema over the roles, each table made when it is first asked for.
 
-    ``published`` tables are written once and read back, as a warehouse is loaded once
-    and then queried; reads are pruned to the columns a question needs. Otherwise only
-    the four small tables (days, neighbourhoods, monthly complaints, daily weather)
-    are written, so that joins with them are planned by their file size, and the rest
-    are plans from the raw roles. The bridge always stays a plan.
+    ``published`` tables, and the cleaned ones they come from, are written once and read
+    back, as a warehouse is loaded once and then queried; reads are pruned to the columns
+    a question needs. Otherwise only the four small tables (days, neighbourhoods, monthly
+    complaints, daily weather) are written, so that joins with them are planned by their
+    file size, and the rest are plans from the raw roles. The bridge always stays a plan.
     """
 
+    CLEAN = ("listings", "reviews", "places")
     SMALL = ("dim_date", "dim_neighbourhood", "noise_borough_month", "weather")
     LARGE = ("dim_host", "dim_listing", "fact_review")
 
     def __init__(self, spark: SparkSession, sf: str, published: bool = True):
         self._at = (spark, sf)
-        self._written = self.SMALL + (self.LARGE if published else ())
+        self._written = self.SMALL + (self.CLEAN + self.LARGE if published else ())
         self._makers = {
-            "dim_date": lambda: gold.dim_date(reviews(spark, sf)),
-            "dim_neighbourhood": lambda: gold.dim_neighbourhood(
-                listings(spark, sf), clean_places(spark, sf), PLACE_TYPES
-            ),
-            "dim_host": lambda: gold.dim_host(listings(spark, sf)),
-            "dim_listing": lambda: gold.dim_listing(listings(spark, sf), self["dim_neighbourhood"]),
+            "listings": lambda: listings(spark, sf),
+            "reviews": lambda: reviews(spark, sf),
+            "places": lambda: clean_places(spark, sf),
+            "weather": lambda: weather(spark, sf),
+            "dim_date": lambda: gold.dim_date(self["reviews"]),
+            "dim_neighbourhood": lambda: gold.dim_neighbourhood(self["listings"], self["places"], PLACE_TYPES),
+            "dim_host": lambda: gold.dim_host(self["listings"]),
+            "dim_listing": lambda: gold.dim_listing(self["listings"], self["dim_neighbourhood"]),
             "noise_borough_month": lambda: gold.noise_borough_month(complaints(spark, sf)),
             "fact_review": lambda: gold.fact_review(
-                reviews(spark, sf),
+                self["reviews"],
                 self["dim_listing"],
                 self["dim_neighbourhood"],
                 self["dim_date"],
                 self["noise_borough_month"],
             ),
             "fact_review_weather": lambda: gold.fact_review_weather(self["fact_review"], self["weather"]),
-            "weather": lambda: weather(spark, sf),
         }
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -358,10 +360,10 @@ class Star(Mapping):
         return once(*self._at, name, make) if name in self._written else make()
 
     def __iter__(self):
-        return iter(self._makers)
+        return iter([*gold.LOAD_ORDER, "weather"])
 
     def __len__(self) -> int:
-        return len(self._makers)
+        return len(gold.LOAD_ORDER) + 1
 
 
 def star(spark: SparkSession, sf: str) -> Star:
