@@ -276,3 +276,8 @@ def with_roles(sql: str) -> str:
     return f"WITH {parts}\n{sql}"
 
 
+def after_roles(ctes: str, sql: str) -> str:
+    """Role names are resolved over the whole text, then the extra subqueries follow them."""
+    whole = with_roles(ctes + sql)
+    head = whole[: len(whole) - len(ctes + sql)].rstrip()
+    return f"{head},{ctes}\n{sql}"

@@ -1,4 +1,4 @@
-"""All registered queries, each with its DuckDB twin.
+"""Registration of queries, each with its DuckDB twin.
 
 Results are shown in a form both engines share: dates as text, whole numbers as
 bigint, doubles to six digits, string arrays joined by "|".
@@ -12,27 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions import calendar, casts, geo, nested, text
-from tessera.functions.vectors import dot
-from tessera.operators import documents, keep, lookback, lookup, nearby, scoring, search, strata
-from tessera.plans import gold, questions, silver, warehouse
-from tessera.plans.build import build_layers
-from tessera.session import scratch_path, settle
-from tessera.sources import landing, lineage, readers, sinks
-from tessera.streaming.incremental import land_new_files
+from tessera.plans import warehouse
 from tessera.workload import roles
-from tessera.workload.oracle import (
-    area_key,
-    bands,
-    contains_any,
-    haversine,
-    letter_dot,
-    letters,
-    numbers_in,
-    season,
-    strip,
-    with_roles,
-)
+from tessera.workload.oracle import with_roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,1389 +63,9 @@ def star_query(name: str, sql: str):
     return register
 
 
-# --- sources and sinks -----------------------------------------------------------------
-
-_LISTING_SQL = """
-    SELECT listing_id, host_id, host_name, host_since::VARCHAR AS host_since, host_is_superhost, host_response_time,
-        round(host_response_rate, 6) AS host_response_rate, round(host_acceptance_rate, 6) AS host_acceptance_rate,
-        host_total_listings_count, host_identity_verified, neighbourhood, borough, round(latitude, 6) AS latitude,
-        round(longitude, 6) AS longitude, room_type, property_type, accommodates, bedrooms, beds,
-        round(bathrooms, 6) AS bathrooms, minimum_nights, estimated_occupancy_l365d, instant_bookable,
-        round(review_scores_rating, 6) AS review_scores_rating, round(review_scores_accuracy, 6) AS review_scores_accuracy,
-        round(review_scores_cleanliness, 6) AS review_scores_cleanliness, round(review_scores_checkin, 6) AS review_scores_checkin,
-        round(review_scores_communication, 6) AS review_scores_communication,
-        round(review_scores_location, 6) AS review_scores_location, round(review_scores_value, 6) AS review_scores_value,
-        first_review::VARCHAR AS first_review, last_review::VARCHAR AS last_review, number_of_reviews
-    FROM listing"""
-
-
-@query(
-    "latest_snapshot",
-    """SELECT '/raw/up_to_' || o_orderdate::DATE || '/reviews-' || o_orderkey || '.csv' AS path,
-        o_orderdate::DATE::VARCHAR AS snapshot
-    FROM orders WHERE o_orderdate::DATE = (SELECT max(o_orderdate::DATE) FROM orders)""",
-)
-def latest_snapshot(spark, sf):
-    """Files of the newest dated folder."""
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    path = F.concat(F.lit("/raw/up_to_"), day, F.lit("/reviews-"), F.col("o_orderkey").cast("string"), F.lit(".csv"))
-    return readers.newest_snapshot(roles.table(spark, sf, "orders").select(path.alias("path")), "path")
-
-
-@query("scan_csv", _LISTING_SQL)
-def scan_csv(spark, sf):
-    """Listings written as gzipped CSV with line breaks and quotes, scanned and cleaned."""
-    path = scratch_path(spark, "listings-csv")
-    writer = roles.raw_listings(spark, sf).write.option("header", True).option("escape", '"')
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option(
-        "compression", "gzip"
-    ).csv(path)
-    return silver.clean_listings(readers.read_listings(spark, path))
-
-
-@query("scan_reviews_csv", "SELECT listing_id, review_date::VARCHAR AS review_date FROM review")
-def scan_reviews_csv(spark, sf):
-    path = scratch_path(spark, "reviews-csv")
-    roles.raw_reviews(spark, sf).write.option("header", True).csv(path)
-    return silver.clean_reviews(readers.read_reviews(spark, path))
-
-
-_WEATHER_SQL = """
-    SELECT weather_date::VARCHAR AS weather_date, round(temperature_max, 6) AS temperature_max,
-        round(temperature_min, 6) AS temperature_min, round(precipitation_sum, 6) AS precipitation_sum,
-        round(windspeed_max, 6) AS windspeed_max, weathercode FROM weather"""
-
-
-@query("weather_unzip", _WEATHER_SQL)
-def weather_unzip(spark, sf):
-    """Daily weather packed into parallel arrays, one JSON envelope a year, and unpacked again."""
-    daily = roles.raw_weather(spark, sf)
-    day = F.struct(*[F.col(c) for c in daily.columns])
-    years = daily.groupBy(F.year("weather_date").alias("y")).agg(F.sort_array(F.collect_list(day)).alias("d"))
-    names = {
-        "time": "weather_date",
-        "temperature_2m_max": "temperature_max",
-        "temperature_2m_min": "temperature_min",
-        "precipitation_sum": "precipitation_sum",
-        "windspeed_10m_max": "windspeed_max",
-        "weathercode": "weathercode",
-    }
-    arrays = [F.col(f"d.{column}").alias(name) for name, column in names.items()]
-    path = scratch_path(spark, "weather-json")
-    years.select(F.struct(*arrays).alias("daily")).write.json(path)
-    return silver.clean_weather(readers.read_weather(spark, path, multi_line=False))
-
-
-@query(
-    "noise_unnest",
-    """SELECT borough, complaint_type, descriptor, count(*) AS complaints, count(DISTINCT unique_key) AS complaint_keys,
-        min(complaint_date)::VARCHAR AS first_day, max(complaint_date)::VARCHAR AS last_day
-    FROM complaint GROUP BY 1, 2, 3""",
-)
-def noise_unnest(spark, sf):
-    """Complaints inside JSON envelopes, unpacked by the executors and cleaned."""
-    raw = roles.raw_complaints(spark, sf)
-    path = scratch_path(spark, "complaints-json")
-    raw.select(F.array(F.struct(*raw.columns)).alias("records")).write.json(path)
-    rows = silver.clean_complaints(readers.read_complaints(spark, path, multi_line=False), {r: r for r in roles.REGIONS})
-    return rows.groupBy("borough", "complaint_type", "descriptor").agg(
-        F.count(F.lit(1)).alias("complaints"),
-        F.countDistinct("unique_key").alias("complaint_keys"),
-        F.min("complaint_date").alias("first_day"),
-        F.max("complaint_date").alias("last_day"),
-    )
-
-
-def _place_files(spark, sf):
-    path = scratch_path(spark, "places-json")
-    roles.place_envelopes(spark, sf).write.json(path)
-    return readers.read_place_files(spark, path, multi_line=False)
-
-
-@query(
-    "places_unnest",
-    "SELECT neighbourhood, place_type, place_id, name, rating, round(lat, 6) AS lat, round(lon, 6) AS lng FROM place",
-)
-def places_unnest(spark, sf):
-    """Type-keyed maps of place arrays, one row per entry, ratings as doubles throughout."""
-    return readers.place_rows(_place_files(spark, sf))
-
-
-@query(
-    "place_docs",
-    """SELECT place_id, name, neighbourhood, borough, place_type || '|establishment' AS types, rating, user_ratings_total,
-        vicinity, price_level, 'OPERATIONAL' AS business_status, round(lon, 6) AS lon, round(lat, 6) AS lat FROM place""",
-)
-def place_docs(spark, sf):
-    """Stored place documents: borough looked up, a longitude-first point, one row per place."""
-    found = readers.place_documents(_place_files(spark, sf), roles.boroughs(spark, sf))
-    kept = keep.last_writer_wins(found, "place_id", "file", "position")
-    return kept.select("*", "geometry.lon", "geometry.lat").drop("geometry", "loaded_at", "file", "position")
-
-
-def _boundary_file(spark, sf):
-    path = scratch_path(spark, "boundaries-json")
-    pairs = F.transform(
-        "shape", lambda poly: F.transform(poly, lambda ring: F.transform(ring, lambda p: F.array(p["lon"], p["lat"])))
-    )
-    feature = F.struct(
-        F.struct("neighbourhood", F.col("borough").alias("neighbourhood_group")).alias("properties"),
-        F.struct(F.lit("MultiPolygon").alias("type"), pairs.alias("coordinates")).alias("geometry"),
-    )
-    roles.shapes(spark, sf).select(
-        F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features")
-    ).write.json(path)
-    return readers.read_boundaries(spark, path, multi_line=False)
-
-
-@query(
-    "geojson_features",
-    """SELECT neighbourhood, borough, 2::BIGINT AS parts, 3::BIGINT AS rings, 15::BIGINT AS vertices, round(x, 6) AS west, round(y, 6) AS south
-    FROM shape""",
-)
-def geojson_features(spark, sf):
-    """Boundaries written as feature collections and read back as nested points."""
-    rings = F.flatten("shape")
-    edged = _boundary_file(spark, sf).withColumn("_edges", geo.shape_edges("shape"))
-    return edged.withColumn("_box", geo.bounds("_edges")).select(
-        "neighbourhood",
-        "borough",
-        F.size("shape").alias("parts"),
-        F.size(rings).alias("rings"),
-        F.size(F.flatten(rings)).alias("vertices"),
-        "_box.west",
-        "_box.south",
-    )
-
-
-@query(
-    "boundary_docs",
-    f"""SELECT neighbourhood, borough, 2::BIGINT AS parts,
-        round(x + {roles.CELL_LON}::DOUBLE * 0.4375, 6) AS vertex_lon, round(y + {roles.CELL_LAT}::DOUBLE * 0.4375, 6) AS vertex_lat,
-        round(x + {roles.CELL_LON}::DOUBLE / 2, 6) AS area_lon, round(y + {roles.CELL_LAT}::DOUBLE / 2, 6) AS area_lat
-    FROM shape""",
-)
-def boundary_docs(spark, sf):
-    """Boundary documents with both centroids."""
-    return readers.boundary_documents(_boundary_file(spark, sf)).select(
-        "neighbourhood",
-        "borough",
-        F.size("shape").alias("parts"),
-        F.col("vertex_centroid.lon").alias("vertex_lon"),
-        F.col("vertex_centroid.lat").alias("vertex_lat"),
-        F.col("area_centroid.lon").alias("area_lon"),
-        F.col("area_centroid.lat").alias("area_lat"),
-    )
-
-
-@query(
-    "review_text_scan",
-    "SELECT listing_id, review_date::VARCHAR AS review_date, md5(comments) AS text_md5, length(comments) AS chars FROM review_text",
-)
-def review_text_scan(spark, sf):
-    """Whole texts through gzipped CSV with line breaks inside fields."""
-    path = scratch_path(spark, "texts-csv")
-    raw = roles.raw_texts(spark, sf).select("listing_id", "date", "comments")
-    writer = raw.write.option("header", True).option("escape", '"').option("quoteAll", True)
-    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option(
-        "compression", "gzip"
-    ).csv(path)
-    return readers.read_review_texts(spark, path).select(
-        "listing_id", "review_date", F.md5("comments").alias("text_md5"), F.length("comments").alias("chars")
-    )
-
-
-ARTICLE_WORDS = ("theing", "quevi", "einver", "nicht")
-
-
-@query(
-    "html_intro_paragraphs",
-    f"""SELECT neighbourhood, len(intro_paragraphs) AS paragraph_count, length(array_to_string(intro_paragraphs, chr(10) || chr(10))) AS char_count,
-        md5(array_to_string(intro_paragraphs, chr(10) || chr(10))) AS text_md5,
-        CASE WHEN len(intro_paragraphs) = 0 THEN 'error'
-            WHEN NOT {contains_any("array_to_string(intro_paragraphs, chr(10) || chr(10))", ARTICLE_WORDS)} THEN 'wrong_location' ELSE 'ok' END AS status
-    FROM article""",
-)
-def html_intro_paragraphs(spark, sf):
-    """Paragraph texts before the first heading of each page, and whether they name the place."""
-    return landing.articles_from_pages(roles.pages(spark, sf), "html", ARTICLE_WORDS).select(
-        "neighbourhood", "paragraph_count", "char_count", F.md5("intro_text").alias("text_md5"), "status"
-    )
-
-
-def _paragraphs(spark, sf):
-    articles = landing.articles_from_pages(roles.pages(spark, sf), "html", ARTICLE_WORDS)
-    return search.paragraph_documents(articles, roles.page_boroughs(spark, sf))
-
-
-@query(
-    "paragraph_docs",
-    "SELECT id, md5(document) AS text_md5, neighbourhood, borough, wikipedia_url, paragraph_index FROM paragraph",
-)
-def paragraph_docs(spark, sf):
-    """One document per paragraph; boroughs fall back to a lookup, then to "Unknown"."""
-    return _paragraphs(spark, sf).withColumn("text_md5", F.md5("document")).drop("document")
-
-
-@query(
-    "link_discovery",
-    r"""SELECT DISTINCT regexp_extract(href, '^/([A-Za-z]+)$', 1) AS found
-    FROM (SELECT unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)) AS href FROM pages)
-    WHERE regexp_extract(href, '^/([A-Za-z]+)$', 1) <> ''""",
-)
-def link_discovery(spark, sf):
-    """Distinct captured parts of link targets over all pages."""
-    return landing.discovered_links(roles.table(spark, sf, "pages"), "html", r"^/([A-Za-z]+)$")
-
-
-@query("incremental_new_items", "SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
-def incremental_new_items(spark, sf):
-    """Documents that the manifest (labels) does not list yet."""
-    items = roles.table(spark, sf, "documents").select("doc_id", "lang", "source")
-    return lookup.pending(items, roles.table(spark, sf, "labels"), "doc_id")
-
-
-@query(
-    "incremental_landing",
-    """SELECT doc_id, md5(text) AS text_md5, (SELECT count(*) FROM documents) AS rows_first_run, (SELECT count(*) FROM documents) AS rows_second_run
-    FROM documents""",
-)
-def incremental_landing(spark, sf):
-    """A file stream run to its end twice over the same folder: the second run adds nothing."""
-    schema = roles.table(spark, sf, "documents").schema
-    target, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "landing-checkpoint")
-    landed = [
-        land_new_files(spark, sf, schema, target, checkpoint, glob="documents.parquet").count() for _ in range(2)
-    ]
-    return spark.read.schema(schema).parquet(target).select(
-        "doc_id",
-        F.md5("text").alias("text_md5"),
-        F.lit(landed[0]).cast("bigint").alias("rows_first_run"),
-        F.lit(landed[1]).cast("bigint").alias("rows_second_run"),
-    )
-
-
-@query(
-    "lineage_summary",
-    "SELECT status, count(*) AS items, coalesce(sum(rows), 0)::BIGINT AS total_rows FROM latest_record GROUP BY 1",
-)
-def lineage_summary(spark, sf):
-    """Totals per status over the latest record of every item."""
-    return lineage.status_totals(roles.run_records(spark, sf))
-
-
-@query("lineage_latest", "SELECT item, status, rows FROM latest_record")
-def lineage_latest(spark, sf):
-    return lineage.merged(roles.run_records(spark, sf)).drop("finished_at")
-
-
-@query(
-    "parquet_roundtrip",
-    """SELECT o_orderstatus, count(*) AS orders, round(sum(o_totalprice::DECIMAL(18, 2))::DOUBLE, 6) AS total,
-        (SELECT count(*) FROM orders) AS rows_written FROM orders GROUP BY 1""",
-)
-def parquet_roundtrip(spark, sf):
-    """Overwrite, count during the write, continue from the written files."""
-    written, rows = sinks.write_parquet(roles.table(spark, sf, "orders"), scratch_path(spark, "orders"))
-    return written.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"),
-        F.lit(rows).cast("bigint").alias("rows_written"),
-    )
-
-
-_COUNTS_SQL = " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
-    for name, source in {
-        "dim_date": "dim_date",
-        "dim_neighbourhood": "dim_neighbourhood",
-        "dim_host": "dim_host",
-        "dim_listing": "dim_listing",
-        "noise_borough_month": "noise",
-        "fact_review": "fact_review",
-        "fact_review_weather": "bridge",
-    }.items()
-)
-
-
-@query("table_row_counts", _COUNTS_SQL)
-def table_row_counts(spark, sf):
-    star = roles.star(spark, sf)
-    return sinks.row_counts({name: star[name] for name in gold.LOAD_ORDER})
-
-
-@query("publish_gold", _COUNTS_SQL)
-def publish_gold(spark, sf):
-    """All seven tables written to the catalog, then counted from there.
-
-    The fact is published before its bridge, and the bridge reads the published fact.
-    """
-    star = roles.star(spark, sf)
-    suffix = scratch_path(spark, "gold").rsplit("-", 1)[1]
-    for name in gold.LOAD_ORDER:
-        df = star[name]
-        if name == "fact_review_weather":
-            df = gold.fact_review_weather(spark.table(f"fact_review_{suffix}"), star["weather"])
-        sinks.publish(df, f"{name}_{suffix}", path=scratch_path(spark, name))
-    return sinks.row_counts({name: spark.table(f"{name}_{suffix}") for name in gold.LOAD_ORDER})
-
-
-@query(
-    "layered_build",
-    " UNION ALL ".join(
-        f"SELECT '{item}' AS item, 'ok' AS status, count(*) AS rows FROM {source}"
-        for item, source in {
-            "bronze/listings": "customer",
-            "bronze/reviews": "orders",
-            "bronze/weather": "weather",
-            "bronze/noise_complaints": "lineitem",
-            "bronze/places": "place",
-            "silver/listings": "listing",
-            "silver/reviews": "review",
-            "silver/weather": "weather",
-            "silver/noise_complaints": "complaint",
-            "silver/places": "place",
-            "gold/dim_date": "dim_date",
-            "gold/dim_neighbourhood": "dim_neighbourhood",
-            "gold/dim_host": "dim_host",
-            "gold/dim_listing": "dim_listing",
-            "gold/noise_borough_month": "noise",
-            "gold/fact_review": "fact_review",
-            "gold/fact_review_weather": "bridge",
-        }.items()
-    ),
-)
-def layered_build(spark, sf):
-    """All three layers from raw to star schema, each table read from the written one before it."""
-    raw = {
-        "listings": roles.raw_listings(spark, sf),
-        "reviews": roles.raw_reviews(spark, sf),
-        "weather": roles.raw_weather(spark, sf),
-        "noise_complaints": roles.raw_complaints(spark, sf),
-        "places": roles.places(spark, sf).withColumnRenamed("lon", "lng"),
-    }
-    known = {r: r for r in roles.REGIONS}
-    _, record = build_layers(spark, raw, scratch_path(spark, "layers"), known, roles.PLACE_TYPES)
-    return record.drop("finished_at")
-
-
-@query(
-    "arrays_to_json",
-    "SELECT borough, year, month, complaint_count, to_json(complaint_types)::VARCHAR AS complaint_types FROM noise",
-)
-def arrays_to_json(spark, sf):
-    return sinks.arrays_as_json(roles.star(spark, sf)["noise_borough_month"])
-
-
-@query(
-    "vector_upsert",
-    """SELECT vec_id, version::BIGINT AS version, label::BIGINT AS label, round(total, 6) AS total
-    FROM (SELECT vec_id, 0 AS version, label, list_sum(embedding::DOUBLE[]) AS total FROM embeddings
-          UNION ALL SELECT vec_id * 2, 1, label + 100, list_sum(embedding::DOUBLE[]) FROM embeddings)
-    QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY version DESC) = 1""",
-)
-def vector_upsert(spark, sf):
-    """A rebuilt index laid over a stored one, the newer version of an id staying."""
-    stored = roles.table(spark, sf, "embeddings").select("vec_id", F.lit(0).alias("version"), "label", "embedding")
-    incoming = stored.select(
-        (F.col("vec_id") * 2).alias("vec_id"), F.lit(1).alias("version"), (F.col("label") + 100).alias("label"), "embedding"
-    )
-    merged = keep.upsert(stored, incoming, "vec_id", "version")
-    total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return merged.select("vec_id", "version", "label", total.alias("total"))
-
-
-@query(
-    "capped_scan",
-    """SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_shipdate::DATE::VARCHAR AS day, l_partkey, l_suppkey FROM lineitem
-    ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 1000""",
-)
-def capped_scan(spark, sf):
-    """The oldest 1,000 rows of a pull in a total order."""
-    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-    rows = landing.capped_pull(roles.table(spark, sf, "lineitem").select(*order), order, cap=1000)
-    return rows.withColumn("day", F.col("l_shipdate").cast("date")).drop("l_shipdate")
-
-
-# --- cleaning, predicates and scalar functions ----------------------------------------
-
-
-@query("silver_listings", _LISTING_SQL)
-def silver_listings(spark, sf):
-    """33 typed columns from all-text input."""
-    return roles.listings(spark, sf)
-
-
-@query("silver_reviews", "SELECT listing_id, review_date::VARCHAR AS review_date FROM review")
-def silver_reviews(spark, sf):
-    return roles.reviews(spark, sf)
-
-
-@query("silver_weather", _WEATHER_SQL)
-def silver_weather(spark, sf):
-    return roles.weather(spark, sf)
-
-
-@query(
-    "silver_noise",
-    """SELECT unique_key, complaint_date::VARCHAR AS complaint_date, year, month, borough, complaint_type, descriptor,
-        round(latitude, 6) AS latitude, round(longitude, 6) AS longitude FROM complaint""",
-)
-def silver_noise(spark, sf):
-    return roles.complaints(spark, sf)
-
-
-@query(
-    "silver_places",
-    """SELECT file AS neighbourhood, place_type, place_id, min(name) AS name, rating, round(lat, 6) AS lat, round(lng, 6) AS lng
-    FROM place_hit GROUP BY file, place_type, place_id, rating, lat, lng""",
-)
-def silver_places(spark, sf):
-    """Search hits typed and reduced to one row per (neighbourhood, type, place)."""
-    return silver.clean_places(roles.place_hits(spark, sf).withColumnRenamed("file", "neighbourhood"))
-
-
-@query(
-    "first_number",
-    r"""SELECT p_partkey, nullif(regexp_extract(p_brand, '([\d.]+)', 1), '')::DOUBLE AS brand_number,
-        nullif(regexp_extract(p_name, '([\d.]+)', 1), '')::DOUBLE AS name_number FROM part""",
-)
-def first_number(spark, sf):
-    return roles.table(spark, sf, "part").select(
-        "p_partkey",
-        casts.first_number("p_brand").alias("brand_number"),
-        casts.first_number("p_name").alias("name_number"),
-    )
-
-
-@query(
-    "prefix_and_range_filter",
-    """SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS day, o_orderpriority FROM orders
-    WHERE o_orderpriority LIKE '1%' AND o_orderdate BETWEEN TIMESTAMP '1996-03-01' AND TIMESTAMP '1998-06-30 23:59:59'""",
-)
-def prefix_and_range_filter(spark, sf):
-    """Type prefix and closed time range, both pushed to the scan."""
-    start, end = (F.to_timestamp(F.lit(t)) for t in ("1996-03-01 00:00:00", "1998-06-30 23:59:59"))
-    rows = landing.prefix_and_range(
-        roles.table(spark, sf, "orders"), "o_orderpriority", "1", "o_orderdate", start, end,
-        ["o_orderkey", "o_orderdate", "o_orderpriority"],
-    )
-    return rows.withColumn("day", F.col("o_orderdate").cast("date")).drop("o_orderdate")
-
-
-@query("min_length_filter", f"SELECT doc_id, n_chars FROM documents WHERE length({strip('text')}) >= 20")
-def min_length_filter(spark, sf):
-    rows = roles.table(spark, sf, "documents")
-    return rows.filter(text.long_enough(F.col("text"), search.LEAST_REVIEW_CHARS)).select("doc_id", "n_chars")
-
-
-@query(
-    "keyword_guard",
-    f"SELECT doc_id, CASE WHEN {contains_any('text', ARTICLE_WORDS)} THEN 'ok' ELSE 'wrong_location' END AS status FROM documents",
-)
-def keyword_guard(spark, sf):
-    """Whole texts tested, ignoring case, for any of a set of words."""
-    status = F.when(text.contains_any(F.col("text"), ARTICLE_WORDS), "ok").otherwise("wrong_location")
-    return roles.table(spark, sf, "documents").select("doc_id", status.alias("status"))
-
-
-@query(
-    "places_find",
-    """SELECT place_id, name, neighbourhood, rating FROM place
-    WHERE place_type = 'ECONOMY' AND borough = 'ASIA' AND rating > 2.0 ORDER BY rating DESC, place_id LIMIT 50""",
-)
-def places_find(spark, sf):
-    return documents.places_find(
-        roles.places(spark, sf), place_type="ECONOMY", borough="ASIA", min_rating=2.0,
-        include=["place_id", "name", "neighbourhood", "rating"], sort=[("rating", -1), ("place_id", 1)], limit=50,
-    )
-
-
-@query(
-    "neighbourhoods_find",
-    """SELECT neighbourhood, borough, round(x + 0.055, 6) AS lon, round(y + 0.04, 6) AS lat FROM shape
-    WHERE borough = 'ASIA' AND y + 0.04 > 40.6 ORDER BY neighbourhood DESC LIMIT 20""",
-)
-def neighbourhoods_find(spark, sf):
-    """Boundary documents of one borough north of a line, without their geometry."""
-    stored = readers.boundary_documents(roles.shapes(spark, sf)).select("*", "area_centroid.lon", "area_centroid.lat")
-    return documents.find(
-        stored,
-        documents.all_of(F.col("borough") == "ASIA", F.col("shape").isNotNull(), F.col("area_centroid.lat") > 40.6),
-        exclude=["shape", "vertex_centroid", "area_centroid", "loaded_at"],
-        sort=[("neighbourhood", -1)],
-    )
-
-
-@query(
-    "places_group",
-    """SELECT neighbourhood, max(rating) AS best, sum(user_ratings_total)::BIGINT AS votes, count(*) AS places FROM place
-    WHERE rating > 3 GROUP BY 1""",
-)
-def places_group(spark, sf):
-    """Match, group and sort over whole places."""
-    measures = {"best": F.max("rating"), "votes": F.sum("user_ratings_total"), "places": F.count(F.lit(1))}
-    return documents.group(roles.places(spark, sf), "neighbourhood", measures, F.col("rating") > 3, [("votes", -1)])
-
-
-@query(
-    "lookback_range",
-    "SELECT (min(review_date) - 10)::DATE::VARCHAR AS start_date, max(review_date)::VARCHAR AS end_date, true AS refetch FROM review",
-)
-def lookback_range(spark, sf):
-    """Days an outside daily source must cover, and whether a stored copy falls short."""
-    wanted = lookback.lookback_range(roles.reviews(spark, sf), "review_date")
-    return landing.coverage_changed(wanted, "1996-01-01", "1996-12-31")
-
-
-@query(
-    "date_scalars",
-    f"""SELECT o_orderkey, strftime(d, '%Y%m%d')::BIGINT AS date_id, year(d) AS year, month(d) AS month, quarter(d) AS quarter,
-        strftime(d, '%B') AS month_name, dayname(d) AS day_name, dayofweek(d) + 1 AS day_of_week, dayofweek(d) IN (0, 6) AS is_weekend,
-        {season('month(d)')} AS season, (d - 10)::DATE::VARCHAR AS ten_before, date_diff('day', DATE '1995-01-01', d) AS day_number,
-        date_trunc('month', d)::DATE::VARCHAR AS month_start, (d + INTERVAL 1 YEAR)::DATE::VARCHAR AS next_year, NULL::VARCHAR AS bad_date
-    FROM (SELECT o_orderkey, o_orderdate::DATE AS d FROM orders)""",
-)
-def date_scalars(spark, sf):
-    day = F.col("d")
-    rows = roles.table(spark, sf, "orders").select(
-        "o_orderkey", casts.to_date(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("d"), "o_orderpriority"
-    )
-    return rows.select(
-        "o_orderkey",
-        *[column.alias(name) for name, column in calendar.calendar_columns(day).items()],
-        F.date_sub(day, 10).alias("ten_before"),
-        F.datediff(day, F.lit("1995-01-01").cast("date")).alias("day_number"),
-        F.date_trunc("month", day).cast("date").alias("month_start"),
-        (day + F.expr("INTERVAL 1 YEAR")).cast("date").alias("next_year"),
-        casts.to_date("o_orderpriority").alias("bad_date"),
-    )
-
-
-@query(
-    "text_scalars",
-    f"""SELECT page_id, md5(replace(replace(url, ' ', '_'), '/', '-')) AS safe_url, upper(substr(url, 1, 12)) AS head,
-        length({strip('html')}) AS chars, starts_with(url, 'https') AS secure, contains(lower(html), 'nicht') AS mentions,
-        md5(regexp_replace(url || ' [1] and [ 22 ]', '\\[\\s*\\d+\\s*\\]', '', 'g')) AS without_markers,
-        array_to_string(list_sort({numbers_in("url || ' 12,345 or 6.5'")}), '|') AS numbers,
-        least(greatest(page_id, 10), 100) AS clamped, round(page_id * 100 / 365.0, 2)::DOUBLE AS rounded, {area_key("'x'", 'url')} AS url_key
-    FROM pages""",
-)
-def text_scalars(spark, sf):
-    url = F.col("url")
-    return roles.table(spark, sf, "pages").select(
-        "page_id",
-        F.md5(text.safe_name(url)).alias("safe_url"),
-        F.upper(F.substring(url, 1, 12)).alias("head"),
-        F.length(text.strip(F.col("html"))).alias("chars"),
-        url.startswith("https").alias("secure"),
-        text.contains_any(F.col("html"), ["NICHT"]).alias("mentions"),
-        F.md5(text.strip_citations(F.concat(url, F.lit(" [1] and [ 22 ]")))).alias("without_markers"),
-        F.array_sort(text.numbers_in(F.concat(url, F.lit(" 12,345 or 6.5")))).alias("numbers"),
-        F.least(F.greatest(F.col("page_id"), F.lit(10)), F.lit(100)).alias("clamped"),
-        F.round(F.col("page_id") * 100 / 365.0, 2).alias("rounded"),
-        text.stable_key(F.lit("x"), url).alias("url_key"),
-    )
-
-
-@query(
-    "nested_scalars",
-    """SELECT event_id, json_extract(props, '$.k')::BIGINT AS k, json_extract_string(props, '$.k') AS k_text, NULL::BIGINT AS missing,
-        NULL::BIGINT AS unparsed, 'VIEW' = upper(event_type) AS is_view,
-        CASE event_type WHEN 'view' THEN 'seen' WHEN 'click' THEN 'used' ELSE 'Unknown' END AS label,
-        CASE event_type WHEN 'error' THEN 0 ELSE event_id END AS filled,
-        to_json([event_type, 'x'])::VARCHAR AS pair_json, 2::BIGINT AS pair_size
-    FROM events""",
-)
-def nested_scalars(spark, sf):
-    kind, pair = F.col("event_type"), F.array("event_type", F.lit("x"))
-    parsed = nested.parse_or_null(F.col("props"), "k bigint, other bigint")
-    return roles.table(spark, sf, "events").select(
-        "event_id",
-        parsed["k"].alias("k"),
-        F.get_json_object("props", "$.k").alias("k_text"),
-        parsed["other"].alias("missing"),
-        nested.parse_or_null(kind, "k bigint")["k"].alias("unparsed"),
-        F.array_contains(F.array(F.upper(kind)), "VIEW").alias("is_view"),
-        F.coalesce(nested.literal_lookup({"view": "seen", "click": "used"}, kind), F.lit("Unknown")).alias("label"),
-        F.coalesce(F.when(kind != "error", F.col("event_id")), F.lit(0)).alias("filled"),
-        nested.array_to_json(pair).alias("pair_json"),
-        F.size(pair).alias("pair_size"),
-    )
-
-
-@query(
-    "centroids",
-    f"""SELECT neighbourhood, 15::BIGINT AS vertices_before, 15::BIGINT AS vertices_after,
-        round(x + {roles.CELL_LON}::DOUBLE * 0.4375, 6) AS vertex_lon, round(y + {roles.CELL_LAT}::DOUBLE * 0.4375, 6) AS vertex_lat,
-        round(x + {roles.CELL_LON}::DOUBLE / 2, 6) AS area_lon, round(y + {roles.CELL_LAT}::DOUBLE / 2, 6) AS area_lat
-    FROM shape""",
-)
-def centroids(spark, sf):
-    """Both centroids, and repeated vertices put in and removed again."""
-    rows = roles.shapes(spark, sf).withColumn(
-        "_repeated", F.expr("transform(shape, polygon -> transform(polygon, ring -> concat(slice(ring, 1, 1), ring)))")
-    )
-    found = rows.select(
-        "neighbourhood",
-        F.size(F.flatten(F.flatten("shape"))).alias("vertices_before"),
-        F.size(F.flatten(F.flatten(geo.tidy_shape("_repeated")))).alias("vertices_after"),
-        geo.vertex_centroid("shape").alias("_vertex"),
-        geo.area_centroid("shape").alias("_area"),
-    )
-    return found.select(
-        "neighbourhood",
-        "vertices_before",
-        "vertices_after",
-        F.col("_vertex.lon").alias("vertex_lon"),
-        F.col("_vertex.lat").alias("vertex_lat"),
-        F.col("_area.lon").alias("area_lon"),
-        F.col("_area.lat").alias("area_lat"),
-    )
-
-
-@query(
-    "geo_distance",
-    f"SELECT place_id, round({haversine('-73.9857::DOUBLE', '40.7484::DOUBLE', 'lon', 'lat')}, 3) AS metres FROM place",
-)
-def geo_distance(spark, sf):
-    metres = geo.distance_m(F.lit(-73.9857), F.lit(40.7484), F.col("lon"), F.col("lat"))
-    return roles.places(spark, sf).select("place_id", F.round(metres, 3).alias("metres"))
-
-
-@query(
-    "dot_product",
-    """SELECT vec_id, round(list_inner_product(embedding::DOUBLE[], embedding::DOUBLE[]), 6) AS squared_norm,
-        round(list_inner_product(embedding::DOUBLE[], list_reverse(embedding)::DOUBLE[]), 6) AS with_reversed FROM embeddings""",
-)
-def dot_product(spark, sf):
-    vector = F.col("embedding")
-    return roles.table(spark, sf, "embeddings").select(
-        "vec_id", dot(vector, vector).alias("squared_norm"), dot(vector, F.reverse(vector)).alias("with_reversed")
-    )
-
-
-# --- star schema ----------------------------------------------------------------------
-
-
-@query(
-    "dim_date",
-    """SELECT full_date::VARCHAR AS full_date, date_id, year, month, month_name, quarter, day_of_week, day_name, is_weekend, season
-    FROM dim_date""",
-)
-def dim_date(spark, sf):
-    return gold.dim_date(roles.reviews(spark, sf))
-
-
-@query("poi_counts", "SELECT neighbourhood, place_type, count(DISTINCT place_id) AS places FROM place GROUP BY 1, 2")
-def poi_counts(spark, sf):
-    return gold.poi_counts(roles.clean_places(spark, sf))
-
-
-@query("dim_neighbourhood", "SELECT * FROM dim_neighbourhood")
-def dim_neighbourhood(spark, sf):
-    return gold.dim_neighbourhood(roles.listings(spark, sf), roles.clean_places(spark, sf), roles.PLACE_TYPES)
-
-
-@query(
-    "dim_host",
-    """SELECT host_id, host_name, host_since::VARCHAR AS host_since, host_is_superhost, host_response_time,
-        host_response_rate, host_acceptance_rate, host_total_listings_count, host_identity_verified FROM dim_host""",
-)
-def dim_host(spark, sf):
-    return gold.dim_host(roles.listings(spark, sf))
-
-
-@query(
-    "dim_listing",
-    """SELECT listing_id, host_id, neighbourhood_id, room_type, property_type, accommodates, bedrooms, beds, bathrooms,
-        minimum_nights, estimated_occupancy_l365d, instant_bookable, review_scores_rating, review_scores_accuracy,
-        review_scores_cleanliness, review_scores_checkin, review_scores_communication, review_scores_location,
-        review_scores_value, first_review::VARCHAR AS first_review, last_review::VARCHAR AS last_review, number_of_reviews,
-        latitude, longitude FROM dim_listing""",
-)
-def dim_listing(spark, sf):
-    return roles.star_plans(spark, sf)["dim_listing"]
-
-
-@query(
-    "noise_borough_month",
-    "SELECT borough, year, month, complaint_count, array_to_string(complaint_types, '|') AS complaint_types FROM noise",
-)
-def noise_borough_month(spark, sf):
-    return gold.noise_borough_month(roles.complaints(spark, sf))
-
-
-@query(
-    "fact_review",
-    "SELECT review_id, listing_id, host_id, neighbourhood_id, date_id, review_date::VARCHAR AS review_date, complaint_count FROM fact_review",
-)
-def fact_review(spark, sf):
-    return roles.star_plans(spark, sf)["fact_review"]
-
-
-@query(
-    "lookback_bridge",
-    """SELECT review_id, weather_date::VARCHAR AS weather_date, days_before_review, temperature_max, temperature_min,
-        precipitation_sum, windspeed_max, weathercode FROM bridge""",
-)
-def lookback_bridge(spark, sf):
-    """Every review with the ten days of weather before it."""
-    return roles.star_plans(spark, sf)["fact_review_weather"]
-
-
-@query(
-    "dimension_keys",
-    " UNION ALL ".join(
-        f"SELECT '{name}' AS dimension, count(*) AS row_count, count(DISTINCT {key}) AS keys, 0::BIGINT AS duplicated FROM {name}"
-        for name, key in gold.DIMENSION_KEYS.items()
-    ),
-)
-def dimension_keys(spark, sf):
-    """Rows, keys and keys that occur more than once, per dimension."""
-    star = roles.star(spark, sf)
-    return gold.key_report({name: star[name] for name in gold.DIMENSION_KEYS})
-
-
-@query("lookup_default", "SELECT doc_id, coalesce(quality::VARCHAR, 'Unknown') AS quality FROM documents LEFT JOIN labels USING (doc_id)")
-def lookup_default(spark, sf):
-    table = roles.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("string").alias("quality"))
-    return lookup.lookup_or_default(roles.table(spark, sf, "documents").select("doc_id"), table, "doc_id", "quality")
-
-
-@query(
-    "dedupe_keep_one",
-    """SELECT o_custkey, o_orderkey, o_orderdate::DATE::VARCHAR AS day FROM orders
-    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""",
-)
-def dedupe_keep_one(spark, sf):
-    """Newest row per key; remaining columns break ties."""
-    rows = roles.table(spark, sf, "orders").select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
-    return keep.keep_one(rows, ["o_custkey"], [F.col("day").desc(), F.col("o_orderkey")])
-
-
-@query(
-    "upsert_last_wins",
-    """SELECT place_id, file, position, name FROM place_hit
-    QUALIFY row_number() OVER (PARTITION BY place_id ORDER BY file DESC, position DESC) = 1""",
-)
-def upsert_last_wins(spark, sf):
-    """A place found from two files keeps the row of the later file."""
-    hits = roles.place_hits(spark, sf).select("place_id", "file", "position", "name")
-    return keep.last_writer_wins(hits, "place_id", "file", "position")
-
-
-@query(
-    "first_seen_dedupe",
-    f"""SELECT file, vicinity, place_type, position FROM (
-        SELECT h.*, p_brand AS vicinity, list_position({roles.PLACE_TYPES}, h.place_type) AS turn
-        FROM place_hit h JOIN part ON h.place_id = 'place-' || p_partkey)
-    QUALIFY row_number() OVER (PARTITION BY file, vicinity ORDER BY turn, position) = 1""",
-)
-def first_seen_dedupe(spark, sf):
-    """Per file and street the hit of the earliest type, types taken in a fixed order."""
-    brands = roles.table(spark, sf, "part").select(
-        F.concat(F.lit("place-"), F.col("p_partkey").cast("string")).alias("place_id"), F.col("p_brand").alias("vicinity")
-    )
-    hits = roles.place_hits(spark, sf).join(brands, "place_id").select("file", "vicinity", "place_type", "position")
-    return keep.first_seen(hits, ["file", "vicinity"], "place_type", roles.PLACE_TYPES, "position")
-
-
-@query(
-    "new_global_unique",
-    """SELECT file, count(DISTINCT place_id) FILTER (file = debut)::BIGINT AS new_items
-    FROM (SELECT *, min(file) OVER (PARTITION BY place_id) AS debut FROM place_hit) GROUP BY 1""",
-)
-def new_global_unique(spark, sf):
-    return keep.newly_seen_counts(roles.place_hits(spark, sf), "place_id", "file")
-
-
-@query(
-    "coverage_counts",
-    "SELECT count(DISTINCT place_id) AS places, count(DISTINCT file) AS neighbourhoods, count(*) AS hits FROM place_hit",
-)
-def coverage_counts(spark, sf):
-    return roles.place_hits(spark, sf).agg(
-        F.countDistinct("place_id").alias("places"),
-        F.countDistinct("file").alias("neighbourhoods"),
-        F.count(F.lit(1)).alias("hits"),
-    )
-
-
-# --- places and geometry --------------------------------------------------------------
-
-_FROM_POINT = haversine("-73.9857::DOUBLE", "40.7484::DOUBLE", "lon", "lat")
-
-
-@query(
-    "geo_near",
-    f"""SELECT place_id, name, round({_FROM_POINT}, 3) AS dist_metres FROM place
-    WHERE place_type = 'ECONOMY' AND {_FROM_POINT} <= 6000 ORDER BY {_FROM_POINT}, place_id LIMIT 20""",
-)
-def geo_near(spark, sf):
-    """The 20 nearest places of a type within 6 km of a point."""
-    found = roles.places(spark, sf).filter(F.array_contains("types", "ECONOMY"))
-    hits = nearby.near(found, -73.9857, 40.7484, 6000.0, 20)
-    return hits.select("place_id", "name", F.round("dist_metres", 3).alias("dist_metres"))
-
-
-_CENTRE_LON, _CENTRE_LAT = f"(x + {roles.CELL_LON}::DOUBLE / 2)", f"(y + {roles.CELL_LAT}::DOUBLE / 2)"
-
-
-@query(
-    "geo_radius_join",
-    f"""SELECT s.neighbourhood, place_id, round({haversine(_CENTRE_LON, _CENTRE_LAT, 'lon', 'lat')}, 2) AS dist_metres
-    FROM shape s, place p WHERE {haversine(_CENTRE_LON, _CENTRE_LAT, 'lon', 'lat')} <= 1000""",
-)
-def geo_radius_join(spark, sf):
-    """Every place within 1,000 m of the middle of every boundary."""
-    boundaries = readers.boundary_documents(roles.shapes(spark, sf))
-    centres = settle(boundaries.select("neighbourhood", "area_centroid.lon", "area_centroid.lat"), "boundary-centres")
-    joined = nearby.radius_join(centres, roles.places(spark, sf), 1000.0, "neighbourhood", "place_id")
-    return joined.withColumn("dist_metres", F.round("dist_metres", 2))
-
-
-def _in_square(inset: float) -> str:
-    return (
-        f"lon >= x + {inset} * {roles.CELL_LON}::DOUBLE AND lon < x + {1 - inset} * {roles.CELL_LON}::DOUBLE"
-        f" AND lat >= y + {inset} * {roles.CELL_LAT}::DOUBLE AND lat < y + {1 - inset} * {roles.CELL_LAT}::DOUBLE"
-    )
-
-
-@query(
-    "point_in_polygon",
-    f"""SELECT s.neighbourhood, place_id FROM shape s, place p
-    WHERE ({_in_square(0.0)} AND NOT ({_in_square(0.25)})) OR ({_in_square(0.375)})""",
-)
-def point_in_polygon(spark, sf):
-    """Places inside two-part boundaries with a hole."""
-    found = roles.places(spark, sf).select("place_id", "lon", "lat")
-    return nearby.points_in_shapes(found, roles.shapes(spark, sf), "place_id", "neighbourhood")
-
-
-# --- SQL over the star ----------------------------------------------------------------
-
-
 def sql_query(name: str, statement: str, oracle: str, limit: int = 1000):
     def run(spark, sf):
         warehouse.register_views(roles.star(spark, sf))
         return warehouse.query_views(spark, statement, limit)
 
     query(name, oracle)(run)
-
-
-sql_query(
-    "sql_star_join",
-    """SELECT d.season, n.borough, count(*) AS reviews FROM fact_review f JOIN dim_date d USING (date_id)
-    JOIN dim_neighbourhood n ON f.neighbourhood_id = n.neighbourhood_id GROUP BY d.season, n.borough""",
-    """SELECT d.season, n.borough, count(*) AS reviews FROM fact_review f JOIN dim_date d USING (date_id)
-    JOIN dim_neighbourhood n ON f.neighbourhood_id = n.neighbourhood_id GROUP BY d.season, n.borough""",
-)
-sql_query(
-    "sql_aggregates",
-    """SELECT room_type, count(*) AS listings, avg(review_scores_rating) AS avg_score,
-        min(review_scores_rating) AS least, max(review_scores_rating) AS most, sum(number_of_reviews) AS reviews
-    FROM dim_listing GROUP BY room_type
-    UNION ALL SELECT 'all', count(*), avg(review_scores_rating), min(review_scores_rating), max(review_scores_rating),
-        sum(number_of_reviews) FROM dim_listing""",
-    """SELECT coalesce(room_type, 'all') AS room_type, count(*) AS listings, round(avg(review_scores_rating), 6) AS avg_score,
-        min(review_scores_rating) AS least, max(review_scores_rating) AS most, sum(number_of_reviews)::BIGINT AS reviews
-    FROM dim_listing GROUP BY GROUPING SETS ((room_type), ())""",
-)
-sql_query(
-    "sql_in_subquery",
-    """SELECT room_type, count(*) AS listings FROM dim_listing WHERE neighbourhood_id IN
-        (SELECT neighbourhood_id FROM dim_neighbourhood WHERE poi_economy > poi_promo) GROUP BY room_type""",
-    """SELECT room_type, count(*) AS listings FROM dim_listing WHERE neighbourhood_id IN
-        (SELECT neighbourhood_id FROM dim_neighbourhood WHERE poi_economy > poi_promo) GROUP BY room_type""",
-)
-sql_query(
-    "sql_union",
-    "SELECT borough AS name FROM noise_borough_month UNION SELECT season FROM dim_date UNION SELECT borough FROM dim_neighbourhood",
-    "SELECT borough AS name FROM noise UNION SELECT season FROM dim_date UNION SELECT borough FROM dim_neighbourhood",
-)
-sql_query(
-    "sql_date_trunc",
-    """SELECT CAST(date_trunc('MONTH', review_date) AS DATE) AS month_start, count(*) AS reviews FROM fact_review
-    WHERE review_date >= DATE '1996-06-15' + INTERVAL 1 YEAR GROUP BY 1""",
-    """SELECT date_trunc('month', review_date)::DATE::VARCHAR AS month_start, count(*) AS reviews FROM fact_review
-    WHERE review_date >= DATE '1996-06-15' + INTERVAL 1 YEAR GROUP BY 1""",
-)
-sql_query(
-    "sql_capped",
-    """WITH busy AS (SELECT listing_id, count(*) AS reviews FROM fact_review GROUP BY listing_id)
-    SELECT listing_id, reviews FROM busy ORDER BY reviews DESC, listing_id LIMIT 5000;""",
-    "SELECT listing_id, count(*) AS reviews FROM fact_review GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
-    limit=25,
-)
-
-
-# --- sampling -------------------------------------------------------------------------
-
-SAMPLE_SIZE = 200
-
-_QUOTA_CTES = f"""
-    counts AS (SELECT neighbourhood, listing_id, count(*) AS n_unit FROM valid_text GROUP BY 1, 2),
-    areas AS (SELECT neighbourhood, sum(n_unit)::BIGINT AS n_area FROM counts GROUP BY 1),
-    raw_quota AS (SELECT *, greatest(10, {SAMPLE_SIZE} * n_area // (SELECT sum(n_area)::BIGINT FROM areas)) AS q FROM areas),
-    area_quotas AS (SELECT neighbourhood, n_area, CASE WHEN (SELECT sum(q) FROM raw_quota) > {SAMPLE_SIZE}
-        THEN greatest(10, floor(q * ({SAMPLE_SIZE}::DOUBLE / (SELECT sum(q) FROM raw_quota)::DOUBLE)))::BIGINT ELSE q END::BIGINT AS area_quota FROM raw_quota),
-    unit_quotas AS (SELECT neighbourhood, listing_id, n_unit, n_area, area_quota,
-        least(n_unit, greatest(1, area_quota * n_unit // n_area)) AS quota FROM counts JOIN area_quotas USING (neighbourhood))"""
-
-
-def _after_roles(ctes: str, sql: str) -> str:
-    """Role names are resolved over the whole text, then the extra subqueries follow them."""
-    whole = with_roles(ctes + sql)
-    head = whole[: len(whole) - len(ctes + sql)].rstrip()
-    return f"{head},{ctes}\n{sql}"
-
-
-def _valid_texts(spark, sf):
-    rows = readers.review_texts(roles.raw_texts(spark, sf)).withColumn("review_date", F.col("review_date").cast("date"))
-    return rows.filter(text.long_enough(F.col("comments"), search.LEAST_REVIEW_CHARS))
-
-
-@query("stratum_counts", "SELECT neighbourhood, listing_id, count(*) AS n_unit FROM valid_text GROUP BY 1, 2")
-def stratum_counts(spark, sf):
-    return strata.stratum_counts(_valid_texts(spark, sf), "neighbourhood", "listing_id")
-
-
-@query("stratified_quotas")
-def stratified_quotas(spark, sf):
-    """Quotas of both levels with the scale-down active."""
-    counts = strata.stratum_counts(_valid_texts(spark, sf), "neighbourhood", "listing_id")
-    return strata.quotas(counts, "neighbourhood", "listing_id", SAMPLE_SIZE).select(
-        "neighbourhood", "listing_id", "n_unit", "n_area", "area_quota", "quota"
-    )
-
-
-ORACLES["stratified_quotas"] = _after_roles(_QUOTA_CTES, "SELECT * FROM unit_quotas")
-
-_SAMPLE_SQL = """SELECT neighbourhood, listing_id, review_date::VARCHAR AS review_date, review_key, md5(comments) AS text_md5
-    FROM (SELECT *, row_number() OVER (PARTITION BY neighbourhood, listing_id ORDER BY review_date, review_key) AS rn FROM valid_text)
-    JOIN unit_quotas USING (neighbourhood, listing_id)
-    WHERE rn * quota // n_unit > (rn - 1) * quota // n_unit"""
-
-
-def _sample(spark, sf):
-    return strata.sample_rows(
-        _valid_texts(spark, sf), "neighbourhood", "listing_id", ["review_date", "review_key"], SAMPLE_SIZE
-    )
-
-
-@query("stratified_sample")
-def stratified_sample(spark, sf):
-    """Evenly spaced texts of every listing, up to its quota."""
-    return _sample(spark, sf).select(
-        "neighbourhood", "listing_id", "review_date", "review_key", F.md5("comments").alias("text_md5")
-    )
-
-
-ORACLES["stratified_sample"] = _after_roles(_QUOTA_CTES, _SAMPLE_SQL)
-
-
-@query("review_docs")
-def review_docs(spark, sf):
-    """Index documents of the sample, ids numbered within a listing's day."""
-    return search.review_documents(_sample(spark, sf)).withColumn("text_md5", F.md5("document")).drop("document")
-
-
-ORACLES["review_docs"] = _after_roles(
-    _QUOTA_CTES,
-    f"""SELECT listing_id || '_' || review_date || CASE WHEN seq = 1 THEN '' ELSE '_' || seq END AS id, text_md5, listing_id,
-        review_date, neighbourhood
-    FROM (SELECT *, row_number() OVER (PARTITION BY listing_id, review_date ORDER BY review_key) AS seq FROM ({_SAMPLE_SQL}))""",
-)
-
-
-# --- vectors and text search ----------------------------------------------------------
-
-
-def _vector(spark, sf, vec_id: int) -> list[float]:
-    row = roles.table(spark, sf, "embeddings").filter(F.col("vec_id") == vec_id).select("embedding").first()
-    return row["embedding"]
-
-
-def _ranked_vectors(where: str) -> str:
-    score = "round(list_inner_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9)"
-    return f"""SELECT e.vec_id, e.label::BIGINT AS label, round({score}, 6) AS similarity, round(1 - {score}, 6) AS distance
-        FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q WHERE {where}
-        ORDER BY {score} DESC, e.vec_id LIMIT 10"""
-
-
-@query("vector_topk", _ranked_vectors("true"))
-def vector_topk(spark, sf):
-    """The ten vectors with the largest inner product with one of them."""
-    index = roles.table(spark, sf, "embeddings")
-    return search.top_k(index, _vector(spark, sf, 7), 10, "vec_id").drop("embedding")
-
-
-@query("vector_topk_filtered", _ranked_vectors("e.label = 3 AND e.vec_id >= 50"))
-def vector_topk_filtered(spark, sf):
-    """The same among rows that pass an equality and a lower bound on their metadata."""
-    where = (F.col("label") == 3) & (F.col("vec_id") >= 50)
-    index = roles.table(spark, sf, "embeddings")
-    return search.top_k(index, _vector(spark, sf, 7), 10, "vec_id", where).drop("embedding")
-
-
-@query(
-    "batch_vector_topk",
-    """SELECT query_id, item_id, round(s, 6) AS similarity, place FROM (
-        SELECT q.vec_id AS query_id, e.vec_id AS item_id, s, row_number() OVER (PARTITION BY q.vec_id ORDER BY s DESC, e.vec_id) AS place
-        FROM embeddings q, embeddings e, LATERAL (SELECT round(list_inner_product(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 9) AS s) t)
-    WHERE place <= 5""",
-)
-def batch_vector_topk(spark, sf):
-    """Top five for every vector as a question, scored block by block."""
-    vectors = roles.table(spark, sf, "embeddings")
-    return search.batch_top_k(vectors, vectors, 5, "vec_id", "vec_id")
-
-
-@query(
-    "embed_documents",
-    "SELECT doc_id, "
-    + ", ".join(f"(length(text) - length(replace(text, '{c}', '')))::BIGINT AS n_{c}" for c in "aeiourst")
-    + " FROM documents",
-)
-def embed_documents(spark, sf):
-    """Whole texts through an encoder loaded once per task."""
-    rows = roles.table(spark, sf, "documents").select("doc_id", "text")
-    vectors = search.embed(rows, "text", search.LetterProfile)
-    position = search.LetterProfile.letters.index
-    return vectors.select(
-        "doc_id", *[F.col("embedding")[position(c)].cast("bigint").alias(f"n_{c}") for c in "aeiourst"]
-    )
-
-
-def _digest(index: DataFrame) -> DataFrame:
-    """Index rows with text and vector reduced to what both engines can show."""
-    total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
-    return index.select(
-        "id", "neighbourhood", F.md5("document").alias("text_md5"), total.alias("letters"), F.col("embedding")[4].alias("letter_e")
-    )
-
-
-def _digest_sql(role: str) -> str:
-    return f"""SELECT id, neighbourhood, md5(document) AS text_md5, list_sum({letters('document')}) AS letters,
-        (length(document) - length(replace(document, 'e', '')))::DOUBLE AS letter_e FROM {role}"""
-
-
-def _build_review_index(spark, sf):
-    return search.build_review_index(_valid_texts(spark, sf), search.LetterProfile)
-
-
-def _build_context_index(spark, sf):
-    articles = landing.articles_from_pages(roles.pages(spark, sf), "html", ARTICLE_WORDS)
-    return search.build_context_index(articles, search.LetterProfile, roles.page_boroughs(spark, sf))
-
-
-@query("review_index", _digest_sql("review_document"))
-def review_index(spark, sf):
-    """The review index written with one row per id; below 50,000 texts the sample is all of them."""
-    stored, _ = sinks.write_index(_build_review_index(spark, sf), scratch_path(spark, "review-index"))
-    return _digest(stored)
-
-
-@query("context_index", _digest_sql("paragraph"))
-def context_index(spark, sf):
-    stored, _ = sinks.write_index(_build_context_index(spark, sf), scratch_path(spark, "context-index"))
-    return _digest(stored)
-
-
-def published_review_index(spark, sf):
-    return roles.once(spark, sf, "review_index", lambda: _build_review_index(spark, sf))
-
-
-def published_context_index(spark, sf):
-    return roles.once(spark, sf, "context_index", lambda: _build_context_index(spark, sf))
-
-
-def _review_search_sql(words: str, k: int, where: str = "true") -> str:
-    score = letter_dot("document", words)
-    return f"""SELECT id, md5(document) AS text_md5, listing_id, review_date::VARCHAR AS review_date, neighbourhood,
-        {score} AS similarity, 1 - {score} AS distance FROM review_document WHERE {where} ORDER BY similarity DESC, id LIMIT {k}"""
-
-
-CHECK_IN = "smooth self check-in with clear instructions"
-
-
-@query("q04_checkin_texts", _review_search_sql(CHECK_IN, 10))
-def q04_checkin_texts(spark, sf):
-    """Texts closest to a question, over all valid texts."""
-    hits = search.search_reviews(published_review_index(spark, sf), CHECK_IN, search.LetterProfile())
-    return hits.withColumn("text_md5", F.md5("document")).drop("document")
-
-
-CHARACTER = "the character and history of the area"
-
-
-@query(
-    "context_topk",
-    f"""SELECT id, md5(document) AS text_md5, neighbourhood, borough, {letter_dot('document', CHARACTER)} AS similarity
-    FROM paragraph ORDER BY similarity DESC, id LIMIT 5""",
-)
-def context_topk(spark, sf):
-    hits = search.neighbourhood_context(published_context_index(spark, sf), CHARACTER, search.LetterProfile())
-    return hits.select("id", F.md5("document").alias("text_md5"), "neighbourhood", "borough", "similarity")
-
-
-def _dual_sql(words: str, review_where: str, context_where: str) -> str:
-    def part(source: str, role: str, where: str, k: int) -> str:
-        return f"""(SELECT '{source}' AS source, id, md5(document) AS text_md5, neighbourhood,
-            {letter_dot('document', words)} AS similarity FROM {role} WHERE {where} ORDER BY similarity DESC, id LIMIT {k})"""
-
-    return (
-        part("search_reviews", "review_document", review_where, 5)
-        + " UNION ALL "
-        + part("get_neighbourhood_context", "paragraph", context_where, 3)
-    )
-
-
-def _dual(spark, sf, words: str, neighbourhood: str | None = None):
-    reviews, context = published_review_index(spark, sf), published_context_index(spark, sf)
-    hits = search.dual_search(reviews, context, words, search.LetterProfile(), neighbourhood)
-    return hits.select("source", "id", F.md5("document").alias("text_md5"), "neighbourhood", "similarity")
-
-
-@query("dual_search", _dual_sql(CHARACTER, "true", "true"))
-def dual_search(spark, sf):
-    """Both indexes for one question, labelled by source."""
-    return _dual(spark, sf, CHARACTER)
-
-
-STAYING = "what do guests say about staying here"
-
-
-@query("q10_area_texts", _dual_sql(STAYING, "neighbourhood = 'de'", "neighbourhood = 'de'"))
-def q10_area_texts(spark, sf):
-    """Texts of one neighbourhood, with context where the encyclopaedia has it."""
-    return _dual(spark, sf, STAYING, "de")
-
-
-@query("q14_context_and_texts", _dual_sql(STAYING, "neighbourhood = 'PAGE_3'", "neighbourhood = 'PAGE_3'"))
-def q14_context_and_texts(spark, sf):
-    return _dual(spark, sf, STAYING, "PAGE_3")
-
-
-# --- scoring --------------------------------------------------------------------------
-
-
-def _scores(spark, sf):
-    return scoring.score_runs(roles.runs(spark, sf))
-
-
-@query(
-    "eval_scores",
-    """SELECT id, difficulty, expected_route, route_taken, route_accuracy, tool_coverage, round(faithfulness, 6) AS faithfulness,
-        round(tool_success, 6) AS tool_success FROM score""",
-)
-def eval_scores(spark, sf):
-    return _scores(spark, sf).select(
-        "id", "difficulty", "expected_route", "route_taken", "route_accuracy", "tool_coverage", "faithfulness", "tool_success"
-    )
-
-
-@query("numeric_grounding", "SELECT id, grounding::DOUBLE AS grounding FROM score")
-def numeric_grounding(spark, sf):
-    value = scoring.numeric_grounding(F.col("context"), F.col("answer"))
-    return roles.runs(spark, sf).select("id", value.alias("grounding"))
-
-
-@query("eval_filtered", "SELECT id, expected_route, route_accuracy FROM score WHERE difficulty = 2")
-def eval_filtered(spark, sf):
-    return scoring.chosen_runs(_scores(spark, sf), difficulty=2).select("id", "expected_route", "route_accuracy")
-
-
-_MEANS_SQL = """count(*) AS n, round_even(avg(route_accuracy), 2) AS avg_route_accuracy, round_even(avg(tool_coverage), 2) AS avg_tool_coverage,
-    round_even(avg(faithfulness) FILTER (faithfulness >= 0), 2) AS avg_faithfulness, round_even(avg(elapsed_seconds), 1) AS avg_elapsed_s"""
-
-
-@query("eval_summary", f"SELECT {_MEANS_SQL} FROM score")
-def eval_summary(spark, sf):
-    return scoring.run_summary(_scores(spark, sf))
-
-
-@query(
-    "eval_breakdown",
-    f"""SELECT 'route' AS kind, expected_route AS name, {_MEANS_SQL} FROM score GROUP BY 2
-    UNION ALL SELECT 'difficulty', difficulty::VARCHAR, {_MEANS_SQL} FROM score GROUP BY 2""",
-)
-def eval_breakdown(spark, sf):
-    scored = _scores(spark, sf).withColumn("difficulty", F.col("difficulty").cast("string"))
-    parts = [
-        scoring.run_breakdown(scored, column).withColumnRenamed(column, "name").withColumn("kind", F.lit(kind))
-        for kind, column in (("route", "expected_route"), ("difficulty", "difficulty"))
-    ]
-    return parts[0].unionByName(parts[1])
-
-
-@query(
-    "scored_context",
-    """SELECT id, md5(string_agg('[' || tool || ']' || chr(10) || substr(result, 1, 500), chr(10) || chr(10) ORDER BY position)) AS context_md5
-    FROM tool_result GROUP BY 1""",
-)
-def scored_context(spark, sf):
-    """Labelled results of every question in call order."""
-    made = scoring.scored_context(roles.tool_results(spark, sf))
-    return made.select("id", F.md5("context").alias("context_md5"))
-
-
-def _answer_sql() -> str:
-    shown = " ".join(f"WHEN '{tool}' THEN {rows}" for tool, rows in scoring.ROWS_SHOWN.items())
-    return f"""SELECT id, md5(string_agg('[' || tool || ']' || chr(10) || body, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY call)) AS context_md5
-        FROM (SELECT id, call, tool, string_agg(CASE WHEN tool IN ('{scoring.REVIEW_TOOL}', '{scoring.CONTEXT_TOOL}') THEN substr(document, 1, 300)
-                ELSE label || ': ' || round(amount, 2) END, chr(10) ORDER BY rank) AS body
-              FROM tool_result WHERE error IS NULL AND rank <= CASE tool {shown} END GROUP BY 1, 2, 3)
-        GROUP BY 1"""
-
-
-@query("context_assembly", _answer_sql())
-def context_assembly(spark, sf):
-    """What an answer is written from: top rows per tool, failed tools left out."""
-    made = scoring.answer_context(roles.tool_results(spark, sf))
-    return made.select("id", F.md5("context").alias("context_md5"))
-
-
-@query(
-    "tool_summary",
-    """SELECT row_number() OVER (ORDER BY season, borough) AS rank, '{"season":"' || season || '","borough":"' || borough || '","reviews":' || reviews || '}' AS piece
-    FROM (SELECT season, borough, count(*) AS reviews FROM fact_review JOIN dim_date USING (date_id) JOIN dim_neighbourhood USING (neighbourhood_id)
-          GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 15)""",
-)
-def tool_summary(spark, sf):
-    """The rows of a warehouse answer that a reader is shown."""
-    star = roles.star(spark, sf)
-    result = (
-        star["fact_review"]
-        .groupBy("date_id", "neighbourhood_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(star["dim_date"].select("date_id", "season"), "date_id")
-        .join(star["dim_neighbourhood"].select("neighbourhood_id", "borough"), "neighbourhood_id")
-        .groupBy("season", "borough")
-        .agg(F.sum("n").alias("reviews"))
-    )
-    return scoring.summarised_rows(result, scoring.WAREHOUSE_TOOL, [F.col("season"), F.col("borough")])
-
-
-_PLANS = ["warehouse", "geodata", "semantic", "geodata+warehouse", "warehouse+semantic", "other"]
-_ASKED = [" occupancy by season", " food near me", " top rated venues in town, price and host", " what guests say"]
-
-
-@query(
-    "route_labels",
-    f"""SELECT conv_id, turn, place AS mentions_place, stats AS mentions_warehouse,
-        CASE WHEN place AND NOT stats AND plan NOT IN ('geodata', 'geodata+warehouse') THEN 'geodata'
-            WHEN place AND stats THEN 'geodata+warehouse' ELSE plan END AS route
-    FROM (SELECT conv_id, turn, {contains_any('asked', scoring.PLACE_WORDS + scoring.PLACE_PHRASES)} AS place,
-            {contains_any('asked', scoring.WAREHOUSE_WORDS)} AS stats,
-            CASE WHEN planned = 'other' THEN 'warehouse' ELSE planned END AS plan
-        FROM (SELECT conv_id, turn, text || {_ASKED}[(conv_id % 4)::INT + 1] AS asked, {_PLANS}[(conv_id % 6)::INT + 1] AS planned
-              FROM conversations))""",
-)
-def route_labels(spark, sf):
-    """Planned routes corrected by the words of each turn."""
-    def pick(values, n):
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("conv_id") % n).cast("int") + 1)
-
-    asked = roles.table(spark, sf, "conversations").select(
-        "conv_id", "turn", F.concat("text", pick(_ASKED, 4)).alias("question"), pick(_PLANS, 6).alias("planned")
-    )
-    return scoring.route_labels(asked, "question", "planned").drop("question", "planned")
-
-
-# --- the question bank ----------------------------------------------------------------
-
-_AVG_SCORE = "round(avg(review_scores_rating), 6) AS avg_score"
-_AVG_DAYS = "round(avg(estimated_occupancy_l365d), 6) AS avg_days"
-
-star_query("q01_listing_count", "SELECT count(*) AS listings FROM dim_listing")(questions.listing_count)
-star_query("q02_mean_score", f"SELECT {_AVG_SCORE} FROM dim_listing")(questions.mean_score)
-query(
-    "q03_top_restaurants",
-    """SELECT place_id, name, neighbourhood, rating FROM place WHERE place_type = 'ECONOMY' AND borough = 'EUROPE'
-    ORDER BY rating DESC NULLS LAST, place_id LIMIT 5""",
-)(lambda spark, sf: questions.top_places(roles.places(spark, sf), "ECONOMY", "EUROPE"))
-star_query("q05_superhosts", "SELECT count(*) AS superhosts FROM dim_host WHERE host_is_superhost")(questions.superhost_count)
-star_query(
-    "q06_occupancy_by_borough",
-    f"SELECT borough, count(*) AS listings, {_AVG_DAYS}, round(avg(estimated_occupancy_l365d) / 365, 6) AS avg_ratio FROM dim_listing GROUP BY 1",
-)(questions.occupancy_by_borough)
-query(
-    "q07_rating_by_borough",
-    "SELECT borough, round(avg(rating), 6) AS avg_rating, count(*) AS place_count FROM place WHERE place_type = 'ECONOMY' AND rating IS NOT NULL GROUP BY 1",
-)(lambda spark, sf: questions.rating_by_borough(roles.places(spark, sf), "ECONOMY"))
-star_query("q08_score_by_room_type", f"SELECT room_type, count(*) AS listings, {_AVG_SCORE} FROM dim_listing GROUP BY 1")(
-    questions.score_by_room_type
-)
-star_query(
-    "q09_peak_months",
-    """SELECT borough, borough_total, month, complaints, place FROM (
-        SELECT borough, month, sum(complaint_count)::BIGINT AS complaints, row_number() OVER (ORDER BY sum(complaint_count) DESC, month) AS place
-        FROM noise WHERE borough = (SELECT borough FROM noise GROUP BY 1 ORDER BY sum(complaint_count) DESC, borough LIMIT 1) GROUP BY 1, 2)
-    JOIN (SELECT borough, sum(complaint_count)::BIGINT AS borough_total FROM noise GROUP BY 1) USING (borough) WHERE place <= 3""",
-)(questions.peak_months)
-star_query(
-    "q11_occupancy_by_bookable", f"SELECT instant_bookable, count(*) AS listings, {_AVG_DAYS} FROM dim_listing GROUP BY 1"
-)(questions.occupancy_by_bookable)
-star_query(
-    "q12_monthly_reviews",
-    """SELECT month, strftime(make_date(2000, month, 1), '%B') AS month_name, round(avg(n), 6) AS avg_reviews, count(*) AS years
-    FROM (SELECT year(review_date) AS y, month(review_date) AS month, count(*) AS n FROM fact_review GROUP BY 1, 2) GROUP BY 1""",
-)(questions.mean_monthly_reviews)
-query(
-    "q13_density_and_score",
-    """SELECT borough, places, round(avg_rating, 6) AS avg_rating, listings, round(avg_score, 6) AS avg_score,
-        round(places * 100.0::DOUBLE / listings, 6) AS places_per_100_listings
-    FROM (SELECT borough, count(*) AS places, avg(rating) AS avg_rating FROM place WHERE place_type = 'ECONOMY' GROUP BY 1)
-    JOIN (SELECT borough, count(*) AS listings, avg(review_scores_rating) AS avg_score FROM dim_listing GROUP BY 1) USING (borough)""",
-)(lambda spark, sf: questions.density_and_score(roles.star(spark, sf), roles.places(spark, sf), "ECONOMY"))
-star_query(
-    "q15_poi_and_score",
-    """SELECT neighbourhood, borough, poi_total, round(avg_score, 6) AS avg_score, round(corr(poi_total, avg_score) OVER (), 6) AS correlation
-    FROM dim_neighbourhood JOIN (SELECT neighbourhood_id, avg(review_scores_rating) AS avg_score FROM dim_listing GROUP BY 1) USING (neighbourhood_id)""",
-)(questions.poi_and_score)
-star_query(
-    "q16_reviews_by_season", f"SELECT {season('month(review_date)')} AS season, count(*) AS reviews FROM fact_review GROUP BY 1"
-)(questions.reviews_by_season)
-star_query(
-    "q17_superhost_comparison",
-    f"""SELECT h.host_is_superhost, count(*) AS listings, {_AVG_DAYS}, {_AVG_SCORE}
-    FROM dim_listing l JOIN dim_host h USING (host_id) GROUP BY 1""",
-)(questions.superhost_comparison)
-SUPERHOST = "responsive superhost, spotless and thoughtful extras"
-
-
-@query("q17_superhost_texts", _review_search_sql(SUPERHOST, 5))
-def q17_superhost_texts(spark, sf):
-    hits = search.search_reviews(published_review_index(spark, sf), SUPERHOST, search.LetterProfile(), 5)
-    return hits.withColumn("text_md5", F.md5("document")).drop("document")
-
-
-star_query(
-    "q18_complaints_and_score",
-    """SELECT borough, complaints, listings, round(rate, 6) AS complaints_per_listing, round(score, 6) AS avg_score,
-        round(corr(rate, score) OVER (), 6) AS correlation
-    FROM (SELECT borough, complaints, listings, complaints / listings AS rate, avg_score AS score
-        FROM (SELECT borough, sum(complaint_count)::BIGINT AS complaints FROM noise GROUP BY 1)
-        JOIN (SELECT borough, count(*) AS listings, avg(review_scores_rating) AS avg_score FROM dim_listing GROUP BY 1) USING (borough))""",
-)(questions.complaints_and_score)
-query(
-    "q19_best_value",
-    """SELECT neighbourhood, borough, round(avg_score, 6) AS avg_score, round(avg_nights, 6) AS avg_nights, transit_places, score_rank, nights_rank,
-        transit_rank, score_rank + nights_rank + transit_rank AS value_rank
-    FROM (SELECT *, rank() OVER (ORDER BY avg_score DESC NULLS LAST) AS score_rank, rank() OVER (ORDER BY avg_nights NULLS LAST) AS nights_rank,
-            rank() OVER (ORDER BY transit_places DESC) AS transit_rank
-        FROM (SELECT neighbourhood, borough, avg(review_scores_rating) AS avg_score, avg(minimum_nights) AS avg_nights FROM dim_listing GROUP BY 1, 2)
-        JOIN (SELECT d.neighbourhood, d.borough, count(place_id) AS transit_places FROM dim_neighbourhood d
-              LEFT JOIN place p ON p.neighbourhood = d.neighbourhood AND p.borough = d.borough AND p.place_type = 'PROMO' GROUP BY 1, 2)
-        USING (neighbourhood, borough))""",
-)(lambda spark, sf: questions.best_value(roles.star(spark, sf), roles.places(spark, sf), "PROMO"))
-
-WET, WARM = [0.0945, 0.0965, 0.0985], [47.55, 48.35, 48.95]
-star_query(
-    "q20_reviews_by_weather",
-    f"""SELECT {bands('rain', WET)} AS rain_band, {bands('warmth', WARM)} AS temperature_band, count(*) AS reviews, count(DISTINCT review_date) AS days
-    FROM (SELECT review_id, avg(precipitation_sum) AS rain, avg(temperature_max) AS warmth FROM bridge GROUP BY 1)
-    JOIN fact_review USING (review_id) GROUP BY 1, 2""",
-)(lambda star: questions.reviews_by_weather(star, WET, WARM))
