@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,10 @@ from tessera.functions.vectors import dot, literal_vector
 from tessera.operators.keep import keep_first
 from tessera.operators.strata import sample_rows
 
+# The functions that run inside tasks travel by value: executors need numpy and pandas,
+# but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Encoder = Callable[[list[str]], np.ndarray]
 
 # Texts per encoder call, size of the review sample, least characters, result counts.
