@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import math
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from tessera.functions import geo
@@ -257,3 +261,18 @@ def test_same_encoder_for_index_and_question(spark):
     assert search.neighbourhood_context(index, "quiet", search.LetterProfile(), 5, "B").count() == 1
     both = search.dual_search(index, index, "quiet", search.LetterProfile(), n_reviews=1, n_context=1)
     assert rows(both.select("source", "id")) == [("get_neighbourhood_context", "1"), ("search_reviews", "1")] or both.count() == 2
+
+
+def test_task_functions_need_no_installed_package(tmp_path):
+    payload = cloudpickle.dumps((search.LetterProfile(), search._score_block))
+    code = (
+        "import sys, pickle, numpy as np\n"
+        "encode, score = pickle.load(sys.stdin.buffer)\n"
+        "assert 'tessera' not in sys.modules\n"
+        "v = encode(['ab', 'b']).astype(float)\n"
+        "print(len(score(v, np.array([1, 2]), v, np.array([1, 2]), 1)))\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd=tmp_path, env=environment)
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.split()[-1] == b"2"
