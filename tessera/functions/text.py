@@ -55,11 +55,11 @@ BLOCK_TAGS = (
     "footer|form|h1|h2|h3|h4|h5|h6|header|hr|html|li|main|menu|nav|ol|p|pre|section|table|td|th|tr|ul"
 )
 
-HEADING_PATTERN = r"(?is)<h[23][\s/>].*$"
-UNSEEN_PATTERN = r"(?is)<!--.*?-->|<script[\s>].*?</script>|<style[\s>].*?</style>"
-PARAGRAPH_PATTERN = r"(?i)<p(?:\s[^>]*)?>"
+HEADING_PATTERN = r"(?s)<[hH][23][\s/>].*$"
+UNSEEN_PATTERN = r"(?s)<(?:!--.*?-->|(?i:script[\s>].*?</script>|style[\s>].*?</style>))"
+PARAGRAPH_PATTERN = r"<[pP](?:\s[^>]*)?>"
 PARAGRAPH_END_PATTERN = rf"(?is)</?(?:{BLOCK_TAGS})(?:[\s/][^>]*)?>.*$"
-TAG_PATTERN = r"(?s)<[^>]*>"
+TAG_PATTERN = r"<[^>]*>"
 HREF_PATTERN = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
 
