@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from tessera.llm import exact_dedup, mixing, ngram_join, substring_dedup, suffix_dedup, token_files, url_filter  # noqa: F401
+from tessera.llm import (  # noqa: F401
+    decontaminate,
+    exact_dedup,
+    mixing,
+    ngram_join,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+    url_filter,
+)
 from tessera.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
