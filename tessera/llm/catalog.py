@@ -5,6 +5,7 @@ from __future__ import annotations
 from tessera.llm import (  # noqa: F401
     decontaminate,
     exact_dedup,
+    lm_score,
     mixing,
     ngram_join,
     quality,
