@@ -7,9 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_DOCUMENTS = 20
-MOST_DOCUMENTS = 200
-
 
 def all_of(*predicates: Column | None) -> Column | None:
     """Conjunction of the predicates that are given; none when all are None."""
@@ -23,9 +20,9 @@ def find(
     include: list[str] | None = None,
     exclude: list[str] | None = None,
     sort: list[tuple[str, int]] | None = None,
-    limit: int = DEFAULT_DOCUMENTS,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Documents that satisfy a predicate, sorted and capped at 1..200 rows.
+    """Documents that satisfy a predicate, sorted; all of them, or the first ``limit`` (one at least).
 
     Sort directions are 1 and -1; missing values sort first ascending and last
     descending. Either the included columns are kept or the excluded ones dropped.
@@ -35,7 +32,8 @@ def find(
         found = found.orderBy(
             *[F.col(c).asc_nulls_first() if way > 0 else F.col(c).desc_nulls_last() for c, way in sort]
         )
-    found = found.limit(max(1, min(int(limit), MOST_DOCUMENTS)))
+    if limit is not None:
+        found = found.limit(max(1, int(limit)))
     if include:
         return found.select(*include)
     return found.drop(*exclude) if exclude else found

@@ -20,13 +20,16 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column], n: int = 1,
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
-    """One row per key: the first in ``order``, then by a hash of the remaining columns.
+    """One row per key: the first in ``order``, then by a hash of the remaining columns, then by their values.
 
-    The hash makes the choice independent of file and task order without a sort over
-    every column.
+    The hash holds which columns are null, since nulls by themselves leave it unchanged. Values
+    are compared only where order and hash are equal, so the choice never depends on file or
+    task order. Maps have no order and take part in the hash alone.
     """
-    rest = [c for c in df.columns if c not in keys]
-    tie = [F.xxhash64(*rest)] if rest else [F.lit(1)]
+    rest = [f for f in df.schema.fields if f.name not in keys]
+    names = [F.col(f"`{f.name}`") for f in rest]
+    hashed = [n for n, f in zip(names, rest) if "map<" not in f.dataType.simpleString()]
+    tie = [F.xxhash64(*hashed, *[n.isNull() for n in names]), *hashed] if rest else [F.lit(1)]
     return keep_first(df, keys, [*(order or []), *tie])
 
 

@@ -61,10 +61,6 @@ WAREHOUSE_WORDS = [
     "average rating",
 ]
 
-# How much of each tool's result an answer is given.
-ROWS_SHOWN = {WAREHOUSE_TOOL: 15, GEODATA_TOOL: 8, REVIEW_TOOL: 5, CONTEXT_TOOL: 5}
-SEARCH_CHARS = 300
-SCORED_CHARS = 500
 NO_RESULTS = "(no tool results)"
 
 
@@ -157,12 +153,17 @@ def run_breakdown(scored: DataFrame, *by: str) -> DataFrame:
     return scored.groupBy(*by).agg(*_mean_columns())
 
 
-def scored_context(results: DataFrame, question: str = "id") -> DataFrame:
-    """One context text per question: each result labelled and cut to 500 characters, in call order.
+def _shown(text: str, chars: int | None) -> Column:
+    return F.col(text) if chars is None else F.substring(text, 1, chars)
 
-    Expects the question key, ``position``, ``tool`` and ``result``.
+
+def scored_context(results: DataFrame, question: str = "id", chars: int | None = None) -> DataFrame:
+    """One context text per question: each result labelled, whole or its first ``chars``, in call order.
+
+    Expects the question key, ``position``, ``tool`` and ``result``. Numbers an answer takes from a
+    part that ``chars`` cuts off would count as ungrounded.
     """
-    piece = F.concat(F.lit("["), F.col("tool"), F.lit("]\n"), F.substring("result", 1, SCORED_CHARS))
+    piece = F.concat(F.lit("["), F.col("tool"), F.lit("]\n"), _shown("result", chars))
     joined = _joined_in_order(F.struct(F.col("position"), piece.alias("piece")), "\n\n")
     return results.groupBy(question).agg(joined.alias("context"))
 
@@ -177,20 +178,23 @@ def _joined_in_order(entry: Column, separator: str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["piece"]), separator)
 
 
-def answer_context(results: DataFrame, question: str = "id") -> DataFrame:
-    """What an answer is written from: the top results of every tool that did not fail.
+def answer_context(
+    results: DataFrame, question: str = "id", rows: dict[str, int] | None = None, chars: int | None = None
+) -> DataFrame:
+    """What an answer is written from: the results of every tool that did not fail.
 
     Expects the question key, ``tool``, ``call``, ``rank`` (1-based place of the row in
     the tool's result), ``error`` and a typed ``row``: a map of text and number parts
     is given as ``label`` and ``amount``, search hits as ``document``. Geometry is not
-    among the inputs. Rows shown per call follow ROWS_SHOWN, numbers are rounded to 2
-    digits and documents cut to 300 characters, all before anything is collected, so a
-    group holds at most 15 short rows per call.
+    among the inputs. Numbers are rounded to 2 digits. ``rows`` keeps only the first rows of a
+    call of the tools it names, ``chars`` only the first characters of a document.
     """
-    limit = F.create_map(*[F.lit(x) for pair in ROWS_SHOWN.items() for x in pair])[F.col("tool")]
-    kept = results.filter(F.col("error").isNull() & (F.col("rank") <= limit))
+    kept = results.filter(F.col("error").isNull())
+    if rows:
+        limit = F.create_map(*[F.lit(x) for pair in rows.items() for x in pair])[F.col("tool")]
+        kept = kept.filter(limit.isNull() | (F.col("rank") <= limit))
     record = F.concat_ws(": ", F.col("label"), F.round("amount", 2).cast("string"))
-    text = F.when(F.col("tool").isin(REVIEW_TOOL, CONTEXT_TOOL), F.substring("document", 1, SEARCH_CHARS)).otherwise(record)
+    text = F.when(F.col("tool").isin(REVIEW_TOOL, CONTEXT_TOOL), _shown("document", chars)).otherwise(record)
     per_call = (
         kept.withColumn("piece", text)
         .groupBy(question, "call", "tool")
@@ -200,21 +204,20 @@ def answer_context(results: DataFrame, question: str = "id") -> DataFrame:
     return per_call.groupBy(question).agg(_joined_in_order(F.struct("call", "piece"), "\n\n---\n\n").alias("context"))
 
 
-def summarised_rows(result: DataFrame, tool: str, order: list[Column]) -> DataFrame:
-    """The rows of one tool's result that an answer is shown: (rank, piece).
+def summarised_rows(result: DataFrame, tool: str, order: list[Column], rows: int, chars: int | None = None) -> DataFrame:
+    """The first ``rows`` of one tool's result, as an answer is shown them: (rank, piece).
 
-    The first rows in ``order`` up to the tool's number, as JSON text with floating
-    numbers rounded to 2 digits and without geometry; of search hits, the first
-    characters of the document.
+    JSON text with floating numbers rounded to 2 digits and without geometry; of search
+    hits the document, whole or its first ``chars``.
     """
-    top = result.orderBy(*order).limit(ROWS_SHOWN[tool])
+    top = result.orderBy(*order).limit(rows)
     rank = F.row_number().over(Window.orderBy(*order))
     if tool in (REVIEW_TOOL, CONTEXT_TOOL):
-        piece = F.substring("document", 1, SEARCH_CHARS)
+        piece = _shown("document", chars)
     else:
         shown = [f for f in result.schema.fields if f.name not in ("geometry", "shape", "centroid")]
         piece = F.to_json(F.struct(*[_two_digits(F.col(f.name), f.dataType).alias(f.name) for f in shown]))
-    # at most 15 rows are left here, so one window over them is enough
+    # a few rows are left here, so one window over them is enough
     return top.select(rank.alias("rank"), piece.alias("piece"))
 
 
@@ -252,9 +255,9 @@ def route_labels(questions: DataFrame, text: str, planned: str) -> DataFrame:
 
 
 def question_answer_pairs(turns: DataFrame) -> DataFrame:
-    """Each user turn with the assistant turn right after it in the same conversation."""
+    """Each user turn with the assistant turn right after it in the same conversation, null where none follows."""
     asked = turns.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("question"))
     replied = turns.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")
     )
-    return asked.join(replied, ["conv_id", "turn"])
+    return asked.join(replied, ["conv_id", "turn"], "left")

@@ -7,15 +7,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import long_enough, strip, strip_citations
-from tessera.functions.vectors import dot, literal_vector
 from tessera.operators.keep import keep_first
-from tessera.operators.strata import sample_rows
+from tessera.operators.lookup import lookup_or_default
+from tessera.operators.strata import ranked_slices, sample_rows
+from tessera.session import settle
 
 # The functions that run inside tasks travel by value: executors need numpy and pandas,
 # but not this package.
@@ -23,13 +25,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 Encoder = Callable[[list[str]], np.ndarray]
 
-# Texts per encoder call, size of the review sample, least characters, result counts.
+# Texts per encoder call, least characters, default result counts.
 ENCODE_BATCH = 64
-MAX_REVIEWS = 50_000
 LEAST_REVIEW_CHARS = 20
 LEAST_PARAGRAPH_CHARS = 30
-REVIEW_RESULTS, REVIEW_RESULTS_MAX = 10, 50
-CONTEXT_RESULTS, CONTEXT_RESULTS_MAX = 5, 20
+REVIEW_RESULTS = 10
+CONTEXT_RESULTS = 5
+
+# Rows of a block of the many-question search, on either side.
+BLOCK_ROWS = 1000
 
 # Scores are compared after rounding to this many digits, so that equal vectors tie
 # whatever order their products were summed in; ties go to the smaller id.
@@ -42,7 +46,8 @@ class LetterProfile:
     letters = "abcdefghijklmnopqrstuvwxyz"
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        return np.array([[t.count(c) for c in self.letters] for t in texts], dtype=np.float32).reshape(-1, 26)
+        counts = [np.bincount(np.frombuffer(t.encode("utf-8"), np.uint8), minlength=256)[97:123] for t in texts]
+        return np.array(counts, dtype=np.float32).reshape(-1, 26)
 
 
 def embed(
@@ -50,51 +55,48 @@ def embed(
 ) -> DataFrame:
     """Add an ``embedding`` column. ``load_encoder`` runs once per task, not per row.
 
-    Texts reach the encoder whole, ``batch`` at a time.
+    Texts reach the encoder whole, ``batch`` at a time; only they leave the JVM.
     """
-    schema = T.StructType([*documents.schema.fields, T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
-    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def encode(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = load_encoder()
-        for frame in frames:
-            for start in range(0, len(frame), batch):
-                part = frame.iloc[start : start + batch].copy()
-                vectors = np.asarray(encoder([t or "" for t in part[text]]), dtype=np.float32)
-                part["embedding"] = list(vectors)
-                yield part
-
-    return documents.mapInPandas(encode, schema)
+        for column in columns:
+            texts = column.fillna("").tolist()
+            parts = [np.asarray(encoder(texts[i : i + batch]), dtype=np.float32) for i in range(0, len(texts), batch)]
+            yield pd.Series([vector for part in parts for vector in part], dtype=object)
 
+    return documents.withColumn("embedding", encode(F.col(text)))
 
-def with_similarity(index: DataFrame, query: Column) -> DataFrame:
-    scale = F.lit(10.0**SCORE_DIGITS)
-    similarity = F.rint(dot(F.col("embedding"), query) * scale) / scale
-    return index.withColumn("similarity", similarity).withColumn("distance", 1 - F.col("similarity"))
 
+def top_k(index: DataFrame, query_vector, k: int | None, id_column: str, where: Column | None = None) -> DataFrame:
+    """The ``k`` most similar rows among those that pass ``where``; all of them, ranked, when k is None.
 
-def top_k(index: DataFrame, query_vector, k: int, id_column: str, where: Column | None = None) -> DataFrame:
-    """The ``k`` most similar rows among those that pass ``where``.
-
-    The filter sits below the ranking, and the ranking is a per-task top-k followed
-    by a merge of k rows per task.
+    The filter sits below the scoring. Batches are scored by one matrix product and keep their own
+    k best, so a task sends on k rows per batch; the last ranking is again a top-k per task.
     """
     pool = index if where is None else index.filter(where)
-    return (
-        with_similarity(pool, literal_vector(query_vector))
-        .orderBy(F.col("similarity").desc(), F.col(id_column))
-        .limit(k)
-    )
+    asked = np.asarray(query_vector, dtype=np.float64)
+    schema = T.StructType([*pool.schema.fields, T.StructField("similarity", T.DoubleType())])
 
+    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                frame["similarity"] = np.round(_matrix(frame["embedding"]) @ asked, SCORE_DIGITS)
+                if k is not None and len(frame) > k:
+                    frame = frame.sort_values(["similarity", id_column], ascending=[False, True]).head(k)
+                yield frame
 
-def clamp(n: int, most: int) -> int:
-    return max(1, min(int(n), most))
+    scored = pool.mapInPandas(score, schema).withColumn("distance", 1 - F.col("similarity"))
+    ranked = scored.orderBy(F.col("similarity").desc(), F.col(id_column))
+    return ranked if k is None else ranked.limit(k)
 
 
 def search_reviews(
-    index: DataFrame, query: str, encoder: Encoder, n_results: int = REVIEW_RESULTS, where: Column | None = None
+    index: DataFrame, query: str, encoder: Encoder, n_results: int | None = REVIEW_RESULTS, where: Column | None = None
 ) -> DataFrame:
     """Reviews most similar to a question; the encoder must be the index's own."""
-    hits = top_k(index, encoder([query])[0], clamp(n_results, REVIEW_RESULTS_MAX), "id", where)
+    hits = top_k(index, encoder([query])[0], n_results, "id", where)
     return hits.drop("embedding")
 
 
@@ -102,12 +104,12 @@ def neighbourhood_context(
     index: DataFrame,
     query: str,
     encoder: Encoder,
-    n_results: int = CONTEXT_RESULTS,
+    n_results: int | None = CONTEXT_RESULTS,
     neighbourhood: str | None = None,
 ) -> DataFrame:
     """Encyclopaedia paragraphs most similar to a question, optionally of one neighbourhood."""
     where = None if neighbourhood is None else F.col("neighbourhood") == neighbourhood
-    hits = top_k(index, encoder([query])[0], clamp(n_results, CONTEXT_RESULTS_MAX), "id", where)
+    hits = top_k(index, encoder([query])[0], n_results, "id", where)
     return hits.drop("embedding")
 
 
@@ -142,7 +144,9 @@ def _best_per_query(query_ids, item_ids, scores, k: int) -> pd.DataFrame:
     lengths = np.diff(np.r_[starts, len(order)])
     place = np.arange(len(order)) - np.repeat(starts, lengths)
     kept = order[place < k]
-    return pd.DataFrame({"query_id": query_ids[kept], "item_id": item_ids[kept], "similarity": scores[kept]})
+    columns = {"query_id": query_ids, "item_id": item_ids, "similarity": scores}
+    # text ids stay plain objects
+    return pd.DataFrame({name: pd.Series(values[kept], dtype=values.dtype) for name, values in columns.items()})
 
 
 def _score_block(queries: np.ndarray, query_ids: np.ndarray, items: np.ndarray, item_ids: np.ndarray, k: int) -> pd.DataFrame:
@@ -164,89 +168,68 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def batch_top_k(
-    queries: DataFrame,
-    index: DataFrame,
-    k: int,
-    query_id: str,
-    item_id: str,
-    shared_queries: int = 4096,
-    block_rows: int = 50_000,
+    queries: DataFrame, index: DataFrame, k: int, query_id: str, item_id: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """The k best index rows of every query vector: (query_id, item_id, similarity, place).
 
-    Both sides carry an ``embedding``. No pair is ever a row: blocks are scored by
-    matrix products and only k rows per query leave a block.
-
-    Up to ``shared_queries`` queries (counted first, one short job) are sent to the
-    tasks that scan the index, which is then not shuffled. Beyond that, both sides are
-    cut into hash blocks of about ``block_rows`` rows and every pair of blocks becomes
-    one group: the index moves once per query block, the queries once per index block.
+    Both sides carry an ``embedding``. They are cut into hash blocks of about ``block_rows`` rows, and
+    every pair of blocks is one group, scored by one matrix product: no pair of rows is ever a row,
+    only k rows per query leave a group, and nothing passes through the driver but two counts.
+    Each side moves once per block of the other, which is the least an exact search of
+    all against all can do without sending a whole side to every task.
     """
     q = queries.select(F.col(query_id).alias("query_id"), F.col("embedding").alias("embedding"))
     items = index.select(F.col(item_id).alias("item_id"), F.col("embedding").alias("embedding"))
     fields = [q.schema["query_id"], items.schema["item_id"], T.StructField("similarity", T.DoubleType())]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    query_blocks, item_blocks = (max(1, -(-side.count() // block_rows)) for side in (q, items))
+
+    def block(column: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
 
-    head = q.limit(shared_queries + 1).toPandas()
-    if head.empty:
-        return q.sparkSession.createDataFrame([], T.StructType([*schema.fields, T.StructField("place", T.IntegerType())]))
-    if len(head) <= shared_queries:
-        ids, vectors = head["query_id"].to_numpy(), _matrix(head["embedding"])
-
-        def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            best = None
-            for frame in frames:
-                if frame.empty:
-                    continue
-                fresh = _score_block(vectors, ids, _matrix(frame["embedding"]), frame["item_id"].to_numpy(), k)
-                pool = fresh if best is None else pd.concat([best, fresh], ignore_index=True)
-                best = _best_per_query(*(pool[c].to_numpy() for c in ("query_id", "item_id", "similarity")), k)
-            if best is not None:
-                yield best
-
-        partial = items.mapInPandas(scan, schema)
-    else:
-        query_blocks = -(-q.count() // block_rows)
-        item_blocks = -(-items.count() // block_rows)
-
-        def block(column: str, n: int) -> Column:
-            return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-        def every(n: int) -> Column:
-            return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-        left = q.withColumn("_qb", block("query_id", query_blocks)).withColumn("_ib", every(item_blocks))
-        right = items.withColumn("_ib", block("item_id", item_blocks)).withColumn("_qb", every(query_blocks))
-
-        def pair(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            if asked.empty or held.empty:
-                return pd.DataFrame({f.name: [] for f in schema.fields})
-            return _score_block(
-                _matrix(asked["embedding"]),
-                asked["query_id"].to_numpy(),
-                _matrix(held["embedding"]),
-                held["item_id"].to_numpy(),
-                k,
-            )
-
-        partial = (
-            left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInPandas(pair, schema)
-        )
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    left = q.withColumn("_qb", block("query_id", query_blocks)).withColumn("_ib", every(item_blocks))
+    right = items.withColumn("_ib", block("item_id", item_blocks)).withColumn("_qb", every(query_blocks))
+
+    def pair(asked: pa.Table, held: pa.Table) -> pa.Table:
+        kinds = [asked.schema.field("query_id").type, held.schema.field("item_id").type, pa.float64()]
+        columns = [[], [], []]
+        if asked.num_rows and held.num_rows:
+            ids = [side.column(name).to_numpy(zero_copy_only=False) for side, name in ((asked, "query_id"), (held, "item_id"))]
+            sides = [np.stack(side.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64) for side in (asked, held)]
+            best = _score_block(sides[0], ids[0], sides[1], ids[1], k)
+            columns = [best[name].to_numpy() for name in ("query_id", "item_id", "similarity")]
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["query_id", "item_id", "similarity"])
+
+    partial = left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInArrow(pair, schema)
     return keep_first(partial, ["query_id"], [F.col("similarity").desc(), F.col("item_id")], k, rank_as="place")
 
 
+def numbered_keys(reviews: DataFrame) -> DataFrame:
+    """(review_key, seq): the place of each text among those of its listing and day.
+
+    Made from narrow keys, without the text, and without gathering a listing's day in one task.
+    """
+    day = ["listing_id", "review_date"]
+    placed, offsets = ranked_slices(reviews.select(*day, "review_key"), day, ["review_key"])
+    numbered = placed.join(offsets, [*day, "_slice"])
+    return settle(numbered.select("review_key", (F.col("_before") + F.col("_place")).alias("seq")), "review-numbers")
+
+
 def review_documents(reviews: DataFrame) -> DataFrame:
-    """Index documents of (sampled) review texts: id, document and metadata columns.
+    """Index documents of review texts: id, document and metadata columns.
 
     The id is listing and date; from the second text of a listing on one day a
     sequence number follows, so that no text overwrites another. Expects listing_id,
-    review_date, review_key, neighbourhood, comments.
+    review_date, review_key (unique), neighbourhood, comments. Texts move at most once, by their
+    own key, and not at all where the numbers are few enough to be broadcast.
     """
     base = F.concat_ws("_", F.col("listing_id").cast("string"), F.col("review_date").cast("string"))
-    same_day = Window.partitionBy("listing_id", "review_date").orderBy("review_key")
-    numbered = reviews.withColumn("_seq", F.row_number().over(same_day))
+    numbered = reviews.join(numbered_keys(reviews), "review_key")
     return numbered.select(
-        F.when(F.col("_seq") == 1, base).otherwise(F.concat_ws("_", base, F.col("_seq").cast("string"))).alias("id"),
+        F.when(F.col("seq") == 1, base).otherwise(F.concat_ws("_", base, F.col("seq").cast("string"))).alias("id"),
         strip(F.col("comments")).alias("document"),
         "listing_id",
         "review_date",
@@ -254,15 +237,22 @@ def review_documents(reviews: DataFrame) -> DataFrame:
     )
 
 
+def placed_reviews(texts: DataFrame, listings: DataFrame) -> DataFrame:
+    """Review texts long enough to index, with the neighbourhood of their listing or "Unknown"."""
+    enough = texts.filter(long_enough(F.col("comments"), LEAST_REVIEW_CHARS))
+    return lookup_or_default(enough, listings, "listing_id", "neighbourhood")
+
+
 def build_review_index(
-    reviews: DataFrame, load_encoder: Callable[[], Encoder], sample_size: int = MAX_REVIEWS
+    reviews: DataFrame, load_encoder: Callable[[], Encoder], sample_size: int | None = None
 ) -> DataFrame:
-    """Sampled, numbered and embedded review documents.
+    """Numbered and embedded review documents of all texts, or of a stratified sample of ``sample_size``.
 
-    The sample decides which texts are encoded at all; expects neighbourhood,
-    listing_id, review_date, review_key, comments.
+    Expects neighbourhood (see ``placed_reviews``), listing_id, review_date, review_key, comments.
     """
-    chosen = sample_rows(reviews, "neighbourhood", "listing_id", ["review_date", "review_key"], sample_size)
+    chosen = reviews
+    if sample_size is not None:
+        chosen = sample_rows(reviews, "neighbourhood", "listing_id", ["review_date", "review_key"], sample_size)
     return embed(review_documents(chosen), "document", load_encoder)
 
 

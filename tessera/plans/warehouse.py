@@ -6,20 +6,17 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-DEFAULT_ROWS = 100
-MOST_ROWS = 1000
-
-
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
 
 
-def query_views(spark: SparkSession, sql: str, limit: int = DEFAULT_ROWS) -> DataFrame:
-    """Run one query over the registered views, capped at 1..1000 rows.
+def query_views(spark: SparkSession, sql: str, limit: int | None = None) -> DataFrame:
+    """Run one query over the registered views: all rows, or the first ``limit`` (one at least).
 
     The text runs as a subquery: statements that change anything do not parse there,
     and a larger LIMIT inside does not lift the cap.
     """
     text = sql.strip().rstrip(";").rstrip()
-    return spark.sql(f"SELECT * FROM (\n{text}\n)").limit(max(1, min(int(limit), MOST_ROWS)))
+    rows = spark.sql(f"SELECT * FROM (\n{text}\n)")
+    return rows if limit is None else rows.limit(max(1, int(limit)))

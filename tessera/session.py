@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,13 +39,21 @@ def run_folder(spark: SparkSession) -> str:
     if app not in _RUN_FOLDERS:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
-            if not spark.sparkContext.master.startswith("local"):
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             root = tempfile.mkdtemp(prefix="tessera-")
         _RUN_FOLDERS[app] = f"{root.rstrip('/')}/tessera-{app}-{uuid.uuid4().hex[:8]}"
     return _RUN_FOLDERS[app]
 
 
+def clear_run_folder(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder; frames read from there end with it."""
+    root = _RUN_FOLDERS.pop(spark.sparkContext.applicationId, None)
+    if root:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the run folder; nothing is created."""
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"

@@ -34,6 +34,11 @@ def articles_from_pages(pages: DataFrame, html: str, words=CITY_WORDS) -> DataFr
     )
 
 
+def accepted(articles: DataFrame) -> DataFrame:
+    """The articles that are stored: those whose status is "ok"."""
+    return articles.filter(F.col("status") == "ok")
+
+
 def prefix_and_range(df: DataFrame, text: str, prefix: str, when: str, start, end, columns: list[str]) -> DataFrame:
     """Rows whose text starts with the prefix within a closed time range; reaches the file scan."""
     return df.filter(F.col(text).startswith(prefix) & F.col(when).between(start, end)).select(*columns)

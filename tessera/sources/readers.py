@@ -18,9 +18,14 @@ def _strings(columns: list[str]) -> str:
 
 
 def _csv(spark: SparkSession, path: str, columns: list[str], multi_line: bool) -> DataFrame:
-    """Text columns picked by header name; columns the file does not have are null."""
+    """Text columns picked by header name; columns the files do not have are null.
+
+    A file whose header differs from the first one's is an error, as its columns would
+    otherwise be taken by place.
+    """
     found = (
         spark.read.option("header", True)
+        .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("encoding", "UTF-8")
@@ -39,7 +44,7 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("listing_id string, date string").option("header", True).csv(path)
+    return _csv(spark, path, ["listing_id", "date"], False)
 
 
 def read_review_texts(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,12 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.nested import array_to_json
-from tessera.operators.keep import keep_one
+from tessera.operators.keep import keep_one, upsert
 
 
-def write_parquet(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """Overwrite ``path`` and continue from the written files; also the rows written."""
+def write_parquet(df: DataFrame, path: str, sort_by: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
+    """Overwrite ``path`` and continue from the written files; also the rows written.
+
+    With ``sort_by`` files hold ranges in that order, so a filter on the first of these columns skips
+    files and row groups by their statistics. Ranges split a hot value by the later columns.
+    """
     seen = Observation()
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by)
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
@@ -72,6 +79,29 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def current_version(spark: SparkSession, root: str) -> DataFrame | None:
+    """The stored index below ``root`` as its pointer names it, or None before the first write."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/current")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    return spark.read.parquet(spark.read.parquet(f"{root}/current").first()["path"])
+
+
+def upsert_index(incoming: DataFrame, root: str, key: str, version: str) -> tuple[DataFrame, int]:
+    """Lay ``incoming`` over the stored index and switch to the result; also its rows.
+
+    The result goes to a folder of its own and the pointer is written last, so readers keep a whole
+    index throughout and a failed write changes nothing. Old versions stay until they are removed.
+    """
+    spark = incoming.sparkSession
+    stored = current_version(spark, root)
+    merged = keep_one(incoming, [key], [F.col(version).desc_nulls_last()]) if stored is None else upsert(stored, incoming, key, version)
+    path = f"{root}/version-{uuid.uuid4().hex}"
+    table, n = write_parquet(merged, path)
+    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(f"{root}/current")
+    return table, n
+
+
 def write_index(documents: DataFrame, path: str) -> tuple[DataFrame, int]:
     """Rebuild a vector index: one row per id stays, and the stored count is returned."""
     return write_parquet(keep_one(documents, ["id"]), path)

@@ -8,7 +8,7 @@ from tessera.functions import text
 from tessera.functions.geo import EARTH_RADIUS_M
 from tessera.operators import scoring
 from tessera.operators.search import LetterProfile
-from tessera.workload.roles import CELL_LAT, CELL_LON, PLACE_TYPES, SOUTH, WEST
+from tessera.workload.roles import ARTICLE_WORDS, CELL_LAT, CELL_LON, PLACE_TYPES, SOUTH, WEST
 
 
 def quoted(value: str) -> str:
@@ -154,16 +154,17 @@ CTES: dict[str, str] = {
             {SOUTH}::DOUBLE + (n_nationkey // 5)::DOUBLE * {CELL_LAT}::DOUBLE AS y
         FROM borough""",
     "review_text": f"""
-        SELECT substr(source, 4)::BIGINT AS listing_id, DATE '2020-01-01' + (doc_id % 1461)::INT AS review_date,
-            {strip('text')} AS comments, doc_id AS review_key, lang AS neighbourhood
-        FROM documents""",
+        SELECT d.listing_id, review_date, comments, review_key, coalesce(l.neighbourhood, 'Unknown') AS neighbourhood
+        FROM (SELECT substr(source, 4)::BIGINT AS listing_id, DATE '2020-01-01' + (doc_id % 1461)::INT AS review_date,
+            {strip('text')} AS comments, doc_id AS review_key FROM documents) d
+        LEFT JOIN listing l ON l.listing_id = d.listing_id""",
     "valid_text": "SELECT * FROM review_text WHERE length(comments) >= 20",
     "review_document": """
         SELECT listing_id || '_' || review_date || CASE WHEN seq = 1 THEN '' ELSE '_' || seq END AS id,
             comments AS document, listing_id, review_date, neighbourhood
         FROM (SELECT *, row_number() OVER (PARTITION BY listing_id, review_date ORDER BY review_key) AS seq FROM valid_text)""",
     "article": f"""
-        SELECT 'PAGE_' || page_id AS neighbourhood, CASE WHEN page_id % 3 = 0 THEN NULL ELSE r_name END AS borough,
+        SELECT coalesce(n_name, 'PAGE_' || page_id) AS neighbourhood, page_id, CASE WHEN page_id % 3 = 0 THEN NULL ELSE r_name END AS borough,
             url AS wikipedia_url,
             list_filter(list_transform(
                 regexp_split_to_array(
@@ -173,14 +174,15 @@ CTES: dict[str, str] = {
                     regexp_split_to_array(regexp_replace(body, {quoted(text.PARAGRAPH_END_PATTERN)}, ''), {quoted(text.TAG_PATTERN)}),
                     lambda node: {strip(decode('node'))}), lambda node: node <> ''), ' ')),
                 lambda t: t <> '') AS intro_paragraphs
-        FROM pages JOIN region ON page_id % 5 = r_regionkey""",
+        FROM pages JOIN region ON page_id % 5 = r_regionkey LEFT JOIN nation ON page_id = n_nationkey""",
     "paragraph": rf"""
         SELECT a.neighbourhood || '_para_' || paragraph_index AS id, document, a.neighbourhood,
             coalesce(a.borough, 'LABEL_' || quality, 'Unknown') AS borough, wikipedia_url, paragraph_index
         FROM (SELECT neighbourhood, borough, wikipedia_url, i - 1 AS paragraph_index,
                 {strip(r"regexp_replace(intro_paragraphs[i], '\[\s*\d+\s*\]', '', 'g')")} AS document
-              FROM article, unnest(generate_series(1, len(intro_paragraphs))) u(i)) a
-        LEFT JOIN labels ON a.neighbourhood = 'PAGE_' || doc_id
+              , page_id FROM article, unnest(generate_series(1, len(intro_paragraphs))) u(i)
+              WHERE {contains_any("array_to_string(intro_paragraphs, ' ')", ARTICLE_WORDS)}) a
+        LEFT JOIN labels ON a.page_id = doc_id
         WHERE length(document) >= 30""",
     "dim_neighbourhood": f"""
         SELECT neighbourhood, borough, {_POI_ZERO}, {_POI_SUM} AS poi_total,
@@ -222,13 +224,13 @@ CTES: dict[str, str] = {
                 WHEN 3 THEN {_tools(G, W)} WHEN 4 THEN {_tools(W, C)} WHEN 5 THEN {_tools(G, S)} ELSE []::VARCHAR[] END AS tools_called,
             CASE WHEN conv_id % 4 = 0 THEN {_tools(G)} ELSE []::VARCHAR[] END AS failed_tools,
             'rows ' || (conv_id * 1234 + turn) || ' value ' || (conv_id * 10) || '.50' AS context,
-            answer || ' Total ' || format('{{:,}}', conv_id * 1234 + turn) || ' of ' || (conv_id * 10) || '.5'
-                || CASE WHEN conv_id % 3 = 0 THEN ' and 7' ELSE '' END AS answer,
+            CASE WHEN answer IS NULL THEN '' ELSE answer || ' Total ' || format('{{:,}}', conv_id * 1234 + turn) || ' of ' || (conv_id * 10) || '.5'
+                || CASE WHEN conv_id % 3 = 0 THEN ' and 7' ELSE '' END END AS answer,
             CASE WHEN conv_id % 10 = 9 THEN NULL ELSE (conv_id % 11)::DOUBLE / 10 END AS judge_score,
             (conv_id * 37 % 100)::DOUBLE / 10 AS elapsed_seconds
         FROM (SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer
-              FROM conversations q JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1
-              WHERE q.role = 'user' AND a.role = 'assistant')""",
+              FROM conversations q LEFT JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant'
+              WHERE q.role = 'user')""",
     "score": f"""
         SELECT *, CASE WHEN route_taken = expected_route THEN 1.0 ELSE 0.0 END::DOUBLE AS route_accuracy,
             round_even(CASE WHEN len(expected_tools) = 0 THEN 1.0::DOUBLE

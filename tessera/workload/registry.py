@@ -63,7 +63,7 @@ def star_query(name: str, sql: str):
     return register
 
 
-def sql_query(name: str, statement: str, oracle: str, limit: int = 1000):
+def sql_query(name: str, statement: str, oracle: str, limit: int | None = None):
     def run(spark, sf):
         warehouse.register_views(roles.star(spark, sf))
         return warehouse.query_views(spark, statement, limit)

@@ -20,6 +20,9 @@ REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 PLACE_TYPES = ["ECONOMY", "STANDARD", "PROMO", "MEDIUM", "LARGE", "SMALL"]
 WEST, SOUTH, CELL_LON, CELL_LAT = -74.25, 40.5, 0.11, 0.08
 
+# Words of which a page must hold one to be an article of the area.
+ARTICLE_WORDS = ("the", "que")
+
 _WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
 
 
@@ -203,21 +206,22 @@ def shapes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_texts(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as review texts; the language stands for the neighbourhood."""
+    """Documents as review texts of the listing that their source numbers."""
     return table(spark, sf, "documents").selectExpr(
         "substring(source, 4) AS listing_id",
         "cast(date_add(DATE'2020-01-01', cast(doc_id % 1461 AS int)) AS string) AS date",
         "text AS comments",
         "doc_id AS review_key",
-        "lang AS neighbourhood",
     )
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as articles: the first ones about the neighbourhoods of the listings, the others about their own."""
     region = table(spark, sf, "region")
     rows = table(spark, sf, "pages").join(region, F.expr("cast(page_id % 5 AS int)") == F.col("r_regionkey"))
-    return rows.selectExpr(
-        "concat('PAGE_', page_id) AS neighbourhood",
+    named = rows.join(table(spark, sf, "nation"), F.col("page_id") == F.col("n_nationkey"), "left")
+    return named.selectExpr(
+        "coalesce(n_name, concat('PAGE_', page_id)) AS neighbourhood",
         "CASE WHEN page_id % 3 = 0 THEN NULL ELSE r_name END AS borough",
         "url AS wikipedia_url",
         "html",
@@ -226,9 +230,8 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def page_boroughs(spark: SparkSession, sf: str) -> DataFrame:
     """A lookup that knows some of the pages only."""
-    return table(spark, sf, "labels").selectExpr(
-        "concat('PAGE_', doc_id) AS neighbourhood", "concat('LABEL_', quality) AS borough"
-    )
+    named = table(spark, sf, "labels").join(table(spark, sf, "nation"), F.col("doc_id") == F.col("n_nationkey"), "left")
+    return named.selectExpr("coalesce(n_name, concat('PAGE_', doc_id)) AS neighbourhood", "concat('LABEL_', quality) AS borough")
 
 
 def runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,7 +256,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
         f"{called} AS tools_called",
         f"CASE WHEN conv_id % 4 = 0 THEN {tools(GEODATA_TOOL)} ELSE cast(array() AS array<string>) END AS failed_tools",
         "concat('rows ', conv_id * 1234 + turn, ' value ', conv_id * 10, '.50') AS context",
-        "concat(answer, ' Total ', format_number(conv_id * 1234 + turn, 0), ' of ', conv_id * 10, '.5', CASE WHEN conv_id % 3 = 0 THEN ' and 7' ELSE '' END) AS answer",
+        "CASE WHEN answer IS NULL THEN '' ELSE concat(answer, ' Total ', format_number(conv_id * 1234 + turn, 0), ' of ', conv_id * 10, '.5', CASE WHEN conv_id % 3 = 0 THEN ' and 7' ELSE '' END) END AS answer",
         "CASE WHEN conv_id % 10 = 9 THEN NULL ELSE cast(conv_id % 11 AS double) / 10.0D END AS judge_score",
         "cast(conv_id * 37 % 100 AS double) / 10.0D AS elapsed_seconds",
     )
@@ -343,15 +346,9 @@ class Star(Mapping):
             "dim_date": lambda: gold.dim_date(self["reviews"]),
             "dim_neighbourhood": lambda: gold.dim_neighbourhood(self["listings"], self["places"], PLACE_TYPES),
             "dim_host": lambda: gold.dim_host(self["listings"]),
-            "dim_listing": lambda: gold.dim_listing(self["listings"], self["dim_neighbourhood"]),
+            "dim_listing": lambda: gold.dim_listing(self["listings"]),
             "noise_borough_month": lambda: gold.noise_borough_month(complaints(spark, sf)),
-            "fact_review": lambda: gold.fact_review(
-                self["reviews"],
-                self["dim_listing"],
-                self["dim_neighbourhood"],
-                self["dim_date"],
-                self["noise_borough_month"],
-            ),
+            "fact_review": lambda: gold.fact_review(self["reviews"], self["listings"], self["noise_borough_month"]),
             "fact_review_weather": lambda: gold.fact_review_weather(self["fact_review"], self["weather"]),
         }
 

@@ -60,15 +60,10 @@ def stratified_sample(spark, sf):
 ORACLES["stratified_sample"] = after_roles(_QUOTA_CTES, _SAMPLE_SQL)
 
 
-@query("review_docs")
-def review_docs(spark, sf):
-    """Index documents of the sample, ids numbered within a listing's day."""
-    return search.review_documents(_sample(spark, sf)).withColumn("text_md5", F.md5("document")).drop("document")
-
-
-ORACLES["review_docs"] = after_roles(
-    _QUOTA_CTES,
-    f"""SELECT listing_id || '_' || review_date || CASE WHEN seq = 1 THEN '' ELSE '_' || seq END AS id, text_md5, listing_id,
-        review_date, neighbourhood
-    FROM (SELECT *, row_number() OVER (PARTITION BY listing_id, review_date ORDER BY review_key) AS seq FROM ({_SAMPLE_SQL}))""",
+@query(
+    "review_docs",
+    """SELECT id, md5(document) AS text_md5, listing_id, review_date::VARCHAR AS review_date, neighbourhood FROM review_document""",
 )
+def review_docs(spark, sf):
+    """Index documents of all valid texts, ids numbered within a listing's day."""
+    return search.review_documents(valid_texts(spark, sf)).withColumn("text_md5", F.md5("document")).drop("document")

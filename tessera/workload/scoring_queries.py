@@ -61,7 +61,7 @@ def eval_breakdown(spark, sf):
 
 @query(
     "scored_context",
-    """SELECT id, md5(string_agg('[' || tool || ']' || chr(10) || substr(result, 1, 500), chr(10) || chr(10) ORDER BY position)) AS context_md5
+    """SELECT id, md5(string_agg('[' || tool || ']' || chr(10) || result, chr(10) || chr(10) ORDER BY position)) AS context_md5
     FROM tool_result GROUP BY 1""",
 )
 def scored_context(spark, sf):
@@ -71,17 +71,16 @@ def scored_context(spark, sf):
 
 
 def _answer_sql() -> str:
-    shown = " ".join(f"WHEN '{tool}' THEN {rows}" for tool, rows in scoring.ROWS_SHOWN.items())
     return f"""SELECT id, md5(string_agg('[' || tool || ']' || chr(10) || body, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY call)) AS context_md5
-        FROM (SELECT id, call, tool, string_agg(CASE WHEN tool IN ('{scoring.REVIEW_TOOL}', '{scoring.CONTEXT_TOOL}') THEN substr(document, 1, 300)
+        FROM (SELECT id, call, tool, string_agg(CASE WHEN tool IN ('{scoring.REVIEW_TOOL}', '{scoring.CONTEXT_TOOL}') THEN document
                 ELSE label || ': ' || round(amount, 2) END, chr(10) ORDER BY rank) AS body
-              FROM tool_result WHERE error IS NULL AND rank <= CASE tool {shown} END GROUP BY 1, 2, 3)
+              FROM tool_result WHERE error IS NULL GROUP BY 1, 2, 3)
         GROUP BY 1"""
 
 
 @query("context_assembly", _answer_sql())
 def context_assembly(spark, sf):
-    """What an answer is written from: top rows per tool, failed tools left out."""
+    """What an answer is written from: all rows of every tool that did not fail, whole texts."""
     made = scoring.answer_context(roles.tool_results(spark, sf))
     return made.select("id", F.md5("context").alias("context_md5"))
 
@@ -104,7 +103,7 @@ def tool_summary(spark, sf):
         .groupBy("season", "borough")
         .agg(F.sum("n").alias("reviews"))
     )
-    return scoring.summarised_rows(result, scoring.WAREHOUSE_TOOL, [F.col("season"), F.col("borough")])
+    return scoring.summarised_rows(result, scoring.WAREHOUSE_TOOL, [F.col("season"), F.col("borough")], 15)
 
 
 _PLANS = ["warehouse", "geodata", "semantic", "geodata+warehouse", "warehouse+semantic", "other"]

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from tessera.operators import search
 from tessera.session import scratch_path
-from tessera.sources import landing, sinks
+from tessera.sources import sinks
 from tessera.workload import roles
 from tessera.workload.oracle import letter_dot, letters
 from tessera.workload.registry import query
-from tessera.workload.shared import ARTICLE_WORDS, valid_texts
+from tessera.workload.shared import accepted_articles, valid_texts
 
 
 def _vector(spark, sf, vec_id: int) -> list[float]:
@@ -88,13 +88,12 @@ def _build_review_index(spark, sf):
 
 
 def _build_context_index(spark, sf):
-    articles = landing.articles_from_pages(roles.pages(spark, sf), "html", ARTICLE_WORDS)
-    return search.build_context_index(articles, search.LetterProfile, roles.page_boroughs(spark, sf))
+    return search.build_context_index(accepted_articles(spark, sf), search.LetterProfile, roles.page_boroughs(spark, sf))
 
 
 @query("review_index", _digest_sql("review_document"))
 def review_index(spark, sf):
-    """The review index written with one row per id; below 50,000 texts the sample is all of them."""
+    """The review index of all valid texts, written with one row per id."""
     stored, _ = sinks.write_index(_build_review_index(spark, sf), scratch_path(spark, "review-index"))
     return _digest(stored)
 
@@ -169,12 +168,12 @@ def dual_search(spark, sf):
 STAYING = "what do guests say about staying here"
 
 
-@query("q10_area_texts", _dual_sql(STAYING, "neighbourhood = 'de'", "neighbourhood = 'de'"))
+@query("q10_area_texts", _dual_sql(STAYING, "neighbourhood = 'NATION_19'", "neighbourhood = 'NATION_19'"))
 def q10_area_texts(spark, sf):
     """Texts of one neighbourhood, with context where the encyclopaedia has it."""
-    return _dual(spark, sf, STAYING, "de")
+    return _dual(spark, sf, STAYING, "NATION_19")
 
 
-@query("q14_context_and_texts", _dual_sql(STAYING, "neighbourhood = 'PAGE_3'", "neighbourhood = 'PAGE_3'"))
+@query("q14_context_and_texts", _dual_sql(STAYING, "neighbourhood = 'NATION_17'", "neighbourhood = 'NATION_17'"))
 def q14_context_and_texts(spark, sf):
-    return _dual(spark, sf, STAYING, "PAGE_3")
+    return _dual(spark, sf, STAYING, "NATION_17")

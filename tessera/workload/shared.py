@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions import text
 from tessera.operators import search
 from tessera.sources import landing, readers
 from tessera.workload import roles
+from tessera.workload.roles import ARTICLE_WORDS
 
 LISTING_SQL = """
     SELECT listing_id, host_id, host_name, host_since::VARCHAR AS host_since, host_is_superhost, host_response_time,
@@ -29,16 +29,16 @@ WEATHER_SQL = """
         round(windspeed_max, 6) AS windspeed_max, weathercode FROM weather"""
 
 
-ARTICLE_WORDS = ("theing", "quevi", "einver", "nicht")
-
 
+def paragraphs(spark, sf):
+    return search.paragraph_documents(accepted_articles(spark, sf), roles.page_boroughs(spark, sf))
 
 
-def paragraphs(spark, sf):
-    articles = landing.articles_from_pages(roles.pages(spark, sf), "html", ARTICLE_WORDS)
-    return search.paragraph_documents(articles, roles.page_boroughs(spark, sf))
+def accepted_articles(spark, sf):
+    """Articles that pass the keyword guard; the others are not stored."""
+    return landing.accepted(landing.articles_from_pages(roles.pages(spark, sf), "html", ARTICLE_WORDS))
 
 
 def valid_texts(spark, sf):
     rows = readers.review_texts(roles.raw_texts(spark, sf)).withColumn("review_date", F.col("review_date").cast("date"))
-    return rows.filter(text.long_enough(F.col("comments"), search.LEAST_REVIEW_CHARS))
+    return search.placed_reviews(rows, roles.listings(spark, sf))

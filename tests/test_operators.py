@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import geo
 from tessera.operators import documents, keep, lookback, lookup, nearby, search, strata
+from tessera.sources import landing
 from tessera.workload import roles
 
 
@@ -130,7 +131,7 @@ def test_points_in_shapes_equals_brute_force(spark, data):
 
 def test_places_find_clamps_and_sorts(spark):
     places = spark.createDataFrame([(str(i), ["bar"], float(i % 5) if i % 7 else None, "X") for i in range(300)], "place_id string, types array<string>, rating double, borough string")
-    assert documents.places_find(places, limit=10_000).count() == 200
+    assert documents.places_find(places, limit=10_000).count() == documents.places_find(places).count() == places.count()
     assert documents.places_find(places, limit=0).count() == 1
     got = documents.places_find(places, place_type="bar", sort=[("rating", 1), ("place_id", 1)], limit=1).first()
     assert got.rating is None
@@ -210,11 +211,11 @@ def brute(queries, items, k):
     return out
 
 
-@pytest.mark.parametrize("shared, block", [(4096, 50_000), (7, 11)])
-def test_batch_top_k_with_many_ties(spark, shared, block):
+@pytest.mark.parametrize("block", [50_000, 7])
+def test_batch_top_k_with_many_ties(spark, block):
     items, index = vectors(spark, 60, 4, 1)
     asked, queries = vectors(spark, 20, 4, 2, "q")
-    got = search.batch_top_k(queries, index, 6, "q", "id", shared_queries=shared, block_rows=block)
+    got = search.batch_top_k(queries, index, 6, "q", "id", block_rows=block)
     assert {tuple(r) for r in got.select("query_id", "item_id", "similarity", "place").collect()} == brute(asked, items, 6)
 
 
@@ -276,3 +277,43 @@ def test_task_functions_need_no_installed_package(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], input=payload, capture_output=True, cwd=tmp_path, env=environment)
     assert done.returncode == 0, done.stderr
     assert done.stdout.split()[-1] == b"2"
+
+
+def test_keep_one_tells_nulls_apart(spark):
+    pair = [(1, None, "a"), (1, "a", None)]
+    kept = {
+        tuple(keep.keep_one(spark.createDataFrame(rows_in, "k int, x string, y string"), ["k"]).first())
+        for rows_in in (pair, pair[::-1])
+    }
+    assert len(kept) == 1
+
+
+def test_batch_top_k_makes_many_groups(spark):
+    vectors_in = spark.range(6000).selectExpr("id", "array(cast(id % 97 AS float), cast(id % 89 AS float), 1.0F) AS embedding")
+    got = search.batch_top_k(vectors_in, vectors_in, 2, "id", "id")
+    assert got.count() == 12_000
+    assert "block_rows" in search.batch_top_k.__code__.co_varnames and 6000 / search.BLOCK_ROWS > 1
+
+
+def test_all_texts_are_indexed(spark):
+    texts = spark.range(60_000).selectExpr(
+        "id % 50 AS listing_id", "date_add(DATE'2020-01-01', cast(id % 900 AS int)) AS review_date", "id AS review_key",
+        "concat('a text long enough ', id) AS comments",
+    )
+    listings = spark.range(1, 50).selectExpr("id AS listing_id", "concat('N', id % 7) AS neighbourhood")
+    placed = search.placed_reviews(texts, listings)
+    index = search.build_review_index(placed, search.LetterProfile)
+    assert index.count() == index.select("id").distinct().count() == 60_000
+    assert index.filter("neighbourhood = 'Unknown'").count() == 1200
+    plan = search.review_documents(placed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan  # texts are numbered by their keys, before they are read
+
+
+def test_only_accepted_pages_are_indexed(spark):
+    pages = spark.createDataFrame(
+        [("A", "<p>A paragraph about the old town and its harbour.</p>"), ("B", "<p>Another paragraph of some length here.</p>"), ("C", "<div></div>")],
+        "neighbourhood string, html string",
+    ).selectExpr("*", "'X' AS borough", "'u' AS wikipedia_url")
+    articles = landing.articles_from_pages(pages, "html", ("harbour",))
+    assert {r.neighbourhood: r.status for r in articles.collect()} == {"A": "ok", "B": "wrong_location", "C": "error"}
+    assert [r.id for r in search.paragraph_documents(landing.accepted(articles)).collect()] == ["A_para_0"]

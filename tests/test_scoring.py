@@ -77,7 +77,8 @@ def test_contexts(spark):
         [(1, 2, R, "b" * 600), (1, 1, W, "a")], "id int, position int, tool string, result string"
     )
     contexts = s.scored_context(results)
-    assert contexts.first().context == f"[{W}]\na\n\n[{R}]\n" + "b" * 500
+    assert contexts.first().context == f"[{W}]\na\n\n[{R}]\n" + "b" * 600
+    assert s.scored_context(results, chars=500).first().context == f"[{W}]\na\n\n[{R}]\n" + "b" * 500
     asked = spark.createDataFrame([(1,), (2,)], "id int")
     assert rows(s.context_or_default(asked, contexts).filter("id = 2")) == [(2, "(no tool results)")]
 
@@ -86,7 +87,9 @@ def test_answer_context_limits_and_skips_failures(spark):
     entries = [(1, W, 0, n, None, "k", n + 0.129, None) for n in range(1, 20)]
     entries += [(1, R, 1, n, None, None, None, "d" * 400) for n in range(1, 8)] + [(1, G, 2, 1, "timeout", "x", 1.0, None)]
     frame = spark.createDataFrame(entries, "id int, tool string, call int, rank int, error string, label string, amount double, document string")
-    text = s.answer_context(frame).first().context
+    whole = s.answer_context(frame).first().context
+    assert len(whole.split("\n\n---\n\n")[0].split("\n")) == 20 and "d" * 400 in whole
+    text = s.answer_context(frame, rows={W: 15, R: 5}, chars=300).first().context
     first, second = text.split("\n\n---\n\n")
     assert first.split("\n")[0] == f"[{W}]" and first.split("\n")[1] == "k: 1.13" and len(first.split("\n")) == 16
     assert second == f"[{R}]\n" + "\n".join(["d" * 300] * 5)
@@ -115,7 +118,7 @@ def test_pairs_need_the_next_turn(spark):
         [(1, 0, "system", "s"), (1, 1, "user", "q1"), (1, 2, "assistant", "a1"), (1, 3, "user", "q2"), (2, 0, "user", "q3"), (2, 2, "assistant", "late")],
         "conv_id int, turn int, role string, text string",
     )
-    assert rows(s.question_answer_pairs(turns)) == [(1, 1, "q1", "a1")]
+    assert rows(s.question_answer_pairs(turns)) == [(1, 1, "q1", "a1"), (1, 3, "q2", None), (2, 0, "q3", None)]
 
 
 def test_summarised_rows(spark):
@@ -123,9 +126,9 @@ def test_summarised_rows(spark):
         [(n, n + 0.126, [0.555, 1.0], (2.346,), (1.0, 2.0)) for n in range(20)],
         "n int, score double, parts array<double>, inner struct<x:double>, geometry struct<lon:double, lat:double>",
     )
-    got = s.summarised_rows(rows_in, W, [F.col("n").desc()]).orderBy("rank").collect()
+    got = s.summarised_rows(rows_in, W, [F.col("n").desc()], 15).orderBy("rank").collect()
     assert len(got) == 15 and got[0].piece == '{"n":19,"score":19.13,"parts":[0.56,1.0],"inner":{"x":2.35}}'
-    assert s.summarised_rows(rows_in, G, [F.col("n")]).count() == 8
+    assert s.summarised_rows(rows_in, G, [F.col("n")], 8).count() == 8
     texts = spark.createDataFrame([(n, "d" * 400) for n in range(9)], "id int, document string")
-    got = s.summarised_rows(texts, R, [F.col("id")]).collect()
+    got = s.summarised_rows(texts, R, [F.col("id")], 5, 300).collect()
     assert len(got) == 5 and all(r.piece == "d" * 300 for r in got)

@@ -257,3 +257,61 @@ def test_layers_from_raw_folders(spark, tmp_path):
 def test_complaint_times(spark, value, expected):
     got = spark.createDataFrame([(value,)], "v string").select(casts.iso_millis_to_date("v").cast("string")).first()[0]
     assert got == expected
+
+
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    one, two = tmp_path / "one", tmp_path / "two"
+    one.mkdir(), two.mkdir()
+    (one / "a.csv").write_text("date,listing_id\n2020-01-01,5\n")
+    assert [tuple(r) for r in readers.read_reviews(spark, str(one)).collect()] == [("5", "2020-01-01")]
+    (two / "a.csv").write_text("listing_id,date\n5,2020-01-01\n")
+    (two / "b.csv").write_text("date,listing_id\n2020-01-02,6\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_reviews(spark, str(two)).collect()
+
+
+def test_lineage_lasts_over_runs(spark, tmp_path):
+    path = str(tmp_path / "lineage")
+    def run(rows_in):
+        lineage.append(spark.createDataFrame(rows_in, "item string, status string, rows bigint, day string").selectExpr("item", "status", "rows", "timestamp(day) AS finished_at"), path)
+
+    run([("a", "error", 0, "2024-01-01"), ("b", "ok", 3, "2024-01-01")])
+    run([("a", "ok", 5, "2024-01-02"), ("c", "error", 0, "2024-01-02")])
+    assert {(r.item, r.status, r.rows) for r in lineage.stored(spark, path).collect()} == {("a", "ok", 5), ("b", "ok", 3), ("c", "error", 0)}
+    items = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "name string")
+    assert sorted(r.name for r in lineage.due(items, "name", path).collect()) == ["c", "d"]
+
+
+def test_stored_index_is_upserted(spark, tmp_path):
+    root = str(tmp_path / "index")
+    def rows_of(*entries):
+        return spark.createDataFrame(list(entries), "id string, version int, x int")
+
+    _, n = sinks.upsert_index(rows_of(("a", 1, 1), ("b", 1, 1), ("a", 0, 9)), root, "id", "version")
+    assert n == 2
+    table, n = sinks.upsert_index(rows_of(("b", 2, 5), ("c", 2, 5), ("a", 0, 7)), root, "id", "version")
+    assert n == 3 and {tuple(r) for r in table.collect()} == {("a", 1, 1), ("b", 2, 5), ("c", 2, 5)}
+    assert sinks.current_version(spark, root).count() == 3
+
+
+def test_document_load_counts_upserts_and_stored(spark, tmp_path, data):
+    from tessera.plans import documents
+    from tessera.workload import roles
+
+    files = roles.place_envelopes(spark, data).withColumn("file", F.lit("one"))
+    twice = files.unionByName(files.withColumn("file", F.lit("two")))
+    stored, counts = documents.load_places(twice, roles.boroughs(spark, data), str(tmp_path / "places"))
+    n = roles.places(spark, data).count()
+    assert counts == {"upserts": 2 * n, "stored": n} and stored.count() == n
+    shapes = roles.shapes(spark, data).select("neighbourhood", "borough", "shape")
+    broken = shapes.limit(1).withColumn("shape", F.lit(None).cast(shapes.schema["shape"].dataType))
+    _, counts = documents.load_boundaries(shapes.unionByName(broken), str(tmp_path / "areas"))
+    assert counts == {"stored": 25, "skipped": 1}
+
+
+def test_sorted_tables_hold_ranges(spark, tmp_path):
+    df = spark.range(20_000).selectExpr("id % 1000 AS day", "id")
+    table, n = sinks.write_parquet(df, str(tmp_path / "t"), ("day", "id"))
+    assert n == 20_000
+    spans = table.groupBy(F.col("_metadata.file_name")).agg(F.min("day").alias("a"), F.max("day").alias("b")).orderBy("a").collect()
+    assert all(x.b <= y.a for x, y in zip(spans, spans[1:]))

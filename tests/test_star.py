@@ -36,7 +36,7 @@ def test_same_name_in_two_boroughs_stays_apart(spark):
         ("Bay", "Queens", 2, 0, 2),
         ("Bay", None, 2, 0, 2),
     ]
-    joined = gold.dim_listing(listings, areas)
+    joined = gold.dim_listing(listings)
     assert joined.count() == 4
     ids = {r.listing_id: r.neighbourhood_id for r in joined.collect()}
     assert ids[3] is None and len({ids[1], ids[2], ids[4]}) == 3 and None not in (ids[1], ids[2], ids[4])
@@ -51,11 +51,9 @@ def test_fact_is_reviews_of_known_listings(spark, star, data):
 
 def test_unknown_listing_is_dropped_and_missing_month_is_null(spark):
     reviews = spark.sql("SELECT explode(array(1L, 9L)) AS listing_id, DATE'2024-01-02' AS review_date")
-    listing = spark.sql("SELECT 1L AS listing_id, 5L AS neighbourhood_id, 2L AS host_id")
-    areas = spark.sql("SELECT 5L AS neighbourhood_id, 'X' AS borough")
-    days = gold.dim_date(reviews)
+    listing = spark.sql("SELECT 1L AS listing_id, 'N' AS neighbourhood, 2L AS host_id, 'X' AS borough")
     noise = spark.sql("SELECT 'X' AS borough, 2024 AS year, 2 AS month, 7L AS complaint_count")
-    got = gold.fact_review(reviews, listing, areas, days, noise).collect()
+    got = gold.fact_review(reviews, listing, noise).collect()
     assert [(r.review_id, r.date_id, r.complaint_count) for r in got] == [("1-20240102", 20240102, None)]
 
 
@@ -106,7 +104,9 @@ def test_sql_is_capped_and_read_only(spark, star):
     warehouse.register_views(star)
     assert warehouse.query_views(spark, "SELECT * FROM fact_review LIMIT 5000;", 7).count() == 7
     assert warehouse.query_views(spark, "SELECT 1 AS x", 0).count() == 1
-    assert warehouse.query_views(spark, "SELECT * FROM fact_review", 10**9).count() == 1000
+    everything = star["fact_review"].count()
+    assert warehouse.query_views(spark, "SELECT * FROM fact_review").count() == everything > 1000
+    assert warehouse.query_views(spark, "SELECT * FROM fact_review", 10**9).count() == everything
     top = warehouse.query_views(spark, "WITH d AS (SELECT date_id FROM dim_date) SELECT date_id FROM d ORDER BY date_id DESC", 2).collect()
     assert top[0].date_id > top[1].date_id
     for bad in ("DROP VIEW dim_date", "INSERT INTO dim_date SELECT * FROM dim_date", "SELECT 1; SELECT 2", "CREATE TABLE x (a int)"):
