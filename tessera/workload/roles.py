@@ -23,7 +23,7 @@ WEST, SOUTH, CELL_LON, CELL_LAT = -74.25, 40.5, 0.11, 0.08
 # Words of which a page must hold one to be an article of the area.
 ARTICLE_WORDS = ("the", "que")
 
-_WRITTEN: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+_WRITTEN: dict[tuple[str, str, str, int], tuple[str, StructType]] = {}
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -170,7 +170,7 @@ def place_hits(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def place_envelopes(spark: SparkSession, sf: str) -> DataFrame:
-    """Search results as nested files, one place to an envelope."""
+    """Search results as nested files: a page of places of one neighbourhood, by type and all together."""
     place = F.struct(
         "place_id",
         "name",
@@ -182,11 +182,12 @@ def place_envelopes(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("OPERATIONAL").alias("business_status"),
         F.struct(F.struct("lat", F.col("lon").alias("lng")).alias("location")).alias("geometry"),
     )
-    return places(spark, sf).select(
-        "neighbourhood",
-        F.create_map(F.col("place_type"), F.array(place)).alias("results_by_type"),
-        F.array(place).alias("results_deduped"),
-    )
+    found = places(spark, sf).withColumns({"p": place, "page": F.expr("p_partkey div 200")})
+    typed = found.groupBy("neighbourhood", "page", "place_type").agg(F.collect_list("p").alias("of_type"))
+    return typed.groupBy("neighbourhood", "page").agg(
+        F.map_from_entries(F.collect_list(F.struct("place_type", "of_type"))).alias("results_by_type"),
+        F.flatten(F.collect_list("of_type")).alias("results_deduped"),
+    ).drop("page")
 
 
 def shapes(spark: SparkSession, sf: str) -> DataFrame:
@@ -309,9 +310,16 @@ def clean_places(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean_places(places(spark, sf).withColumnRenamed("lon", "lng"))
 
 
+def input_state(spark: SparkSession, sf: str) -> int:
+    """Changes when a file directly below the inputs' folder does: newest time and sum of sizes."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(sf)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    return hash(tuple((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in listed))
+
+
 def once(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
-    """A table written once per application, then read back: published, in the shared folder."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    """A table written once per application and state of the inputs, then read back: published, in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf, name, input_state(spark, sf))
     if key not in _WRITTEN:
         df = build()
         path = scratch_path(spark, name)

@@ -75,10 +75,11 @@ def weather_unzip(spark, sf):
     FROM complaint GROUP BY 1, 2, 3""",
 )
 def noise_unnest(spark, sf):
-    """Complaints inside JSON envelopes, unpacked by the executors and cleaned."""
+    """Complaints inside JSON envelopes, some to each, unpacked by the executors and cleaned."""
     raw = roles.raw_complaints(spark, sf)
     path = scratch_path(spark, "complaints-json")
-    raw.select(F.array(F.struct(*raw.columns)).alias("records")).write.json(path)
+    pages = raw.groupBy(F.substring_index("unique_key", "-", 1)).agg(F.collect_list(F.struct(*raw.columns)).alias("records"))
+    pages.select("records").write.json(path)
     rows = silver.clean_complaints(readers.read_complaints(spark, path, multi_line=False), {r: r for r in roles.REGIONS})
     return rows.groupBy("borough", "complaint_type", "descriptor").agg(
         F.count(F.lit(1)).alias("complaints"),
@@ -120,20 +121,22 @@ def _boundary_file(spark, sf):
     pairs = F.transform(
         "shape", lambda poly: F.transform(poly, lambda ring: F.transform(ring, lambda p: F.array(p["lon"], p["lat"])))
     )
-    feature = F.struct(
-        F.struct("neighbourhood", F.col("borough").alias("neighbourhood_group")).alias("properties"),
-        F.struct(F.lit("MultiPolygon").alias("type"), pairs.alias("coordinates")).alias("geometry"),
+    names = F.to_json(F.struct("neighbourhood", F.col("borough").alias("neighbourhood_group")))
+    kind = F.when(F.col("n_nationkey") % 2 == 0, "Polygon").otherwise("MultiPolygon")
+    corners = F.when(F.col("n_nationkey") % 2 == 0, F.to_json(pairs[0])).otherwise(F.to_json(pairs))
+    feature = F.concat(
+        F.lit('{"properties":'), names, F.lit(',"geometry":{"type":"'), kind, F.lit('","coordinates":'), corners, F.lit("}}")
     )
-    roles.shapes(spark, sf).select(
-        F.lit("FeatureCollection").alias("type"), F.array(feature).alias("features")
-    ).write.json(path)
+    collections = roles.shapes(spark, sf).groupBy(F.expr("n_nationkey div 5")).agg(F.collect_list(feature).alias("f"))
+    joined = F.concat(F.lit('{"type":"FeatureCollection","features":['), F.array_join("f", ","), F.lit("]}"))
+    collections.select(joined.alias("value")).write.text(path)
     return readers.read_boundaries(spark, path, multi_line=False)
 
 
 @query(
     "geojson_features",
-    """SELECT neighbourhood, borough, 2::BIGINT AS parts, 3::BIGINT AS rings, 15::BIGINT AS vertices, round(x, 6) AS west, round(y, 6) AS south
-    FROM shape""",
+    """SELECT neighbourhood, borough, 1 + n_nationkey % 2 AS parts, 2 + n_nationkey % 2 AS rings, 10 + 5 * (n_nationkey % 2) AS vertices,
+        round(x, 6) AS west, round(y, 6) AS south FROM (SELECT * REPLACE (n_nationkey::BIGINT AS n_nationkey) FROM shape)""",
 )
 def geojson_features(spark, sf):
     """Boundaries written as feature collections and read back as nested points."""
@@ -152,8 +155,9 @@ def geojson_features(spark, sf):
 
 @query(
     "boundary_docs",
-    f"""SELECT neighbourhood, borough, 2::BIGINT AS parts,
-        round(x + {roles.CELL_LON}::DOUBLE * 0.4375, 6) AS vertex_lon, round(y + {roles.CELL_LAT}::DOUBLE * 0.4375, 6) AS vertex_lat,
+    f"""SELECT neighbourhood, borough, (1 + n_nationkey % 2)::BIGINT AS parts,
+        round(x + {roles.CELL_LON}::DOUBLE * CASE n_nationkey % 2 WHEN 0 THEN 0.4 ELSE 0.4375 END, 6) AS vertex_lon,
+        round(y + {roles.CELL_LAT}::DOUBLE * CASE n_nationkey % 2 WHEN 0 THEN 0.4 ELSE 0.4375 END, 6) AS vertex_lat,
         round(x + {roles.CELL_LON}::DOUBLE / 2, 6) AS area_lon, round(y + {roles.CELL_LAT}::DOUBLE / 2, 6) AS area_lat
     FROM shape""",
 )
