@@ -33,7 +33,7 @@ def near(points: DataFrame, lon: float, lat: float, radius_m: float, n: int, id_
     )
 
 
-def _cell(value: Column, low: float, width: float) -> Column:
+def _cell(value: Column, low: float, width: float | Column) -> Column:
     return F.floor((value - low) / width)
 
 
@@ -90,45 +90,58 @@ def radius_join(
     )
 
 
+# Cells of a shape's bounding box along its longer side, at most.
+CELLS_ACROSS = 64
+
+
 def points_in_shapes(
     points: DataFrame, shapes: DataFrame, point_id: str, shape_id: str, cell_degrees: float = 0.05, salts: int = 8
 ) -> DataFrame:
     """Every (shape, point) with the point inside, by grid cells and a ray cast.
 
-    ``shapes`` carries a ``shape`` column. Shapes are repeated for the cells of their
-    bounding box and for each salt; points are not repeated. A ray to the east only
-    meets edges at its own latitude, so each row of cells carries just the edges that
-    reach into it, however many vertices the whole outline has.
+    ``shapes`` carries a ``shape`` column. Cells double in size until a shape's bounding box is at most
+    64 across, so a continent has no more cells than a block of houses; a point has one
+    cell for each of the few sizes in use. Shapes are repeated, without their edges, for their cells and
+    for each salt. A ray to the east only meets edges at its own latitude: edges are kept once per
+    row of cells, just those that reach into it, and meet the points after the cells did.
     """
-    edged = shapes.select(shape_id, geo.shape_edges("shape").alias("_edges")).withColumn(
-        "_box", geo.bounds("_edges")
-    )
+    edged = shapes.select(shape_id, geo.shape_edges("shape").alias("_edges")).withColumn("_box", geo.bounds("_edges"))
+    extent = F.greatest(F.col("_box.north") - F.col("_box.south"), F.col("_box.east") - F.col("_box.west"))
+    doublings = F.ceil(F.log2(F.greatest(extent / (CELLS_ACROSS * cell_degrees), F.lit(1.0))))
+    edged = edged.withColumn("_level", F.coalesce(doublings, F.lit(0)).cast("int")).filter("_box.west IS NOT NULL")
+    # no more numbers than doublings from the smallest cell to the globe
+    levels = sorted(r["_level"] for r in edged.select("_level").distinct().collect())
+
+    width = F.lit(float(cell_degrees)) * F.pow(F.lit(2.0), F.col("_level"))
+
+    def span(low: str, high: str, start: float) -> Column:
+        return F.explode(F.sequence(_cell(F.col(low), start, width), _cell(F.col(high), start, width)))
+
     # a little wider than the row, for latitudes that round across its border
-    south = f"(_row * {cell_degrees!r}D - 90D - 1e-9D)"
-    reaches_row = f"greatest(e.y1, e.y2) >= {south} AND least(e.y1, e.y2) <= {south} + {cell_degrees + 2e-9!r}D"
+    by_row = edged.withColumn("_row", span("_box.south", "_box.north", -90.0)).withColumn("_width", width)
+    south = "(_row * _width - 90D - 1e-9D)"
+    reaches_row = f"greatest(e.y1, e.y2) >= {south} AND least(e.y1, e.y2) <= {south} + _width + 2e-9D"
+    row_edges = by_row.select(shape_id, "_level", "_row", F.expr(f"filter(_edges, e -> {reaches_row})").alias("_edges"))
     cells = (
-        edged.withColumn(
-            "_row", F.explode(F.sequence(_cell(F.col("_box.south"), -90.0, cell_degrees), _cell(F.col("_box.north"), -90.0, cell_degrees)))
-        )
-        .withColumn("_edges", F.expr(f"filter(_edges, e -> {reaches_row})"))
-        .withColumn(
-            "_column", F.explode(F.sequence(_cell(F.col("_box.west"), -180.0, cell_degrees), _cell(F.col("_box.east"), -180.0, cell_degrees)))
-        )
+        edged.drop("_edges")
+        .withColumn("_row", span("_box.south", "_box.north", -90.0))
+        .withColumn("_column", span("_box.west", "_box.east", -180.0))
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
-    placed = points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select(
-        point_id,
-        F.col("lon").alias("_lon"),
-        F.col("lat").alias("_lat"),
-        _cell(F.col("lat"), -90.0, cell_degrees).alias("_row"),
-        _cell(F.col("lon"), -180.0, cell_degrees).alias("_column"),
-        F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("int").alias("_salt"),
+    placed = (
+        points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+        .select(point_id, F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
+        .withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+        .withColumn("_row", _cell(F.col("_lat"), -90.0, width))
+        .withColumn("_column", _cell(F.col("_lon"), -180.0, width))
+        .withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("int"))
     )
     in_box = F.col("_lat").between(F.col("_box.south"), F.col("_box.north")) & F.col("_lon").between(
         F.col("_box.west"), F.col("_box.east")
     )
+    met = placed.join(cells, ["_level", "_row", "_column", "_salt"]).filter(in_box).drop("_box", "_column", "_salt")
     return (
-        placed.join(cells, ["_row", "_column", "_salt"])
-        .filter(in_box & geo.inside("_lon", "_lat", "_edges"))
+        met.join(row_edges, [shape_id, "_level", "_row"])
+        .filter(geo.inside("_lon", "_lat", "_edges"))
         .select(shape_id, point_id)
     )

@@ -317,3 +317,14 @@ def test_only_accepted_pages_are_indexed(spark):
     articles = landing.articles_from_pages(pages, "html", ("harbour",))
     assert {r.neighbourhood: r.status for r in articles.collect()} == {"A": "ok", "B": "wrong_location", "C": "error"}
     assert [r.id for r in search.paragraph_documents(landing.accepted(articles)).collect()] == ["A_para_0"]
+
+
+def test_a_large_shape_has_few_cells(spark):
+    ring = [(-20.0, -10.0), (30.0, -10.0), (30.0, 25.0), (-20.0, 25.0), (-20.0, -10.0)]
+    small = [(0.001, 0.001), (0.002, 0.001), (0.002, 0.002), (0.001, 0.002), (0.001, 0.001)]
+    shapes = spark.createDataFrame(
+        [("big", [[ring]]), ("small", [[small]])], "name string, shape array<array<array<struct<lon:double, lat:double>>>>"
+    )
+    points = spark.createDataFrame([(1, 0.0015, 0.0015), (2, 29.0, 24.0), (3, 31.0, 0.0)], "id int, lon double, lat double")
+    assert rows(nearby.points_in_shapes(points, shapes, "id", "name")) == [("big", 1), ("big", 2), ("small", 1)]
+    assert nearby.points_in_shapes(points, shapes.limit(0), "id", "name").count() == 0
