@@ -43,23 +43,45 @@ def summed_counts(packed: DataFrame, size: int) -> np.ndarray:
 
     rows = packed.select("chunk", "blob").repartition("chunk").mapInPandas(add, "chunk int, blob binary")
     counts = np.zeros(size, dtype=np.int64)
-    for row in rows.toLocalIterator():
+    for row in rows.collect():
         counts[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = unpack(bytes(row["blob"]))
     return counts
 
 
 def bit_set(keys: DataFrame, size: int) -> np.ndarray:
-    """Boolean array of ``size`` with the hashed 64-bit ``key`` of every row set."""
+    """``size`` bits, packed, with the bit of every row's 64-bit ``key`` set."""
+
+    def packed_rows(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        blobs = [zlib.compress(part.tobytes(), 1) for part in parts.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "blob"])
 
     def fill(batches):
-        bits = np.zeros(size, dtype=np.int64)
+        bits = np.zeros(size, dtype=bool)
         for batch in batches:
-            bits[slots(np.asarray(batch.column(0)), size)] = 1
-        chunks, blobs = count_rows(bits)
-        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())], names=["chunk", "blob"])
+            bits[slots(np.asarray(batch.column(0)), size)] = True
+        parts = np.packbits(bits).reshape(-1, CHUNK)
+        yield packed_rows({k: parts[k] for k in np.flatnonzero(parts.any(axis=1)).tolist()})
 
-    packed = keys.select(F.col("key").cast("bigint")).filter("key IS NOT NULL").mapInArrow(fill, "chunk int, blob binary")
-    return summed_counts(packed, size) > 0
+    def add(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                part = np.frombuffer(zlib.decompress(blob), np.uint8)
+                held[chunk] = held[chunk] | part if chunk in held else part
+        yield packed_rows(held)
+
+    schema = "chunk int, blob binary"
+    parts = keys.select(F.col("key").cast("bigint")).filter("key IS NOT NULL").mapInArrow(fill, schema)
+    packed = np.zeros(size // 8, dtype=np.uint8)
+    for row in parts.repartition("chunk").mapInArrow(add, schema).collect():
+        packed[row["chunk"] * CHUNK : (row["chunk"] + 1) * CHUNK] = np.frombuffer(zlib.decompress(bytes(row["blob"])), np.uint8)
+    return packed
+
+
+def holds(packed: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key is set."""
+    slot = slots(keys, len(packed) * 8)
+    return ((packed[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def slots(keys: np.ndarray, size: int) -> np.ndarray:

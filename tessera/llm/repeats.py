@@ -143,7 +143,7 @@ def scan_contexts(texts: DataFrame, places: DataFrame, unit: str, length: int, g
             yield pa.RecordBatch.from_arrays([pa.array(made)], names=["key"])
 
     wanted = dense.bit_set(places.select("doc_id", "lo").mapInArrow(keys, "key bigint"), MEMBER_BITS)
-    shared = texts.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
 
     def scan(batches):
         read, bits = Sequences(unit), shared.value
@@ -151,8 +151,7 @@ def scan_contexts(texts: DataFrame, places: DataFrame, unit: str, length: int, g
             for ids, part, (symbols, bounds, total, down) in each_chunk(batch, read):
                 row, anchor, _, lo, hi = anchors_of(bounds, total, down, length, gram)
                 at = bounds[row]
-                slot = dense.slots(place_key(ids[row], lo - at), MEMBER_BITS)
-                kept = np.flatnonzero((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1)
+                kept = np.flatnonzero(dense.holds(bits, place_key(ids[row], lo - at)))
                 source = part if unit == "bytes" else symbols.view(np.uint8)
                 width = 1 if unit == "bytes" else 8
                 data = source.tobytes() if len(kept) else b""
@@ -313,14 +312,11 @@ def prepared(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.select(F.coalesce(F.col(doc_id).cast("bigint"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text"))
 
 
-def covered_symbols(spans: list, length: int, size: int) -> np.ndarray:
-    """True where a removed window lies; spans beyond ``size`` are cut."""
+def covered_symbols(first: np.ndarray, last: np.ndarray, length: int, size: int) -> np.ndarray:
+    """True where a removed window lies, by first and last starts; what is beyond ``size`` is cut."""
     step = np.zeros(size + 1, dtype=np.int64)
-    if spans:
-        pairs = np.array([(s["first"], s["last"] + length) for s in spans], dtype=np.int64)
-        pairs = np.minimum(pairs, size)
-        np.add.at(step, pairs[:, 0], 1)
-        np.add.at(step, pairs[:, 1], -1)
+    np.add.at(step, np.minimum(first, size), 1)
+    np.add.at(step, np.minimum(last + length, size), -1)
     return np.cumsum(step[:size]) > 0
 
 
@@ -331,13 +327,18 @@ def runs_of(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def with_spans(texts: DataFrame, spans: DataFrame, take_out, schema: str) -> DataFrame:
-    """``take_out(text bytes, spans)`` for every text, as rows of ``schema`` after doc_id."""
+    """``take_out(text bytes, first starts, last starts)`` for every text, as rows of ``schema`` after doc_id."""
 
     def apply(batches):
         for batch in batches:
             made = []
-            for doc, text, found in zip(*(column.to_pylist() for column in batch.columns)):
-                made.append((None if doc == NO_ID else doc, *take_out((text or "").encode("utf-8"), found or [])))
+            raw, offsets = text_buffer(batch.column(1))
+            found, cuts = batch.column(2), np.asarray(batch.column(2).offsets)
+            first, last = (np.asarray(found.values.field(name)) for name in ("first", "last"))
+            for r, doc in enumerate(batch.column(0).to_pylist()):
+                inside = slice(cuts[r], cuts[r + 1])
+                data = raw[offsets[r] : offsets[r + 1]].tobytes()
+                made.append((None if doc == NO_ID else doc, *take_out(data, first[inside], last[inside])))
             columns = list(zip(*made)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=names)
 

@@ -61,11 +61,11 @@ def substring_dedup(
     gram = min(GRAM, max(1, length // 2))
     spans = repeats.repeated_windows(texts, "words", length, gram, "first", later_leaves, hot)
 
-    def take_out(data: bytes, found: list):
+    def take_out(data: bytes, first: np.ndarray, last: np.ndarray):
         words = data.split()  # at space and the controls 9 to 13
         n, removed = len(words), 0
-        if found:
-            mask = repeats.covered_symbols(found, length, n)
+        if len(first):
+            mask = repeats.covered_symbols(first, last, length, n)
             removed = int(mask.sum())
             words = [words[i] for i in np.flatnonzero(~mask).tolist()]
         return n, removed, hashlib.sha256(b" ".join(words)).hexdigest()

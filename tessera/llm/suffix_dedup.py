@@ -29,7 +29,6 @@ from tessera.llm.registry import register, table
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LENGTH = 200
-GRAM = 24
 
 
 def smaller_neighbours(ranks: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -65,7 +64,7 @@ def repeated_strings(
     documents: DataFrame, length: int = LENGTH, keep: str = "first", doc_id: str = "doc_id", text: str = "text", hot: int = repeats.HOT_GROUP
 ) -> DataFrame:
     """(doc_id, spans) of repeated windows; ``keep`` is "first" or "none"."""
-    gram = min(GRAM, max(1, length // 2))
+    gram = max(1, 2 * length // 5)
     judge = later_copies if keep == "first" else all_copies
     return repeats.repeated_windows(repeats.prepared(documents, doc_id, text), "bytes", length, gram, keep, judge, hot)
 
@@ -76,8 +75,8 @@ def suffix_dedup(
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every text."""
     spans = repeated_strings(documents, length, keep, doc_id, text, hot)
 
-    def take_out(data: bytes, found: list):
-        runs = repeats.runs_of(repeats.covered_symbols(found, length, len(data))) if found else []
+    def take_out(data: bytes, first: np.ndarray, last: np.ndarray):
+        runs = repeats.runs_of(repeats.covered_symbols(first, last, length, len(data))) if len(first) else []
         kept, at = [], 0
         for a, b in runs:
             kept.append(data[at:a])

@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Seed of the byte values and the odd base of the polynomial.
 SEED = 20240229
 BASE = 0x9E3779B97F4A7C15 | 1
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
