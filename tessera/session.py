@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN_FOLDERS: dict[str, str] = {}
+_SCRATCH: list[str] = []
 
 
 def build_session(app: str = "tessera", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,14 +50,30 @@ def run_folder(spark: SparkSession) -> str:
 def clear_run_folder(spark: SparkSession) -> None:
     """Delete what this application wrote below the shared folder; frames read from there end with it."""
     root = _RUN_FOLDERS.pop(spark.sparkContext.applicationId, None)
-    if root:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    drop_paths(spark, [root] if root else [])
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the run folder; nothing is created."""
-    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:8]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def scratch_since(mark: int) -> list[str]:
+    """Scratch paths handed out after the first ``mark`` ones."""
+    return _SCRATCH[mark:]
+
+
+def scratch_mark() -> int:
+    return len(_SCRATCH)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:
