@@ -1,9 +1,9 @@
 """Benchmark decontamination by SimHash windows and multi-index Hamming blocks.
 
 1. A text is read in windows of as many words as an item of the benchmark has. A window can only
-   be similar enough if that share of its shingles occurs in the benchmark at all, so windows are
-   first tested against a fixed bit set of the benchmark's shingles. The test drops no window that
-   could pass the last step.
+   be similar enough if that share of its shingles occurs in items of its size, so windows are
+   first tested against a fixed bit set of shingles and sizes. The test drops no window that could
+   pass the last step.
 2. What is left gets a 128-bit SimHash of its shingles, each weighted by how often it occurs.
 3. Fingerprints are cut into 16 blocks of a byte. Within 31 bits of each other, two of them differ by
    at most one bit in some block; items are posted under each block's value and its eight
@@ -60,7 +60,13 @@ def weighted_similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def digest_of(held: np.ndarray) -> int:
-    return int(rolling(held, len(held)).view(np.int64)[0])
+    """Digest of a bag of shingles, in whatever order."""
+    return int(mix(held).sum(dtype=np.uint64).view(np.int64))
+
+
+def sized(held: np.ndarray, n: int) -> np.ndarray:
+    """Keys of shingles in items of ``n`` words."""
+    return mix(held + np.uint64(n) * SECOND).view(np.int64)
 
 
 def scan_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -83,12 +89,16 @@ def scan_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
 
 
 def shingle_bits(items: DataFrame) -> np.ndarray:
+    """Bits of all shingles of the benchmark, and of all shingles with the size of an item they are in."""
+
     def each(batches):
         for batch in batches:
-            for held in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(held.as_py(), np.int64))], names=["key"])
+            for n, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                shingles = np.frombuffer(held, np.uint64)
+                keys = np.concatenate([shingles.view(np.int64), sized(shingles, n)])
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
 
-    return np.packbits(dense.bit_set(items.select("held").mapInArrow(each, "key bigint"), SHINGLE_BITS))
+    return dense.bit_set(items.select("n", "held").mapInArrow(each, "key bigint"), SHINGLE_BITS)
 
 
 def scan_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray) -> DataFrame:
@@ -99,15 +109,14 @@ def scan_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray) ->
     def windows(doc: int, words: np.ndarray, bits: np.ndarray):
         for width in sorted({min(SHINGLE, n) for n in sizes}):
             held = rolling(words, width)
-            slot = dense.slots(held.view(np.int64), SHINGLE_BITS)
-            hit = (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
-            if not hit.any():
-                continue
-            upto = np.r_[0, np.cumsum(hit, dtype=np.int64)]
+            hits = np.flatnonzero(dense.holds(bits, held.view(np.int64)))
             for n in sizes:
                 count = n - width + 1
-                if min(SHINGLE, n) != width or len(held) < count:
+                if min(SHINGLE, n) != width or len(held) < count or len(hits) * DEN < NUM * count:
                     continue
+                own = np.zeros(len(held) + 1, dtype=np.int64)
+                own[hits + 1] = dense.holds(bits, sized(held[hits], n))
+                upto = np.cumsum(own)
                 found = upto[count:] - upto[:-count]
                 for start in np.flatnonzero(found * DEN >= NUM * count).tolist():
                     inside = held[start : start + count]
@@ -148,7 +157,7 @@ def contaminated(
     """doc_id, item_id, start_word, n_words, similarity: each text's best window for every item in it."""
     items = scan_items(benchmark, item_id, text)
     # as many numbers as items differ in length
-    sizes = [r["n"] for r in items.select("n").distinct().orderBy("n").toLocalIterator()]
+    sizes = [r["n"] for r in items.select("n").distinct().orderBy("n").collect()]
     texts = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     windows = settle(scan_windows(texts, sizes, shingle_bits(items)), "simhash_windows")
     classes = settle(windows.groupBy("n", "digest", "high", "low").agg(F.min("held").alias("held")), "window_classes")
