@@ -42,6 +42,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 20
 MEMBER_BITS = 1 << 24
+TOKEN_BITS = 1 << 26
 PARTS = 8
 
 
@@ -97,29 +98,37 @@ def scan_sets(documents: DataFrame, size: int) -> DataFrame:
     return settle(documents.mapInArrow(scan, schema), "shingle_scan")
 
 
-def posted(documents: DataFrame, counts: np.ndarray, size: int, num: int, den: int) -> DataFrame:
-    """(token, cls, n, pos, parts): the rare-first prefix of every text."""
-    shared = documents.sparkSession.sparkContext.broadcast(np.minimum(counts, 1 << 31).astype(np.uint32))
+def posted(documents: DataFrame, counts, size: int, num: int, den: int, only=None) -> DataFrame:
+    """The rare-first prefix of every text as (token, cls, n, pos, parts).
+
+    Without ``only``, just (token, cls); with it, a bit set of n-grams, the postings of those.
+    Both are broadcast tables of a fixed size.
+    """
+    names = ["token", "cls"] if only is None else ["token", "cls", "n", "pos", "parts"]
 
     def post(batches):
-        rank = shared.value
+        rank = counts.value
         for batch in batches:
-            columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            columns: list[list[np.ndarray]] = [[] for _ in names]
             for held in shingle_sets(batch.column(1), size):
                 n = len(held)
                 if not n:
                     continue
                 p = prefix_length(n, num, den)
                 first = held[np.lexsort((held, rank[buckets_of(held)]))[:p]]
-                made = (first, np.full(p, set_digest(held)), np.full(p, n), np.arange(1, p + 1), np.full(p, part_sizes(held)))
+                place = np.arange(p)
+                if only is not None:
+                    place = np.flatnonzero(dense.holds(only.value, first.view(np.int64)))
+                    first = first[place]
+                made = [first.view(np.int64), np.full(len(place), set_digest(held))]
+                if only is not None:
+                    made += [np.full(len(place), n), place + 1, np.full(len(place), part_sizes(held))]
                 for column, values in zip(columns, made):
                     column.append(values)
             if columns[0]:
-                token = pa.array(np.concatenate(columns[0]).view(np.int64))
-                rest = [pa.array(np.concatenate(c).astype(np.int64)) for c in columns[1:]]
-                yield pa.RecordBatch.from_arrays([token, *rest], names=["token", "cls", "n", "pos", "parts"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=names)
 
-    return documents.mapInArrow(post, "token bigint, cls bigint, n bigint, pos bigint, parts bigint")
+    return documents.mapInArrow(post, ", ".join(f"{name} bigint" for name in names))
 
 
 def may_link(a: str, b: str, num: int, den: int) -> Column:
@@ -142,20 +151,19 @@ def verified(documents: DataFrame, pairs: DataFrame, size: int, num: int, den: i
     the scan skip most others, and the join drops the rest.
     """
     wanted = settle(pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct(), "wanted_ids")
-    shared = documents.sparkSession.sparkContext.broadcast(np.packbits(dense.bit_set(wanted, MEMBER_BITS)))
+    shared = documents.sparkSession.sparkContext.broadcast(dense.bit_set(wanted, MEMBER_BITS))
 
     def build(batches):
         bits = shared.value
         for batch in batches:
             ids = batch.column(0).fill_null(-1)
-            slot = dense.slots(np.asarray(ids), MEMBER_BITS)
-            hit = (bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1
-            kept = batch.filter(pa.array(hit.astype(bool)))
+            kept = batch.filter(pa.array(dense.holds(bits, np.asarray(ids))))
             # the text of an id stays apart from its set until both are written
             sets = [held.tobytes() for held in shingle_sets(kept.column(1), size)]
             yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(sets, pa.binary())], names=["doc_id", "held"])
 
     sets = settle(documents.mapInArrow(build, "doc_id bigint, held binary"), "pair_sets")
+    shared.unpersist()
 
     def compare(batches):
         for batch in batches:
@@ -188,12 +196,18 @@ def similar_groups(
         rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls", "n").agg(F.min("doc_id").alias("node")), "shingle_classes"
     )
 
-    post = settle(posted(texts, counts, size, num, den), "postings")
-    earliest = F.min(F.struct("pos", "n", "cls", "parts"))
-    hubs = post.groupBy("token").agg(earliest.alias("hub"), F.min("cls").alias("lo"), F.max("cls").alias("hi"))
-    hubs = settle(hubs.filter("lo <> hi").select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("pos", "n", "cls", "parts")]), "hubs")
+    held = spark.sparkContext.broadcast(np.minimum(counts, 1 << 31).astype(np.uint32))
+    narrow = posted(texts, held, size, num, den).groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
+    several = settle(narrow.filter("lo <> hi").select("token"), "shared_tokens")
+    only = spark.sparkContext.broadcast(dense.bit_set(several.select(F.col("token").alias("key")), TOKEN_BITS))
     # copies post the same rows, which are one here
-    shared = settle(post.join(hubs, "token").distinct(), "shared_postings")
+    post = posted(texts, held, size, num, den, only).distinct().join(several, "token", "left_semi")
+    post = settle(post, "postings")
+    held.unpersist()
+    only.unpersist()
+    earliest = F.min(F.struct("pos", "n", "cls", "parts")).alias("hub")
+    hubs = post.groupBy("token").agg(earliest).select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("pos", "n", "cls", "parts")])
+    shared = post.join(settle(hubs, "hubs"), "token")
     shared = shared.join(classes, ["cls", "n"])
     hub_node = classes.select(F.col("cls").alias("hub_cls"), F.col("n").alias("hub_n"), F.col("node").alias("hub_node"))
     shared = settle(shared.join(hub_node, ["hub_cls", "hub_n"]).drop("cls", "hub_cls"), "shared_nodes")
@@ -244,7 +258,10 @@ def similar_groups(
 
 
 def drop_similar(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id") -> DataFrame:
-    """``documents`` with one row of each group of similar texts: the one with the smallest id."""
+    """``documents`` with one document of each group of similar texts: the one with the smallest id.
+
+    Rows without id stay, and so do all rows that share the id that stays.
+    """
     groups = similar_groups(documents, size, num, den, doc_id)
     losers = settle(groups.filter("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct(), "near_copies")
     return documents.join(losers, doc_id, "left_anti")
