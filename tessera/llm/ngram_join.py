@@ -7,7 +7,7 @@
    puts what few texts share into the prefixes.
 3. Each text posts its prefix, as long as the threshold asks. Of a posted n-gram's texts, the
    one with it earliest (the least edited) is the hub; every other is compared with the hub
-   after the length, positional and suffix filters. Suffix filter: texts are cut at seven fixed
+   it shares most n-grams with, after the length, positional and suffix filters. Suffix filter: texts are cut at seven fixed
    hashes and the differences of the eight parts' sizes bound the difference of the sets.
 4. Pairs are made distinct and verified on the full sets. Components follow from the links.
 5. What hubs left apart is compared exactly: where an n-gram joins several components, each text
@@ -41,6 +41,7 @@ from tessera.session import settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1 << 20
+SKETCH_BITS = 2048
 MEMBER_BITS = 1 << 24
 TOKEN_BITS = 1 << 26
 PARTS = 8
@@ -71,6 +72,13 @@ def part_sizes(held: np.ndarray) -> int:
     return int(sizes.astype(np.uint8).view("<i8")[0])
 
 
+def sketch(held: np.ndarray) -> bytes:
+    """A bit per slot that some member falls into; two sets differ in at least as many members as bits."""
+    bits = np.zeros(SKETCH_BITS, dtype=bool)
+    bits[(held & np.uint64(SKETCH_BITS - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
 def scan_sets(documents: DataFrame, size: int) -> DataFrame:
     """Written once: a row (doc_id, n, cls) per text, and rows (chunk, blob) of the n-gram counters."""
 
@@ -148,7 +156,8 @@ def verified(documents: DataFrame, pairs: DataFrame, size: int, num: int, den: i
     """Pairs (u, v) of document ids whose full shingle sets are similar enough, written.
 
     Sets are made again for the documents of the pairs only; a fixed bit set of their ids lets
-    the scan skip most others, and the join drops the rest.
+    the scan skip most others, and the join drops the rest. Pairs first meet with small sketches,
+    which bound the difference from below, so that whole sets move for likely links only.
     """
     wanted = settle(pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct(), "wanted_ids")
     shared = documents.sparkSession.sparkContext.broadcast(dense.bit_set(wanted, MEMBER_BITS))
@@ -159,12 +168,29 @@ def verified(documents: DataFrame, pairs: DataFrame, size: int, num: int, den: i
             ids = batch.column(0).fill_null(-1)
             kept = batch.filter(pa.array(dense.holds(bits, np.asarray(ids))))
             # the text of an id stays apart from its set until both are written
-            sets = [held.tobytes() for held in shingle_sets(kept.column(1), size)]
-            yield pa.RecordBatch.from_arrays([kept.column(0), pa.array(sets, pa.binary())], names=["doc_id", "held"])
+            sets = [(len(held), sketch(held), held.tobytes()) for held in shingle_sets(kept.column(1), size)]
+            columns = list(zip(*sets)) or [()] * 3
+            made = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([kept.column(0), *made], names=["doc_id", "n", "bits", "held"])
 
-    sets = settle(documents.mapInArrow(build, "doc_id bigint, held binary"), "pair_sets")
+    sets = settle(documents.mapInArrow(build, "doc_id bigint, n bigint, bits binary, held binary"), "pair_sets")
     shared.unpersist()
 
+    def likely(batches):
+        for batch in batches:
+            keep = []
+            for na, nb, a, b in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+                gap = int(np.bitwise_count(np.frombuffer(a, np.uint8) ^ np.frombuffer(b, np.uint8)).sum())
+                keep.append(gap * (num + den) <= (na + nb) * (den - num))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
+
+    def side(key: str, held: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{held}_{c}") for c in columns])
+
+    met = pairs.join(side("u", "a", "n", "bits"), "u").join(side("v", "b", "n", "bits"), "v")
+    met = met.select("u", "v", "a_n", "b_n", "a_bits", "b_bits")
+    pairs = settle(met.mapInArrow(likely, "u bigint, v bigint").distinct(), "likely_pairs")
+
     def compare(batches):
         for batch in batches:
             keep = []
@@ -174,8 +200,7 @@ def verified(documents: DataFrame, pairs: DataFrame, size: int, num: int, den: i
                 keep.append(both * den >= num * (len(x) + len(y) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["u", "v"])
 
-    left = pairs.join(sets.select(F.col("doc_id").alias("u"), F.col("held").alias("a")), "u")
-    sides = left.join(sets.select(F.col("doc_id").alias("v"), F.col("held").alias("b")), "v").select("u", "v", "a", "b")
+    sides = pairs.join(side("u", "a", "held"), "u").join(side("v", "b", "held"), "v").select("u", "v", "a_held", "b_held")
     return settle(sides.mapInArrow(compare, "u bigint, v bigint").distinct(), "verified_links")
 
 
@@ -216,7 +241,11 @@ def similar_groups(
         return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
     to_hub = shared.filter("node <> hub_node").filter(may_link("", "hub_", num, den))
-    first = settle(to_hub.select(*ordered("node", "hub_node")).distinct(), "hub_pairs")
+    # one hub for each text, the one it shares most with; what that leaves apart is compared below
+    counted = to_hub.groupBy("node", "hub_node").agg(F.count(F.lit(1)).alias("shared"))
+    best = counted.groupBy("node").agg(F.max(F.struct("shared", (-F.col("hub_node")).alias("back"))).alias("best"))
+    chosen = best.select("node", (-F.col("best.back")).alias("hub_node"))
+    first = settle(chosen.select(*ordered("node", "hub_node")).distinct(), "hub_pairs")
     links = verified(texts, first, size, num, den)
     known = components(links)
 
