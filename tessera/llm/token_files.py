@@ -36,8 +36,8 @@ from tessera.session import scratch_path, settle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END_ID = 1
-CACHED_WORDS = 1_000_000
-PIECES_PER_CALL = 20_000
+CACHED_WORDS = 400_000
+PIECES_PER_CALL = 2_000
 # Symbols tried as the mark between words of one call.
 MARKS = ("♥", "☺", "★", "€", "§")
 FILE_SCHEMA = "shard int, local_start bigint, doc_id bigint, n_tokens bigint, ids array<int>"
@@ -162,6 +162,8 @@ def write_token_files(
                     names=["shard", "local_start", "doc_id", "n_tokens", "ids"],
                 )
                 done, before = done + n, before + int(upto[-1])
+            # what a batch took goes back to the system, since the worker lives on with its cache
+            pa.default_memory_pool().release_unused()
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
