@@ -6,8 +6,8 @@ after its context scores c(context, word) / c(context) where the former was seen
 score with a shorter context; a word by itself scores c(word) / words of other texts, and a word never seen
 counts as seen once. Natural logarithms are summed per text.
 
-Texts are dealt into blocks of bounded size by a hash. A block sends each of its different n-grams once,
-with its count, to the partition of the n-gram's hash: that message is the block's
+Texts are packed, as they are read, into blocks of bounded size, which are written once. A block sends
+each of its different n-grams once, with its count, to the partition of the n-gram's hash: that message is the block's
 share of the count table and its question to it. A partition adds the shares up, which makes its part of
 the table, and answers every block with the totals in the order asked. A block then
 joins its exploded n-grams to these totals and sums per text. However often an n-gram occurs, a block sends it once.
@@ -25,12 +25,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.registry import register, table
-from tessera.llm.words import WordReader, rolling
+from tessera.llm.words import WordReader, chunks, rolling, text_buffer
 from tessera.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,7 +41,7 @@ BLOCK_BYTES = 8 << 20
 PART_GRAMS = 1 << 21
 
 
-def block_texts(texts: list[np.ndarray], order: int):
+def block_texts(texts: list[np.ndarray]):
     """Word hashes of a block's texts in one array, with the text of each word and its place in it."""
     size = np.array([len(t) for t in texts], dtype=np.int64)
     words = np.concatenate(texts) if texts else np.zeros(0, np.uint64)
@@ -73,6 +73,17 @@ def part_bounds(grams: np.ndarray, parts: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(grams, cuts), len(grams)]
 
 
+def pack_hashes(hashes: np.ndarray) -> bytes:
+    """Sorted hashes as steps, byte by byte, so that the upper bytes nearly vanish."""
+    steps = np.diff(hashes, prepend=np.uint64(0))
+    return zlib.compress(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unpack_hashes(blob: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(blob), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def pack(values: np.ndarray) -> bytes:
     kind = np.min_scalar_type(int(values.max()) if len(values) else 0)
     return kind.char.encode() + zlib.compress(values.astype(kind).tobytes(), 1)
@@ -114,60 +125,99 @@ def score_block(words, text, place, size, grams, totals, all_words: int, order:
     return np.bincount(text, weights=score, minlength=n_texts)
 
 
+def packed_blocks(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """(block, ids, ends, n_words, body): texts in the order read, a row for about ``block_bytes`` of them, written."""
+
+    def blocks(batches):
+        held, size, number = [], 0, TaskContext.get().partitionId() << 32
+
+        def row() -> pa.RecordBatch:
+            ids = pa.chunked_array([part[0] for part in held], pa.int64()).combine_chunks()
+            body = b"".join(part[1] for part in held)
+            ends = np.cumsum(np.concatenate([part[2] for part in held]))
+            n_words = len(reader.spans(np.frombuffer(body, np.uint8), np.r_[0, ends])[0])
+            columns = [
+                pa.array([number], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.ListArray.from_arrays(pa.array([0, len(ends)], pa.int32()), pa.array(ends)),
+                pa.array([n_words], pa.int64()),
+                pa.array([zlib.compress(body, 1)], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "ends", "n_words", "body"])
+
+        reader = WordReader()
+        for batch in batches:
+            raw, offsets = text_buffer(batch.column(1))
+            for first, last in chunks(offsets, max(1, block_bytes // 8)):
+                part = raw[offsets[first] : offsets[last]].tobytes()
+                held.append((batch.column(0).slice(first, last - first), part, np.diff(offsets[first : last + 1])))
+                size += len(part)
+                if size >= block_bytes:
+                    yield row()
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield row()
+
+    return settle(rows.mapInArrow(blocks, "block bigint, ids array<bigint>, ends array<bigint>, n_words bigint, body binary"), "text_blocks")
+
+
+def unpacked_words(ends: np.ndarray, body: bytes):
+    """What ``block_texts`` makes of a written block."""
+    raw, offsets, reader = np.frombuffer(zlib.decompress(body), np.uint8), np.r_[0, ends], WordReader(fold_case=True)
+    texts = []
+    for first, last in chunks(offsets):
+        part = raw[offsets[first] : offsets[last]]
+        starts, over, bounds = reader.spans(part, offsets[first : last + 1] - offsets[first])
+        hashes = reader.hashes(part, starts, over)
+        texts += [hashes[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+    return block_texts(texts)
+
+
 def lm_scores(
     documents: DataFrame, order: int = ORDER, doc_id: str = "doc_id", text: str = "text",
     block_bytes: int = BLOCK_BYTES, part_grams: int = PART_GRAMS,
 ) -> DataFrame:
     """doc_id, n_words, log_score (sum of natural logarithms) and mean_log_score of every row."""
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    totals = rows.agg(
-        F.sum(F.octet_length("text")).alias("bytes"), F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words")
-    ).first()
-    all_words = totals["words"] or 0
-    n_blocks = max(1, -(-(totals["bytes"] or 0) // block_bytes))
+    blocks = packed_blocks(rows, block_bytes)
+    all_words = blocks.agg(F.sum("n_words")).first()[0] or 0
     parts = max(1, -(-all_words * order // part_grams))
-    key = F.xxhash64("doc_id", F.octet_length("text"))
-    blocked = rows.withColumn("block", F.pmod(key, F.lit(n_blocks)).cast("int"))
-
-    def words_of(group: pa.Table):
-        return block_texts(list(WordReader(fold_case=True).rows(group.column("text"))), order)
-
-    def ask(group: pa.Table) -> pa.Table:
-        words, _, place, _ = words_of(group)
-        grams, count = block_grams(words, place, order)
-        bounds = part_bounds(grams, parts)
-        spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
-        return pa.table(
-            {
-                "part": pa.array(range(parts), pa.int32()),
-                "block": pa.array([group.column("block")[0].as_py()] * parts, pa.int32()),
-                "grams": pa.array([grams[a:b].tobytes() for a, b in spans], pa.binary()),
-                "counts": pa.array([pack(count[a:b]) for a, b in spans], pa.binary()),
-            }
-        )
+
+    def ask(batches):
+        for batch in batches:
+            for block, ends, body in zip(*batch.columns):
+                words, _, place, _ = unpacked_words(np.asarray(ends.values), body.as_py())
+                grams, count = block_grams(words, place, order)
+                bounds = part_bounds(grams, parts)
+                for part, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+                    made = [[part], [block.as_py()], [pack_hashes(grams[a:b])], [pack(count[a:b])]]
+                    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+                    yield pa.RecordBatch.from_arrays([pa.array(m, k) for m, k in zip(made, kinds)], names=["part", "block", "grams", "counts"])
 
     def answer(group: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("grams")]
+        asked = [unpack_hashes(x.as_py()) for x in group.column("grams")]
         count = np.concatenate([unpack(x.as_py()) for x in group.column("counts")])
-        order_of = np.argsort(every := np.concatenate(asked))
+        every = np.concatenate(asked)
+        order_of = np.argsort(every)
         fresh = np.r_[True, every[order_of][1:] != every[order_of][:-1]][: len(every)]
         which = np.empty(len(every), dtype=np.int64)
         which[order_of] = np.cumsum(fresh) - 1
         table_counts = np.bincount(which, weights=count).astype(np.int64)
-        found = np.split(table_counts[which] if len(every) else count, np.cumsum([len(a) for a in asked])[:-1])
+        found = np.split(table_counts[which], np.cumsum([len(a) for a in asked])[:-1])
         return pa.table({"block": group.column("block"), "part": group.column("part"), "totals": pa.array([pack(f) for f in found], pa.binary())})
 
     def score(key, group: pa.Table, answers: pa.Table) -> pa.Table:
-        words, text_of, place, size = words_of(group)
+        words, text_of, place, size = unpacked_words(np.asarray(group.column("ends").combine_chunks().values), group.column("body")[0].as_py())
         grams, _ = block_grams(words, place, order)
         by_part = sorted(zip(answers.column("part").to_pylist(), answers.column("totals").to_pylist()))
         found = np.concatenate([unpack(blob) for _, blob in by_part])
         sums = score_block(words, text_of, place, size, grams, found, all_words, order)
-        return pa.table({"doc_id": group.column("doc_id"), "n_words": pa.array(size), "log_score": pa.array(sums, pa.float64())})
+        ids = group.column("ids").combine_chunks().flatten()
+        return pa.table({"doc_id": ids, "n_words": pa.array(size), "log_score": pa.array(sums, pa.float64())})
 
-    asked = blocked.groupBy("block").applyInArrow(ask, "part int, block int, grams binary, counts binary")
-    answers = settle(asked.groupBy("part").applyInArrow(answer, "block int, part int, totals binary"), "gram_totals")
-    scored = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+    asked = blocks.select("block", "ends", "body").mapInArrow(ask, "part int, block bigint, grams binary, counts binary")
+    answers = settle(asked.groupBy("part").applyInArrow(answer, "block bigint, part int, totals binary"), "gram_totals")
+    scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         score, "doc_id bigint, n_words bigint, log_score double"
     )
     return scored.withColumn("mean_log_score", F.col("log_score") / F.nullif(F.col("n_words"), F.lit(0)))
