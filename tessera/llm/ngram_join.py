@@ -11,9 +11,12 @@
    hashes and the differences of the eight parts' sizes bound the difference of the sets.
 4. Pairs are made distinct and verified on the full sets. Components follow from the links.
 5. What hubs left apart is compared exactly: where an n-gram joins several components, each text
-   outside the hub's component meets all texts of other components, under the same filters. No pair
-   inside a component is made, so a group of near copies costs its size, not its square,
-   and no link between components is lost.
+   outside the hub's component meets all texts of other components, under the same filters, so no
+   link between components is lost.
+6. Links exist only inside components, which are now exact. To count them, the classes of a component
+   are dealt into blocks of bounded size by their hash, and every two blocks are one group, in which
+   all pairs that the length filter leaves are verified on the full sets. Only counts leave a group,
+   but the work on a component is the square of its classes, as is the number of links it may hold.
 
 Defined cases: a null or empty text, or one of separators only, has an empty set and links with nothing;
 fewer words than a shingle make one shingle of all; equal sets link; repeated rows are equal
@@ -45,6 +48,7 @@ SKETCH_BITS = 2048
 MEMBER_BITS = 1 << 24
 TOKEN_BITS = 1 << 26
 PARTS = 8
+BLOCK_TEXTS, BLOCK_SHINGLES = 128, 1 << 16
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -204,16 +208,90 @@ def verified(documents: DataFrame, pairs: DataFrame, size: int, num: int, den: i
     return settle(sides.mapInArrow(compare, "u bigint, v bigint").distinct(), "verified_links")
 
 
-def similar_groups(
-    documents: DataFrame, size: int = 3, num: int = 90, den: int = 100, doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) per row of ``documents``; links where similarity is at least num / den.
+def block_links(sizes: np.ndarray, block: np.ndarray, within: bool, sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """How many links each set has to the others of its block (``within``) or of the other block."""
+    order = np.argsort(sizes, kind="stable")
+    n, block = sizes[order], block[order]
+    tokens, slot = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    # a shingle of one set only is in no overlap
+    several = np.bincount(slot, minlength=len(tokens)) > 1
+    column = np.cumsum(several) - 1
+    member = np.zeros((len(n), -(-int(several.sum()) // 64) * 64), dtype=bool)
+    kept = several[slot]
+    member[np.repeat(np.arange(len(n)), n)[kept], column[slot[kept]]] = True
+    bits = np.packbits(member, axis=1).view(np.uint64)
+    last = np.searchsorted(n, n * den // num, side="right")
+    degree = np.zeros(len(n), dtype=np.int64)
+    for a in range(len(n)):
+        others = np.arange(a + 1, last[a])
+        if not within:
+            others = others[block[others] != block[a]]
+        both = np.bitwise_count(bits[a] & bits[others]).sum(axis=1, dtype=np.int64)
+        others = others[both * den >= num * (n[a] + n[others] - both)]
+        degree[a] += len(others)
+        degree[others] += 1
+    found = np.zeros(len(n), dtype=np.int64)
+    found[order] = degree
+    return found
+
+
+def link_counts(documents: DataFrame, placed: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """(cls, n, n_links): for every linked class of ``placed`` (cls, n, node, component), its links to other classes."""
+    members = placed.groupBy("component").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("classes") / BLOCK_TEXTS, F.col("shingles") / BLOCK_SHINGLES)).cast("bigint").alias("blocks")
+    members = members.filter("classes > 1").select("component", blocks)
+    members = placed.join(members, "component").withColumn("block", F.pmod(F.xxhash64("cls", "n"), "blocks"))
+    members = settle(members, "component_classes")
+    shared = documents.sparkSession.sparkContext.broadcast(dense.bit_set(members.select(F.col("node").alias("key")), MEMBER_BITS))
 
-    ``n_links`` counts the verified links of the row's class to other classes; links within one
-    component that its connectivity did not need are not among them.
-    """
-    spark = documents.sparkSession
-    texts = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    def build(batches):
+        bits = shared.value
+        for batch in batches:
+            kept = batch.filter(pa.array(dense.holds(bits, np.asarray(batch.column(0)))))
+            sets = [(len(held), set_digest(held), held.tobytes()) for held in shingle_sets(kept.column(1), size)]
+            columns = list(zip(*sets)) or [()] * 3
+            made = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([kept.column(0), *made], names=["node", "n", "cls", "held"])
+
+    # rows repeated with their id give one set
+    sets = documents.filter("doc_id IS NOT NULL").mapInArrow(build, "node bigint, n bigint, cls bigint, held binary")
+    sets = sets.join(members, ["node", "n", "cls"]).groupBy("cls", "n", "component", "blocks", "block").agg(F.first("held").alias("held"))
+    sets = settle(sets, "component_sets")
+    shared.unpersist()
+
+    # a block meets every block of its component, itself once
+    dealt = sets.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"))
+    key = ["component", "i", "j"]
+    dealt = dealt.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "n", "held")
+
+    def counted(rows: list) -> pa.RecordBatch:
+        sizes, block = np.array([r[5] for r in rows]), np.array([r[3] for r in rows])
+        sets = [np.frombuffer(r[6], np.uint64) for r in rows]
+        made = block_links(sizes, block, rows[0][1] == rows[0][2], sets, num, den)
+        columns = [[r[4] for r in rows], sizes, made]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["cls", "n", "n_links"])
+
+    def count(batches):
+        held, last = [], None
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[:3] != last and held:
+                    yield counted(held)
+                    held = []
+                held.append(row)
+                last = row[:3]
+        if held:
+            yield counted(held)
+
+    # rows of two blocks follow each other, so only these are held at a time
+    grouped = dealt.repartition(*key).sortWithinPartitions(*key)
+    made = grouped.mapInArrow(count, "cls bigint, n bigint, n_links bigint")
+    return settle(made.groupBy("cls", "n").agg(F.sum("n_links").alias("n_links")), "degrees")
+
+
+def placed_classes(texts: DataFrame, size: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, cls) of every text (doc_id, text), and (cls, n, node, component) of every class of texts with an id."""
+    spark = texts.sparkSession
     scan = scan_sets(texts, size)
     rows = scan.filter("chunk IS NULL").select("doc_id", "n", "cls")
     counts = dense.summed_counts(scan.filter("chunk IS NOT NULL"), BUCKETS)
@@ -270,28 +348,47 @@ def similar_groups(
         links = links.unionByName(verified(texts, second, size, num, den))
         known = components(links)
 
-    degree = settle(links.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links")), "degrees")
-    result = settle(
-        classes.join(known, "node", "left").join(degree, "node", "left").select(
-            "cls", "n", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")
-        ),
-        "class_components",
-    )
-    named = rows.join(result, ["cls", "n"], "left")
+    placed = classes.join(known, "node", "left").select("cls", "n", "node", F.coalesce("component", "node").alias("component"))
+    return rows, settle(placed, "class_components")
+
+
+def own_texts(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+
+
+def component_of() -> Column:
+    return F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
+
+
+def similar_groups(
+    documents: DataFrame, size: int = 3, num: int = 90, den: int = 100, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) per row of ``documents``; links where similarity is at least num / den.
+
+    ``n_links`` is the number of other classes that the row's class links with: all of them, each
+    verified. Texts with an equal set are one class, so copies neither link nor count twice.
+    """
+    texts = own_texts(documents, doc_id, text)
+    rows, placed = placed_classes(texts, size, num, den)
+    degree = link_counts(texts, placed, size, num, den)
+    named = rows.join(placed.join(degree, ["cls", "n"], "left"), ["cls", "n"], "left")
     return named.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        component_of(),
         F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
     )
 
 
-def drop_similar(documents: DataFrame, size: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id") -> DataFrame:
+def drop_similar(
+    documents: DataFrame, size: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
     """``documents`` with one document of each group of similar texts: the one with the smallest id.
 
     Rows without id stay, and so do all rows that share the id that stays.
     """
-    groups = similar_groups(documents, size, num, den, doc_id)
+    rows, placed = placed_classes(own_texts(documents, doc_id, text), size, num, den)
+    groups = rows.join(placed, ["cls", "n"], "left").select("doc_id", component_of())
     losers = settle(groups.filter("component_id <> doc_id").select(F.col("doc_id").alias(doc_id)).distinct(), "near_copies")
     return documents.join(losers, doc_id, "left_anti")
 

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import pytest
 
+from tessera.llm import ngram_join
 from tessera.llm.components import components
 from tessera.llm.ngram_join import drop_similar, similar_groups
 
@@ -62,6 +63,28 @@ def test_chains(spark, size, num):
     assert got == expected_groups(rows, size, num, 100)
 
 
+def expected_links(rows, size, num, den):
+    """For every row, the different sets other than its own that it is similar to."""
+    sets = {d: frozenset(shingle_set(t, size)) for d, t in rows}
+    classes = set(sets.values())
+    return {d: sum(den * len(x & y) >= num * len(x | y) for y in classes if x and y and x != y) for d, x in sets.items()}
+
+
+@pytest.mark.parametrize("size, num, block", [(3, 90, 128), (5, 80, 5), (2, 60, 3)])
+def test_all_links_are_counted(spark, monkeypatch, size, num, block):
+    monkeypatch.setattr(ngram_join, "BLOCK_TEXTS", block)
+    rows = chains(size)
+    got = {r.doc_id: r.n_links for r in similar_groups(frame(spark, rows), size, num, 100).collect()}
+    assert got == expected_links(rows, size, num, 100)
+
+
+def test_each_of_three_similar_texts_has_two_links(spark):
+    words = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join([*words, *([f"end{i}"] if i else [])])) for i in range(3)] + [(9, " ".join(words).upper())]
+    got = sorted((r.doc_id, r.n_links) for r in similar_groups(frame(spark, [*rows, rows[1]])).collect())
+    assert got == [(0, 2), (1, 2), (1, 2), (2, 2), (9, 2)]
+
+
 def test_corpus(spark, corpus):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(frame(spark, corpus)).collect()}
     assert got == expected_groups(corpus, 3, 90, 100)
