@@ -299,6 +299,8 @@ def placed_classes(texts: DataFrame, size: int, num: int, den: int) -> tuple[Dat
         rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls", "n").agg(F.min("doc_id").alias("node")), "shingle_classes"
     )
 
+    # a text without id is in no class, so it may not be the hub of others either
+    texts = texts.filter("doc_id IS NOT NULL")
     held = spark.sparkContext.broadcast(np.minimum(counts, 1 << 31).astype(np.uint32))
     narrow = posted(texts, held, size, num, den).groupBy("token").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
     several = settle(narrow.filter("lo <> hi").select("token"), "shared_tokens")
@@ -376,7 +378,7 @@ def similar_groups(
         "doc_id",
         F.col("n").alias("n_shingles"),
         component_of(),
-        F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
+        F.when(F.col("doc_id").isNotNull() & F.col("n_links").isNotNull(), F.col("n_links")).otherwise(F.lit(0).cast("bigint")).alias("n_links"),
     )
 
 

@@ -112,6 +112,14 @@ def test_edge_rows(spark):
     assert got == [(0, 2, None), (2, 2, 2), (4, 2, 2), (4, 2, 2), (8, 0, 8), (9, 0, 9)]
 
 
+def test_text_without_id_takes_no_link_from_others(spark):
+    words = " ".join(f"w{i}" for i in range(100))
+    rows = [(None, words), (3, f"{words} end"), (5, f"{words} other"), (None, f"{words} end")]
+    got = sorted(((r.doc_id or 0), r.component_id or 0, r.n_links) for r in similar_groups(frame(spark, rows)).collect())
+    assert got == [(0, 0, 0), (0, 0, 0), (3, 3, 1), (5, 3, 1)]
+    assert sorted(r.doc_id or 0 for r in drop_similar(frame(spark, rows)).collect()) == [0, 0, 3]
+
+
 def test_components_of_paths_stars_and_rings(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(100, i) for i in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     found = {r.node: r.component for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
