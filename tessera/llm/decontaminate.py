@@ -3,7 +3,8 @@
 1. A text is read in windows of as many words as an item of the benchmark has. A window can only
    be similar enough if that share of its shingles occurs in items of its size, so windows are
    first tested against a fixed bit set of shingles and sizes. The test drops no window that could
-   pass the last step.
+   pass the last step. A text with fewer words than an item is its own one window for it, as it can still
+   be similar enough; it is joined with the item by the item's size.
 2. What is left gets a 128-bit SimHash of its shingles, each weighted by how often it occurs.
 3. Fingerprints are cut into 16 blocks of a byte. Within 31 bits of each other, two of them differ by
    at most one bit in some block; items are posted under each block's value and its eight
@@ -102,9 +103,13 @@ def shingle_bits(items: DataFrame) -> np.ndarray:
 
 
 def scan_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray) -> DataFrame:
-    """(doc_id, start, n, high, low, digest, held) of windows that enough benchmark shingles occur in."""
+    """(doc_id, start, n, words, high, low, digest, held) of windows that enough benchmark shingles occur in.
+
+    ``n`` is the size of the items to compare with, ``words`` that of the window: less than ``n``
+    where the whole text is shorter.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(packed)
-    names = ["doc_id", "start", "n", "high", "low", "digest", "held"]
+    names = ["doc_id", "start", "n", "words", "high", "low", "digest", "held"]
 
     def windows(doc: int, words: np.ndarray, bits: np.ndarray):
         for width in sorted({min(SHINGLE, n) for n in sizes}):
@@ -112,15 +117,16 @@ def scan_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray) ->
             hits = np.flatnonzero(dense.holds(bits, held.view(np.int64)))
             for n in sizes:
                 count = n - width + 1
-                if min(SHINGLE, n) != width or len(held) < count or len(hits) * DEN < NUM * count:
+                if min(SHINGLE, n) != width or len(hits) * DEN < NUM * count:
                     continue
+                whole = min(count, len(held))
                 own = np.zeros(len(held) + 1, dtype=np.int64)
                 own[hits + 1] = dense.holds(bits, sized(held[hits], n))
                 upto = np.cumsum(own)
-                found = upto[count:] - upto[:-count]
+                found = upto[whole:] - upto[:-whole]
                 for start in np.flatnonzero(found * DEN >= NUM * count).tolist():
-                    inside = held[start : start + count]
-                    yield doc, start, n, *simhash(inside), digest_of(inside), inside.tobytes()
+                    inside = held[start : start + whole]
+                    yield doc, start, n, whole + width - 1, *simhash(inside), digest_of(inside), inside.tobytes()
 
     def scan(batches):
         reader, bits = WordReader(fold_case=True), shared.value
@@ -130,10 +136,10 @@ def scan_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray) ->
                 if doc is not None and len(words):
                     rows.extend(windows(doc, words, bits))
             columns = list(zip(*rows)) or [()] * len(names)
-            kinds = [pa.int64()] * 6 + [pa.binary()]
+            kinds = [pa.int64()] * 7 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    return documents.mapInArrow(scan, "doc_id bigint, start bigint, n bigint, high bigint, low bigint, digest bigint, held binary")
+    return documents.mapInArrow(scan, "doc_id bigint, start bigint, n bigint, words bigint, high bigint, low bigint, digest bigint, held binary")
 
 
 def block_value(block: int):
@@ -183,13 +189,13 @@ def contaminated(
     )
     alike = sides.filter("n = i_n").select("n", "digest", "item_id", "held", "i_held")
     alike = settle(alike.mapInArrow(compare, "n bigint, digest bigint, item_id bigint, similarity double"), "similar_windows")
-    hits = windows.select("doc_id", "start", "n", "digest").join(alike, ["n", "digest"])
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n")).alias("best")
+    hits = windows.select("doc_id", "start", "n", "words", "digest").join(alike, ["n", "digest"])
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "words")).alias("best")
     return hits.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id",
         "item_id",
         (-F.col("best.back")).alias("start_word"),
-        F.col("best.n").alias("n_words"),
+        F.col("best.words").alias("n_words"),
         F.col("best.similarity").alias("similarity"),
     )
 

@@ -157,6 +157,29 @@ def test_contaminated(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in exact}
 
 
+def test_text_shorter_than_the_item(spark):
+    def similarity(words, want):
+        a, b = (Counter(tuple(x[i : i + 5]) for i in range(len(x) - 4)) for x in (words, want))
+        return (a & b).total() / (a | b).total()
+
+    rng = random.Random(8)
+    items = [(i, sentence(rng, n)) for i, n in enumerate([20, 21, 40, 4])]
+    docs, exact = [], {}
+    for item, text in items:
+        words = text.split()
+        for cut in range(1, min(len(words), 9)):
+            docs += [(len(docs), " ".join(words[:-cut])), (len(docs) + 1, " ".join(words[cut:]).upper())]
+    docs += [(len(docs), "short"), (len(docs) + 1, None), (None, items[0][1][:-6])]
+    for d, text in docs:
+        for i, item in items[:3]:
+            words, want = (text or "").lower().split(), item.split()
+            if d is not None and 5 <= len(words) < len(want) and similarity(words, want) >= 0.8:
+                exact[(d, i)] = (0, len(words), similarity(words, want))
+    assert len(exact) == 2 * (3 + 3 + 7)
+    made = decontaminate.contaminated(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.start_word, r.n_words, r.similarity) for r in made} == exact
+
+
 def test_decontamination_edges(spark):
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert decontaminate.contaminated(frame(spark, []), items).count() == 0
