@@ -8,9 +8,9 @@ through that product, so the sentences that explain a label get the high scores
 (``offending_sentences``).
 
 Fitting takes at most ``SAMPLE`` labelled texts, those with the least hash of their id, whole. Two passes over
-them in Spark: document frequencies by label in ``SLOTS`` counters choose the ``FEATURES`` most
-telling beginnings (log-likelihood ratio), and then only those of each sentence are sent on, equal sentences of a text
-once with their number. Scoring reads all sentences of all texts where they are read, without a
+them in Spark: document frequencies by label in ``SLOTS`` counters choose beginnings whose log-likelihood
+ratio is ``LEAST_RATIO`` or more, at most the ``FEATURES`` most telling, and then only those of each
+sentence are sent on, equal sentences of a text once with their number. Scoring reads all sentences of all texts where they are read, without a
 shuffle; what it broadcasts is one weight per slot, a fixed size.
 
 Defined cases: null and empty texts, and texts without words, are one sentence without words and get
@@ -41,10 +41,11 @@ SAMPLE = 8_000
 SLOTS = 1 << 21
 FEATURES = 4096
 LEAST_TEXTS = 4
+LEAST_RATIO = 12.0
 PREFIXES = (3, 4, 5, 6, 7, 8)
 THRESHOLD = 0.5
 SCAN_BYTES = 1 << 20
-STEPS, RATE, SHRINK = 300, 0.05, 1e-3
+STEPS, RATE, SHRINK = 400, 0.1, 4e-4
 # Bytes that end a sentence; other bytes than letters, digits and those of longer characters part words.
 ENDS = b".!?\n\r"
 LETTERS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
@@ -140,7 +141,7 @@ def telling_slots(picked: DataFrame) -> tuple[np.ndarray, float, float]:
 
     ratio = gain(a, ones) + gain(b, zeros)
     order = np.lexsort((held, -ratio))[:FEATURES]
-    return np.sort(held[order]), float(ones), float(zeros)
+    return np.sort(held[order[ratio[order] >= LEAST_RATIO]]), float(ones), float(zeros)
 
 
 def bags_of(picked: DataFrame, chosen: np.ndarray):
