@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tessera.workload.registry import sql_query
+from tessera.plans import warehouse
+from tessera.plans.guard import Refused
+from tessera.workload import roles
+from tessera.workload.registry import query, sql_query
 
 sql_query(
     "sql_star_join",
@@ -50,3 +56,47 @@ sql_query(
     "SELECT listing_id, count(*) AS reviews FROM fact_review GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25",
     limit=25,
 )
+
+ACCEPTED = {
+    "plain": "SELECT * FROM fact_review",
+    "cte": "WITH busy AS (SELECT listing_id, count(*) AS n FROM fact_review GROUP BY listing_id HAVING count(*) > 1) SELECT * FROM busy",
+    "subquery": "SELECT * FROM dim_listing WHERE listing_id IN (SELECT listing_id FROM fact_review WHERE review_id IS NOT NULL)",
+    "union": "SELECT season AS name FROM dim_date UNION SELECT borough FROM dim_neighbourhood",
+    "window": "SELECT listing_id, rank() OVER (PARTITION BY room_type ORDER BY number_of_reviews) AS place FROM dim_listing",
+}
+REFUSED = {
+    "reflect": "SELECT reflect('java.lang.System', 'getProperty', 'user.home') FROM fact_review",
+    "file": "SELECT * FROM parquet.`/any/path`",
+    "brackets": "SELECT 1) UNION ALL (SELECT 2",
+    "unpublished": "SELECT * FROM some_other_table",
+    "command": "DROP VIEW dim_date",
+    "two statements": "SELECT 1; SELECT 2",
+    "script": "SELECT TRANSFORM (listing_id) USING 'cat' AS (x) FROM dim_listing",
+    "range": "SELECT * FROM range(1000000000000)",
+    "hidden": "SELECT * FROM dim_date ORDER BY java_method('java.lang.System', 'getProperty', season)",
+}
+
+
+@query(
+    "sql_guarded",
+    """SELECT 'plain' AS statement, true AS accepted, count(*) AS row_count FROM fact_review
+    UNION ALL SELECT 'cte', true, count(*) FROM (SELECT listing_id FROM fact_review GROUP BY 1 HAVING count(*) > 1)
+    UNION ALL SELECT 'subquery', true, count(*) FROM dim_listing WHERE listing_id IN (SELECT listing_id FROM fact_review)
+    UNION ALL SELECT 'union', true, count(*) FROM (SELECT season FROM dim_date UNION SELECT borough FROM dim_neighbourhood)
+    UNION ALL SELECT 'window', true, count(*) FROM dim_listing
+    UNION ALL SELECT s, false, 0 FROM (SELECT unnest(["""
+    + ", ".join(f"'{name}'" for name in REFUSED)
+    + "]) AS s)",
+)
+def sql_guarded(spark, sf):
+    """Statements that the guard lets through, with their rows, and those that it refuses."""
+    warehouse.register_views(roles.star(spark, sf))
+
+    def verdict(name: str, text: str) -> DataFrame:
+        try:
+            counted = warehouse.query_views(spark, text).agg(F.count(F.lit(1)).alias("row_count"))
+            return counted.select(F.lit(name).alias("statement"), F.lit(True).alias("accepted"), "row_count")
+        except Refused:
+            return spark.range(1).select(F.lit(name).alias("statement"), F.lit(False).alias("accepted"), F.lit(0).cast("bigint").alias("row_count"))
+
+    return reduce(DataFrame.unionByName, [verdict(*s) for s in (ACCEPTED | REFUSED).items()])
