@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import search
-from tessera.session import scratch_path
+from tessera.operators import refresh, search
+from tessera.session import scratch_path, settle
 from tessera.sources import sinks
+from tessera.sources.index_store import IndexStore
 from tessera.workload import roles
 from tessera.workload.oracle import letter_dot, letters
 from tessera.workload.registry import query
@@ -104,6 +105,26 @@ def context_index(spark, sf):
     return _digest(stored)
 
 
+@query(
+    "index_refresh",
+    f"""SELECT id, neighbourhood, md5(document) AS text_md5, list_sum({letters('document')}) AS letters FROM (
+        SELECT id, neighbourhood, CASE WHEN listing_id % 50 = 3 THEN document || ' revised' ELSE document END AS document
+        FROM review_document WHERE listing_id % 50 <> 7)""",
+)
+def index_refresh(spark, sf):
+    """A stored review index brought in step with texts of which some changed and some left."""
+    documents = search.review_documents(valid_texts(spark, sf)).select("id", "document", "neighbourhood", "listing_id")
+    first = settle(documents, "first-texts")
+    turn = F.col("listing_id") % 50
+    text = F.when(turn == 3, F.concat("document", F.lit(" revised"))).otherwise(F.col("document"))
+    later = first.filter(turn != 7).withColumn("document", text)
+    store = IndexStore(spark, scratch_path(spark, "review-index"), buckets=8)
+    for state in (first, later):
+        refresh.refresh_index(store, state, search.LetterProfile)
+    total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+    return store.read().select("id", "neighbourhood", F.md5("document").alias("text_md5"), total.alias("letters"))
+
+
 def published_review_index(spark, sf):
     return roles.once(spark, sf, "review_index", lambda: _build_review_index(spark, sf))
 

@@ -10,6 +10,7 @@ from tessera.plans import gold, silver
 from tessera.plans.build import build_layers
 from tessera.session import scratch_path
 from tessera.sources import landing, lineage, readers, sinks
+from tessera.sources.index_store import IndexStore
 from tessera.streaming.incremental import land_new_files
 from tessera.workload import roles
 from tessera.workload.oracle import contains_any
@@ -373,12 +374,15 @@ def arrays_to_json(spark, sf):
     QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY version DESC) = 1""",
 )
 def vector_upsert(spark, sf):
-    """A rebuilt index laid over a stored one, the newer version of an id staying."""
+    """An index written, then a second batch written over it as a delta, read back merged."""
     stored = roles.table(spark, sf, "embeddings").select("vec_id", F.lit(0).alias("version"), "label", "embedding")
     incoming = stored.select(
         (F.col("vec_id") * 2).alias("vec_id"), F.lit(1).alias("version"), (F.col("label") + 100).alias("label"), "embedding"
     )
-    merged = keep.upsert(stored, incoming, "vec_id", "version")
+    store = IndexStore(spark, scratch_path(spark, "vector-index"), "vec_id", buckets=8)
+    store.upsert(stored, "version")
+    store.upsert(incoming, "version")
+    merged = store.read()
     total = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x.cast("double"))
     return merged.select("vec_id", "version", "label", total.alias("total"))
 

@@ -12,6 +12,7 @@ from tessera.operators.keep import last_writer_wins
 from tessera.plans import silver
 from tessera.plans.build import build_layers, read_sources
 from tessera.sources import landing, lineage, readers, schemas, sinks
+from tessera.sources.index_store import IndexStore
 from tessera.streaming.incremental import land_new_files
 
 
@@ -287,11 +288,11 @@ def test_stored_index_is_upserted(spark, tmp_path):
     def rows_of(*entries):
         return spark.createDataFrame(list(entries), "id string, version int, x int")
 
-    _, n = sinks.upsert_index(rows_of(("a", 1, 1), ("b", 1, 1), ("a", 0, 9)), root, "id", "version")
+    store = IndexStore(spark, root, buckets=2)
+    _, n = store.upsert(rows_of(("a", 1, 1), ("b", 1, 1), ("a", 0, 9)), "version")
     assert n == 2
-    table, n = sinks.upsert_index(rows_of(("b", 2, 5), ("c", 2, 5), ("a", 0, 7)), root, "id", "version")
-    assert n == 3 and {tuple(r) for r in table.collect()} == {("a", 1, 1), ("b", 2, 5), ("c", 2, 5)}
-    assert sinks.current_version(spark, root).count() == 3
+    _, n = store.upsert(rows_of(("b", 2, 5), ("c", 2, 5), ("a", 0, 7)), "version")
+    assert n == 2 and {tuple(r) for r in store.read().collect()} == {("a", 1, 1), ("b", 2, 5), ("c", 2, 5)}
 
 
 def test_document_load_counts_upserts_and_stored(spark, tmp_path, data):
