@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import dense
 from tessera.llm.registry import register, table
-from tessera.llm.words import WordReader, mix, rolling
+from tessera.llm.words import WordReader, give_back, mix, rolling
 from tessera.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -84,6 +84,7 @@ def scan_items(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
             columns = list(zip(*rows)) or [()] * 5
             kinds = [pa.int64()] * 4 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["item_id", "n", "high", "low", "held"])
+        give_back()
 
     items = benchmark.select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text"))
     return settle(items.mapInArrow(scan, "item_id bigint, n bigint, high bigint, low bigint, held binary"), "benchmark_items")
@@ -138,6 +139,7 @@ def scan_windows(documents: DataFrame, sizes: list[int], packed: np.ndarray) ->
             columns = list(zip(*rows)) or [()] * len(names)
             kinds = [pa.int64()] * 7 + [pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+        give_back()
 
     return documents.mapInArrow(scan, "doc_id bigint, start bigint, n bigint, words bigint, high bigint, low bigint, digest bigint, held binary")
 

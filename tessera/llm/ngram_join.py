@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from tessera.llm import dense
 from tessera.llm.components import components
 from tessera.llm.registry import register, table
-from tessera.llm.words import WordReader, mix, shingles
+from tessera.llm.words import WordReader, give_back, mix, shingles
 from tessera.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -105,6 +105,7 @@ def scan_sets(documents: DataFrame, size: int) -> DataFrame:
             [absent, absent, absent, pa.array(chunks, pa.int32()), pa.array(blobs, pa.binary())],
             names=["doc_id", "n", "cls", "chunk", "blob"],
         )
+        give_back()
 
     schema = "doc_id bigint, n bigint, cls bigint, chunk int, blob binary"
     return settle(documents.mapInArrow(scan, schema), "shingle_scan")
@@ -139,6 +140,7 @@ def posted(documents: DataFrame, counts, size: int, num: int, den: int, only=Non
                     column.append(values)
             if columns[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=names)
+        give_back()
 
     return documents.mapInArrow(post, ", ".join(f"{name} bigint" for name in names))
 
@@ -176,6 +178,7 @@ def verified(documents: DataFrame, pairs: DataFrame, size: int, num: int, den: i
             columns = list(zip(*sets)) or [()] * 3
             made = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([kept.column(0), *made], names=["doc_id", "n", "bits", "held"])
+        give_back()
 
     sets = settle(documents.mapInArrow(build, "doc_id bigint, n bigint, bits binary, held binary"), "pair_sets")
     shared.unpersist()
@@ -252,6 +255,7 @@ def link_counts(documents: DataFrame, placed: DataFrame, size: int, num: int, de
             columns = list(zip(*sets)) or [()] * 3
             made = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([kept.column(0), *made], names=["node", "n", "cls", "held"])
+        give_back()
 
     # rows repeated with their id give one set
     sets = documents.filter("doc_id IS NOT NULL").mapInArrow(build, "node bigint, n bigint, cls bigint, held binary")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.registry import register, table
-from tessera.llm.words import WordReader, chunks, mix, text_buffer
+from tessera.llm.words import WordReader, chunks, give_back, mix, text_buffer
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -221,6 +221,7 @@ def sample_bags(documents: DataFrame, labels: DataFrame, doc_id: str, text: str,
                     spread = np.unique(np.linspace(a, b - 1, min(b - a, BAG)).astype(np.int64))
                     bags.append(features[spread].astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
+        give_back()
 
     found = {}
     for row in picked.mapInArrow(encode, "doc_id bigint, label double, bag binary").toLocalIterator():
@@ -253,6 +254,7 @@ def quality_scores(documents: DataFrame, model, doc_id: str = "doc_id", text: st
         for batch in batches:
             scores = text_scores(batch.column(1), encoder, shared.value)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+        give_back()
 
     texts = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     scored = texts.mapInArrow(score, "doc_id bigint, score double")
@@ -269,6 +271,7 @@ def keep_good(documents: DataFrame, model, text: str = "text") -> DataFrame:
         encoder = PassageEncoder()
         for batch in batches:
             yield batch.filter(pa.array(text_scores(batch.column(place), encoder, shared.value) >= THRESHOLD))
+        give_back()
 
     return documents.mapInArrow(keep, documents.schema)
 

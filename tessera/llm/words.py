@@ -8,6 +8,7 @@ taken from one running sum, then mixed; 64 bits.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 
 import numpy as np
@@ -67,6 +68,16 @@ class Powers:
         return self
 
 
+def give_back() -> None:
+    """Return freed memory of a worker process to the system: a worker outlives its task, and what one stage took is missing in the next."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        # other C libraries have no such call
+        pass
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
