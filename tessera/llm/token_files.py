@@ -8,7 +8,7 @@ sum per shard.
 
 Words of the space-separated text are encoded once each per worker: the tokenizer drops white
 space and never joins across it. Cached words are found by 64-bit hashes; the cache is
-bounded and starts anew when full.
+bounded and half of it leaves at a time.
 
 Defined cases: null and empty texts have only the end id; rows with the same id are ordered by
 their text (null first), each with its own start; a null id comes first; an empty table
@@ -30,14 +30,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.registry import register, table
-from tessera.llm.words import WordReader, chunks, text_buffer
+from tessera.llm.words import WordReader, chunks, give_back, text_buffer
 from tessera.session import scratch_path, settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 END_ID = 1
-CACHED_WORDS = 400_000
-PIECES_PER_CALL = 2_000
+CACHED_WORDS = 800_000
+YOUNG_WORDS = 50_000
+PIECES_PER_CALL = 200
 # Symbols tried as the mark between words of one call.
 MARKS = ("♥", "☺", "★", "€", "§")
 FILE_SCHEMA = "shard int, local_start bigint, doc_id bigint, n_tokens bigint, ids array<int>"
@@ -50,8 +51,46 @@ ORC_OPTIONS = {
 }
 
 
+class Known:
+    """Ids of words by sorted 64-bit keys: word i has ``count[i]`` ids of ``flat`` from ``begin[i]``."""
+
+    def __init__(self, keys=None, begin=None, count=None, flat=None):
+        self.keys = np.zeros(0, np.uint64) if keys is None else keys
+        self.begin = np.zeros(0, np.int64) if begin is None else begin
+        self.count = np.zeros(0, np.int64) if count is None else count
+        self.flat = np.zeros(0, np.int32) if flat is None else flat
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 where it is not held."""
+        at = np.searchsorted(self.keys, keys)
+        at[at == len(self.keys)] = -1
+        held = at >= 0
+        at[held] = np.where(self.keys[at[held]] == keys[held], at[held], -1)
+        return at
+
+    def ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, number of ids) of the words at these places, in their order."""
+        begin, count = self.begin[at], self.count[at]
+        total = np.cumsum(count)
+        index = np.repeat(begin - total + count, count) + np.arange(total[-1] if len(total) else 0)
+        return self.flat[index], count
+
+    def with_(self, other: Known) -> Known:
+        """Both together; they share no key."""
+        keys = np.concatenate([self.keys, other.keys])
+        order = np.argsort(keys, kind="stable")
+        begin = np.concatenate([self.begin, other.begin + len(self.flat)])[order]
+        count = np.concatenate([self.count, other.count])[order]
+        return Known(keys[order], begin, count, np.concatenate([self.flat, other.flat]))
+
+
 class WordIds:
-    """Ids of words, each encoded once while it is in the cache."""
+    """Ids of words, each encoded once while it is in the cache.
+
+    New words go to a young part, which is small and cheap to add to. It joins the middle one when it
+    holds ``YOUNG_WORDS``; a middle part of half the cache replaces the old one, so that about half
+    of the words leave at a time.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,64 +99,74 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         single = [(m, self._encode(m)) for m in MARKS]
         self.mark, self.mark_id = next(((m, ids[0]) for m, ids in single if len(ids) == 1), (None, None))
-        self.clear()
-
-    def clear(self):
-        self.keys = np.zeros(0, np.uint64)
-        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
-
-    def _encode(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word; many words share one call, kept apart by a symbol with one id of its own."""
-        found: list = [None] * len(words)
-        plain = []
-        for i, word in enumerate(words):
-            if self.mark is None or self.mark in word or "<|" in word:
-                found[i] = np.array(self._encode(word), dtype=np.int32)
-            else:
-                plain.append(i)
-        for start in range(0, len(plain), PIECES_PER_CALL):
-            part = plain[start : start + PIECES_PER_CALL]
-            joined = f" {self.mark} ".join(words[i] for i in part)
-            ids = np.array(self._encode(joined), dtype=np.int32)
-            pieces = np.split(ids, np.flatnonzero(ids == self.mark_id))
-            if len(pieces) != len(part):
-                pieces = [np.r_[np.int32(0), np.array(self._encode(words[i]), dtype=np.int32)] for i in part]
-                pieces[0] = pieces[0][1:]
-            for n, i in enumerate(part):
-                found[i] = pieces[n][1:] if n else pieces[n]
-        return found
+        self.parts = [Known(), Known(), Known()]
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(flat ids, number of ids of each word); many words share one call, kept apart by a symbol with one id of its own."""
+        counts = np.zeros(len(words), np.int64)
+        flat: list[np.ndarray] = []
+        own = None if self.mark is None else self.mark.encode()
+
+        def alone(i: int) -> None:
+            ids = self._encode(words[i].decode("utf-8", "replace"))
+            counts[i] = len(ids)
+            flat.append(ids)
+
+        def together(first: int, last: int) -> None:
+            if first == last:
+                return
+            joined = b" " + own + b" "
+            ids = self._encode(joined.join(words[first:last]).decode("utf-8", "replace"))
+            marks = np.flatnonzero(ids == self.mark_id)
+            if len(marks) != last - first - 1:
+                for i in range(first, last):
+                    alone(i)
+                return
+            counts[first:last] = np.diff(np.r_[-1, marks, len(ids)]) - 1
+            flat.append(np.delete(ids, marks))
+
+        # words that hold the mark or a special token's opening are encoded by themselves
+        apart = [i for i, w in enumerate(words) if own is None or own in w or b"<|" in w]
+        first = 0
+        for stop in [*apart, len(words)]:
+            for start in range(first, stop, PIECES_PER_CALL):
+                together(start, min(start + PIECES_PER_CALL, stop))
+            if stop < len(words):
+                alone(stop)
+            first = stop + 1
+        return np.concatenate([np.zeros(0, np.int32), *flat]), counts
 
     def __call__(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
         """(flat ids, number of ids per word) of words in order."""
         keys, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > CACHED_WORDS:
-            self.clear()
-        at = np.searchsorted(self.keys, keys)
-        known = at < len(self.keys)
-        known[known] = self.keys[at[known]] == keys[known]
-        fresh = np.flatnonzero(~known)
-        if len(fresh):
-            data = raw.tobytes()
-            spans = zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())
-            ids = self.encode_words([data[a:b].decode("utf-8", "replace") for a, b in spans])
-            count = np.fromiter((len(x) for x in ids), np.int64, len(ids))
-            begin = len(self.flat) + np.cumsum(count) - count
-            self.flat = np.concatenate([self.flat, *ids])
-            merged = np.concatenate([self.keys, keys[fresh]])
-            order = np.argsort(merged, kind="stable")
-            self.keys = merged[order]
-            self.begin = np.concatenate([self.begin, begin])[order]
-            self.count = np.concatenate([self.count, count])[order]
-            at = np.searchsorted(self.keys, keys)
-        begin, count = self.begin[at][inverse], self.count[at][inverse]
-        total = np.cumsum(count)
-        index = np.repeat(begin - total + count, count) + np.arange(total[-1] if len(total) else 0)
-        return self.flat[index], count
-
+        places = [part.find(keys) for part in self.parts]
+        fresh = np.flatnonzero(np.maximum.reduce(places) < 0)
+        data = raw.tobytes()
+        flat, count = self.encode_words([data[a:b] for a, b in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())])
+        made = Known(keys[fresh], np.cumsum(count) - count, count, flat)
+        found = [np.flatnonzero(at >= 0) for at in places]
+        taken = [part.ids(at[rows]) for part, at, rows in zip(self.parts, places, found)] + [(flat, count)]
+        # the different words' ids, part by part, and from them those of all words
+        order = np.concatenate([*found, fresh])
+        length = np.empty(len(keys), np.int64)
+        length[order] = np.concatenate([c for _, c in taken])
+        begin = np.empty(len(keys), np.int64)
+        begin[order] = np.cumsum(length[order]) - length[order]
+        every = Known(keys, begin, length, np.concatenate([f for f, _ in taken]))
+        self._keep(made)
+        return every.ids(inverse)
+
+    def _keep(self, made: Known) -> None:
+        old, middle, young = self.parts
+        young = young.with_(made)
+        if len(young.keys) >= YOUNG_WORDS:
+            middle, young = middle.with_(young), Known()
+        if len(middle.keys) >= CACHED_WORDS // 2:
+            old, middle = middle, Known()
+        self.parts = [old, middle, young]
 
 def word_ids(path: str) -> WordIds:
     """One encoder per worker process and vocabulary file, so that its cache outlives a task."""
@@ -162,8 +211,8 @@ def write_token_files(
                     names=["shard", "local_start", "doc_id", "n_tokens", "ids"],
                 )
                 done, before = done + n, before + int(upto[-1])
-            # what a batch took goes back to the system, since the worker lives on with its cache
-            pa.default_memory_pool().release_unused()
+        # what a task took goes back to the system, since the worker lives on with its cache
+        give_back()
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

@@ -45,10 +45,11 @@ def test_token_files_round_trip(spark, corpus, tokenizer):
 
 def test_token_cache_may_fill_up(spark, corpus, tokenizer, monkeypatch):
     monkeypatch.setattr(token_files, "CACHED_WORDS", 50)
+    monkeypatch.setattr(token_files, "YOUNG_WORDS", 20)
     ids_of = token_files.WordIds(token_files.default_vocabulary())
     import pyarrow as pa
 
-    texts = [t for _, t in corpus if t is None or len(t) < 5000]
+    texts = [t for _, t in corpus if t is None or len(t) < 5000] + AWKWARD
     flat, count = zip(*token_files.encode_texts(pa.array(texts), token_files.WordReader(), ids_of, 1))
     expected = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for t in texts]
     assert np.concatenate(flat).tolist() == [i for e in expected for i in e]
