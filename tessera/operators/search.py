@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,12 +34,16 @@ LEAST_PARAGRAPH_CHARS = 30
 REVIEW_RESULTS = 10
 CONTEXT_RESULTS = 5
 
-# Rows of a block of the many-question search, on either side.
+# Rows of a block of the many-question search, on either side; most pivots, and rings around each.
 BLOCK_ROWS = 1000
+MOST_PIVOTS = 256
+PIVOT_SAMPLE = 4096
+RINGS = 4
 
 # Scores are compared after rounding to this many digits, so that equal vectors tie
 # whatever order their products were summed in; ties go to the smaller id.
 SCORE_DIGITS = 9
+SCORE_SLACK = 1e-8
 
 
 class LetterProfile:
@@ -167,44 +173,198 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def batch_top_k(
-    queries: DataFrame, index: DataFrame, k: int, query_id: str, item_id: str, block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """The k best index rows of every query vector: (query_id, item_id, similarity, place).
-
-    Both sides carry an ``embedding``. They are cut into hash blocks of about ``block_rows`` rows, and
-    every pair of blocks is one group, scored by one matrix product: no pair of rows is ever a row,
-    only k rows per query leave a group, and nothing passes through the driver but two counts.
-    Each side moves once per block of the other, which is the least an exact search of
-    all against all can do without sending a whole side to every task.
+@dataclass(frozen=True)
+class Regions:
+    """Where the index rows lie: rings around pivots, each with its radius and number of rows."""
+
+    pivots: np.ndarray
+    pivot: np.ndarray
+    radius: np.ndarray
+    rows: np.ndarray
+
+    def best_and_bounds(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per vector and region: the product with the pivot, and a bound that no row's product passes."""
+        middle = (vectors @ self.pivots.T)[:, self.pivot]
+        # Cauchy-Schwarz: q.x = q.c + q.(x - c) and |x - c| <= radius
+        return middle, middle + np.linalg.norm(vectors, axis=1)[:, None] * self.radius
+
+    def first(self, vectors: np.ndarray, k: int) -> np.ndarray:
+        """Per vector the regions with the closest pivots that hold ``k`` rows together."""
+        middle, _ = self.best_and_bounds(vectors)
+        order = np.argsort(-middle, axis=1, kind="stable")
+        held = np.cumsum(self.rows[order], axis=1)
+        needed = np.zeros(order.shape, dtype=bool)
+        np.put_along_axis(needed, order, held - self.rows[order] < k, axis=1)
+        return needed
+
+    def rest(self, vectors: np.ndarray, k: int, least: np.ndarray) -> np.ndarray:
+        """Per vector the other regions that may hold a product of ``least`` or more."""
+        _, bound = self.best_and_bounds(vectors)
+        slack = SCORE_SLACK * (1 + np.abs(bound))
+        return (bound + slack >= least[:, None]) & ~self.first(vectors, k)
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return np.stack(column.to_numpy(zero_copy_only=False)).astype(np.float64) if len(column) else np.zeros((0, 0))
+
+
+def _spread(sample: np.ndarray, many: int) -> np.ndarray:
+    """At most ``many`` different vectors of a sample, each the one farthest from those before it."""
+    chosen, away = [0], np.full(len(sample), np.inf)
+    while len(chosen) < many:
+        away = np.minimum(away, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+        if away.max() <= 0:
+            break
+        chosen.append(int(np.argmax(away)))
+    return sample[chosen]
+
+
+def _near_pivots(items: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Items with their nearest pivot and the distance to it."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        half = (pivots**2).sum(axis=1) / 2
+        for batch in batches:
+            if batch.num_rows:
+                vectors = _vectors(batch.column("embedding"))
+                pivot = np.argmax(vectors @ pivots.T - half, axis=1)
+                away = np.linalg.norm(vectors - pivots[pivot], axis=1)
+                columns = [*batch.columns, pa.array(pivot.astype(np.int32)), pa.array(away)]
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_pivot", "_away"])
+
+    return items.mapInArrow(near, T.StructType([*items.schema.fields, *T._parse_datatype_string("_pivot int, _away double").fields]))
+
+
+def _aimed(queries: DataFrame, regions: Regions, k: int, second: bool) -> DataFrame:
+    """Queries with the regions that they have to meet; ``second`` takes ``_least`` into account."""
+
+    def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors = _vectors(batch.column("embedding"))
+                if second:
+                    needed = regions.rest(vectors, k, batch.column("_least").to_numpy(zero_copy_only=False))
+                else:
+                    needed = regions.first(vectors, k)
+                rows, targets = np.nonzero(needed)
+                upto = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(upto), pa.array(targets.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), lists], names=["query_id", "embedding", "_targets"])
+
+    kinds = [queries.schema["query_id"], queries.schema["embedding"], T.StructField("_targets", T.ArrayType(T.IntegerType()))]
+    return queries.mapInArrow(aim, T.StructType(kinds))
+
+
+def _scored_pairs(aimed: DataFrame, items: DataFrame, k: int, block_rows: int) -> tuple[DataFrame, int]:
+    """The k best of every query within the regions it aims at; and the number of pairs that this scores.
+
+    A region's rows come in pieces and its queries in slices of about ``block_rows``; a piece and a slice
+    are one group, scored by one matrix product.
     """
-    q = queries.select(F.col(query_id).alias("query_id"), F.col("embedding").alias("embedding"))
-    items = index.select(F.col(item_id).alias("item_id"), F.col("embedding").alias("embedding"))
-    fields = [q.schema["query_id"], items.schema["item_id"], T.StructField("similarity", T.DoubleType())]
+    pairs = aimed.select("query_id", "embedding", F.explode("_targets").alias("_region"))
+    asked = {r["_region"]: r["count"] for r in pairs.groupBy("_region").count().collect()}
+    held = {r["_region"]: (r["n"], r["pieces"]) for r in items.groupBy("_region").agg(F.count(F.lit(1)).alias("n"), (F.max("_piece") + 1).alias("pieces")).collect()}
+    # one row per region: a bounded number
+    plan = items.sparkSession.createDataFrame(
+        [(g, -(-n // block_rows), held[g][1]) for g, n in sorted(asked.items())], "_region int, _slices int, _pieces int"
+    )
+    plan = F.broadcast(plan)
+    left = (
+        pairs.join(plan, "_region")
+        .withColumn("_slice", F.pmod(F.xxhash64("query_id"), F.col("_slices")).cast("int"))
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
+        .select("_region", "_piece", "_slice", "query_id", "embedding")
+    )
+    right = (
+        items.join(plan, "_region")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
+        .select("_region", "_piece", "_slice", "item_id", "embedding")
+    )
+    fields = [aimed.schema["query_id"], items.schema["item_id"], T.StructField("similarity", T.DoubleType())]
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
-    query_blocks, item_blocks = (max(1, -(-side.count() // block_rows)) for side in (q, items))
-
-    def block(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = q.withColumn("_qb", block("query_id", query_blocks)).withColumn("_ib", every(item_blocks))
-    right = items.withColumn("_ib", block("item_id", item_blocks)).withColumn("_qb", every(query_blocks))
 
     def pair(asked: pa.Table, held: pa.Table) -> pa.Table:
         kinds = [asked.schema.field("query_id").type, held.schema.field("item_id").type, pa.float64()]
         columns = [[], [], []]
         if asked.num_rows and held.num_rows:
             ids = [side.column(name).to_numpy(zero_copy_only=False) for side, name in ((asked, "query_id"), (held, "item_id"))]
-            sides = [np.stack(side.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64) for side in (asked, held)]
-            best = _score_block(sides[0], ids[0], sides[1], ids[1], k)
+            best = _score_block(_vectors(asked.column("embedding")), ids[0], _vectors(held.column("embedding")), ids[1], k)
             columns = [best[name].to_numpy() for name in ("query_id", "item_id", "similarity")]
         return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["query_id", "item_id", "similarity"])
 
-    partial = left.groupBy("_qb", "_ib").cogroup(right.groupBy("_qb", "_ib")).applyInArrow(pair, schema)
-    return keep_first(partial, ["query_id"], [F.col("similarity").desc(), F.col("item_id")], k, rank_as="place")
+    group = ["_region", "_piece", "_slice"]
+    scored = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(pair, schema)
+    return scored, sum(n * held[g][0] for g, n in asked.items())
+
+
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    return keep_first(scored, ["query_id"], [F.col("similarity").desc(), F.col("item_id")], k, rank_as="place")
+
+
+def batch_top_k(
+    queries: DataFrame,
+    index: DataFrame,
+    k: int,
+    query_id: str,
+    item_id: str,
+    block_rows: int = BLOCK_ROWS,
+    pivots: int | None = None,
+    report: dict[str, int] | None = None,
+) -> DataFrame:
+    """The k best index rows of every query vector: (query_id, item_id, similarity, place). Exact.
+
+    Both sides carry an ``embedding``; rows without one are left out, and query ids are unique. Index rows belong to their nearest pivot and
+    to a ring around it; the pivots are at most ``MOST_PIVOTS`` of a sample of ``PIVOT_SAMPLE`` rows, far apart, so what
+    every task is sent does not grow with the data. A query first meets the regions with the closest pivots,
+    as many as hold k rows. Their k-th product is a floor: of the other regions only those are
+    met whose bound (Cauchy-Schwarz on the ring's radius) reaches it. How many pairs that
+    leaves depends on how the vectors cluster; without clusters it is all of them, which an exact
+    search cannot avoid. No pair of rows is ever a row; k rows per query leave a group.
+    ``report`` is given the numbers of pairs ``scored`` and ``all``.
+    """
+    q = queries.select(F.col(query_id).alias("query_id"), F.col("embedding").alias("embedding")).filter("embedding IS NOT NULL")
+    items = index.select(F.col(item_id).alias("item_id"), F.col("embedding").alias("embedding")).filter("embedding IS NOT NULL")
+    n = items.count()
+    many = min(MOST_PIVOTS, math.isqrt(n) // 2 + 1) if pivots is None else min(pivots, MOST_PIVOTS)
+    sample = items.orderBy(F.xxhash64("item_id"), "item_id").select("embedding").limit(PIVOT_SAMPLE).collect()
+    if not sample:
+        fields = [q.schema["query_id"], items.schema["item_id"]]
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+        return items.sparkSession.createDataFrame([], f"{kinds}, similarity double, place int")
+    centres = _spread(np.array([r["embedding"] for r in sample], dtype=np.float64), many)
+    placed = settle(_near_pivots(items, centres), "near-pivots")
+    widest = F.broadcast(placed.groupBy("_pivot").agg(F.max("_away").alias("_widest")))
+    # ring 0 holds what lies on the pivot, the others equal parts of its reach
+    ring = F.when(F.col("_away") == 0, 0).otherwise(F.least(F.ceil(F.col("_away") / F.col("_widest") * RINGS), F.lit(RINGS)))
+    ringed = placed.join(widest, "_pivot").withColumn("_region", (F.col("_pivot") * (RINGS + 1) + ring).cast("int"))
+    summary = ringed.groupBy("_region").agg(F.max("_away").alias("radius"), F.count(F.lit(1)).alias("n")).orderBy("_region").collect()
+    number = {r["_region"]: i for i, r in enumerate(summary)}
+    regions = Regions(
+        centres,
+        np.array([r["_region"] // (RINGS + 1) for r in summary]),
+        np.array([r["radius"] for r in summary]),
+        np.array([r["n"] for r in summary]),
+    )
+    listed = F.broadcast(
+        items.sparkSession.createDataFrame(
+            [(r["_region"], number[r["_region"]], -(-r["n"] // block_rows)) for r in summary], "_region int, _number int, _pieces int"
+        )
+    )
+    dealt = settle(
+        ringed.join(listed, "_region").select(
+            "item_id", "embedding", F.col("_number").alias("_region"), F.pmod(F.xxhash64("item_id"), F.col("_pieces")).cast("int").alias("_piece")
+        ),
+        "index-regions",
+    )
+    aimed = settle(_aimed(q, regions, k, False), "first-regions")
+    scored, near_pairs = _scored_pairs(aimed, dealt, k, block_rows)
+    found = settle(_best(scored, k), "first-found")
+    floor = found.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("similarity")).otherwise(F.lit(float("-inf"))).alias("_least"))
+    again = settle(_aimed(aimed.select("query_id", "embedding").join(floor, "query_id"), regions, k, True), "other-regions")
+    more, far_pairs = _scored_pairs(again, dealt, k, block_rows)
+    if report is not None:
+        report |= {"scored": near_pairs + far_pairs, "all": n * aimed.count()}
+    return _best(found.drop("place").unionByName(more), k)
 
 
 def numbered_keys(reviews: DataFrame) -> DataFrame:

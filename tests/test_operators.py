@@ -328,3 +328,36 @@ def test_a_large_shape_has_few_cells(spark):
     points = spark.createDataFrame([(1, 0.0015, 0.0015), (2, 29.0, 24.0), (3, 31.0, 0.0)], "id int, lon double, lat double")
     assert rows(nearby.points_in_shapes(points, shapes, "id", "name")) == [("big", 1), ("big", 2), ("small", 1)]
     assert nearby.points_in_shapes(points, shapes.limit(0), "id", "name").count() == 0
+
+
+def test_batch_top_k_meets_few_pairs_on_clusters(spark):
+    rng = np.random.default_rng(1)
+    middles = rng.normal(size=(20, 16)) * 5
+    vectors = np.concatenate([m + rng.normal(size=(150, 16)) * 0.3 for m in middles]).astype(np.float32)
+    index = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "id long, embedding array<float>")
+    report = {}
+    got = search.batch_top_k(index.filter("id % 3 = 0"), index, 5, "id", "id", block_rows=200, report=report)
+    found = {(r.query_id, r.item_id, r.place) for r in got.collect()}
+    exact = set()
+    for q, scores in zip(range(0, 3000, 3), np.round(vectors[::3].astype(float) @ vectors.T.astype(float), search.SCORE_DIGITS)):
+        order = np.lexsort((np.arange(len(scores)), -scores))[:5]
+        exact |= {(q, int(i), n + 1) for n, i in enumerate(order)}
+    assert found == exact
+    assert report["all"] == 3_000_000 and report["scored"] < 0.25 * report["all"]
+
+
+@pytest.mark.parametrize("pivots", [1, 3, 50])
+def test_batch_top_k_is_exact_for_any_pivots(spark, pivots):
+    rng = np.random.default_rng(pivots)
+    vectors = np.round(rng.normal(size=(120, 3)), 1).astype(np.float32)
+    vectors[40:80] = vectors[0]
+    vectors[80:85] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(500, None)]
+    index = spark.createDataFrame(rows, "id long, embedding array<float>")
+    got = search.batch_top_k(index, index, 7, "id", "id", block_rows=9, pivots=pivots)
+    found = {(r.query_id, r.item_id, r.place) for r in got.collect()}
+    exact = set()
+    for q, scores in enumerate(np.round(vectors.astype(float) @ vectors.T.astype(float), search.SCORE_DIGITS)):
+        order = np.lexsort((np.arange(len(scores)), -scores))[:7]
+        exact |= {(q, int(i), n + 1) for n, i in enumerate(order)}
+    assert found == exact
