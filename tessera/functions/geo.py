@@ -124,3 +124,17 @@ def bounds(edges: str) -> Column:
         f"""named_struct('west', {extreme('array_min', 'x1')}, 'east', {extreme('array_max', 'x1')},
             'south', {extreme('array_min', 'y1')}, 'north', {extreme('array_max', 'y1')})"""
     )
+
+
+def touched(edges: str, west: str, south: str, east: str, north: str) -> Column:
+    """Whether any edge meets a rectangle: its box does, and the corners do not all lie on one side of it."""
+    boxes = (
+        f"greatest(e.x1, e.x2) >= {west} AND least(e.x1, e.x2) <= {east}"
+        f" AND greatest(e.y1, e.y2) >= {south} AND least(e.y1, e.y2) <= {north}"
+    )
+
+    def side(x: str, y: str) -> str:
+        return f"((e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1))"
+
+    corners = ", ".join(side(x, y) for x in (west, east) for y in (south, north))
+    return F.expr(f"exists({edges}, e -> {boxes} AND least({corners}) <= 0 AND greatest({corners}) >= 0)")

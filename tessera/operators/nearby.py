@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geo
+from tessera.session import settle
 
 
 def near(points: DataFrame, lon: float, lat: float, radius_m: float, n: int, id_column: str = "place_id") -> DataFrame:
@@ -92,56 +93,70 @@ def radius_join(
 
 # Cells of a shape's bounding box along its longer side, at most.
 CELLS_ACROSS = 64
+# Degrees by which a cell is taken wider when edges are tested against it; far above what rounding does.
+CELL_MARGIN = 1e-9
 
 
-def points_in_shapes(
-    points: DataFrame, shapes: DataFrame, point_id: str, shape_id: str, cell_degrees: float = 0.05, salts: int = 8
-) -> DataFrame:
-    """Every (shape, point) with the point inside, by grid cells and a ray cast.
+def shape_cells(shapes: DataFrame, shape_id: str, cell_degrees: float = 0.05) -> DataFrame:
+    """The cover of every shape: (shape_id, level, row, column, border, edges).
 
-    ``shapes`` carries a ``shape`` column. Cells double in size until a shape's bounding box is at most
-    64 across, so a continent has no more cells than a block of houses; a point has one
-    cell for each of the few sizes in use. Shapes are repeated, without their edges, for their cells and
-    for each salt. A ray to the east only meets edges at its own latitude: edges are kept once per
-    row of cells, just those that reach into it, and meet the points after the cells did.
+    Cells double in size until a shape's bounding box is at most 64 across (``level`` counts the doublings), so a
+    continent has no more cells than a block of houses. A cell that no edge touches is wholly inside or
+    wholly outside: inner cells have no edges, outer ones are not in the cover. A border cell holds
+    the edges that a ray to the east can meet from within it: those that reach into its row of cells
+    and not only to the west of it.
     """
     edged = shapes.select(shape_id, geo.shape_edges("shape").alias("_edges")).withColumn("_box", geo.bounds("_edges"))
     extent = F.greatest(F.col("_box.north") - F.col("_box.south"), F.col("_box.east") - F.col("_box.west"))
     doublings = F.ceil(F.log2(F.greatest(extent / (CELLS_ACROSS * cell_degrees), F.lit(1.0))))
-    edged = edged.withColumn("_level", F.coalesce(doublings, F.lit(0)).cast("int")).filter("_box.west IS NOT NULL")
-    # no more numbers than doublings from the smallest cell to the globe
-    levels = sorted(r["_level"] for r in edged.select("_level").distinct().collect())
-
-    width = F.lit(float(cell_degrees)) * F.pow(F.lit(2.0), F.col("_level"))
+    edged = edged.withColumn("level", F.coalesce(doublings, F.lit(0)).cast("int")).filter("_box.west IS NOT NULL")
+    edged = edged.withColumn("_width", F.lit(float(cell_degrees)) * F.pow(F.lit(2.0), F.col("level")))
 
     def span(low: str, high: str, start: float) -> Column:
-        return F.explode(F.sequence(_cell(F.col(low), start, width), _cell(F.col(high), start, width)))
-
-    # a little wider than the row, for latitudes that round across its border
-    by_row = edged.withColumn("_row", span("_box.south", "_box.north", -90.0)).withColumn("_width", width)
-    south = "(_row * _width - 90D - 1e-9D)"
-    reaches_row = f"greatest(e.y1, e.y2) >= {south} AND least(e.y1, e.y2) <= {south} + _width + 2e-9D"
-    row_edges = by_row.select(shape_id, "_level", "_row", F.expr(f"filter(_edges, e -> {reaches_row})").alias("_edges"))
-    cells = (
-        edged.drop("_edges")
-        .withColumn("_row", span("_box.south", "_box.north", -90.0))
-        .withColumn("_column", span("_box.west", "_box.east", -180.0))
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        return F.explode(F.sequence(_cell(F.col(low), start, F.col("_width")), _cell(F.col(high), start, F.col("_width"))))
+
+    rows = edged.withColumn("row", span("_box.south", "_box.north", -90.0))
+    rows = rows.withColumn("_south", F.expr(f"row * _width - 90D - {CELL_MARGIN}D"))
+    rows = rows.withColumn("_north", F.expr(f"_south + _width + {2 * CELL_MARGIN}D"))
+    in_row = "greatest(e.y1, e.y2) >= _south AND least(e.y1, e.y2) <= _north"
+    rows = rows.withColumn("_edges", F.expr(f"filter(_edges, e -> {in_row})"))
+    cells = rows.withColumn("column", span("_box.west", "_box.east", -180.0))
+    cells = cells.withColumn("_west", F.expr(f"column * _width - 180D - {CELL_MARGIN}D"))
+    cells = cells.withColumn("_east", F.expr(f"_west + _width + {2 * CELL_MARGIN}D"))
+    return cells.select(
+        shape_id,
+        "level",
+        "row",
+        "column",
+        geo.touched("_edges", "_west", "_south", "_east", "_north").alias("border"),
+        geo.inside("(_west + _east) / 2", "(_south + _north) / 2", "_edges").alias("_centre_inside"),
+        F.expr("filter(_edges, e -> greatest(e.x1, e.x2) >= _west)").alias("edges"),
+    ).filter("border OR _centre_inside").select(
+        shape_id, "level", "row", "column", "border", F.when(F.col("border"), F.col("edges")).alias("edges")
     )
+
+
+def points_in_shapes(
+    points: DataFrame, shapes: DataFrame, point_id: str, shape_id: str, cell_degrees: float = 0.05, salts: int = 8
+) -> DataFrame:
+    """Every (shape, point) with the point inside, by an equi-join with the shapes' cells.
+
+    A point has one cell for each of the few sizes in use. In an inner cell the join decides; only in border cells a
+    ray is cast, over that cell's edges. Cells are repeated for each salt, so the points of a crowded cell
+    are spread over ``salts`` keys.
+    """
+    cover = settle(shape_cells(shapes, shape_id, cell_degrees), "shape-cells")
+    # no more numbers than doublings from the smallest cell to the globe
+    levels = sorted(r["level"] for r in cover.select("level").distinct().collect())
+    width = F.lit(float(cell_degrees)) * F.pow(F.lit(2.0), F.col("level"))
     placed = (
         points.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
         .select(point_id, F.col("lon").alias("_lon"), F.col("lat").alias("_lat"))
-        .withColumn("_level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
-        .withColumn("_row", _cell(F.col("_lat"), -90.0, width))
-        .withColumn("_column", _cell(F.col("_lon"), -180.0, width))
+        .withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]).cast("array<int>")))
+        .withColumn("row", _cell(F.col("_lat"), -90.0, width))
+        .withColumn("column", _cell(F.col("_lon"), -180.0, width))
         .withColumn("_salt", F.pmod(F.xxhash64(point_id), F.lit(salts)).cast("int"))
     )
-    in_box = F.col("_lat").between(F.col("_box.south"), F.col("_box.north")) & F.col("_lon").between(
-        F.col("_box.west"), F.col("_box.east")
-    )
-    met = placed.join(cells, ["_level", "_row", "_column", "_salt"]).filter(in_box).drop("_box", "_column", "_salt")
-    return (
-        met.join(row_edges, [shape_id, "_level", "_row"])
-        .filter(geo.inside("_lon", "_lat", "_edges"))
-        .select(shape_id, point_id)
-    )
+    salted = cover.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = placed.join(salted, ["level", "row", "column", "_salt"])
+    return met.filter(~F.col("border") | geo.inside("_lon", "_lat", "edges")).select(shape_id, point_id)

@@ -361,3 +361,37 @@ def test_batch_top_k_is_exact_for_any_pivots(spark, pivots):
         order = np.lexsort((np.arange(len(scores)), -scores))[:7]
         exact |= {(q, int(i), n + 1) for n, i in enumerate(order)}
     assert found == exact
+
+
+def test_only_border_cells_need_a_ray(spark):
+    def ring(points):
+        return [{"lon": float(x), "lat": float(y)} for x, y in points]
+
+    wavy = [(3 + (2 + 0.4 * math.sin(9 * t)) * math.cos(t), 1 + (2 + 0.4 * math.sin(9 * t)) * math.sin(t)) for t in np.linspace(0, 2 * math.pi, 400)]
+    hole = [(2.5, 0.5), (3.5, 0.5), (3.5, 1.5), (2.5, 1.5)]
+    square = [(10.0, 10.0), (10.2, 10.0), (10.2, 10.2), (10.0, 10.2), (10.0, 10.0)]
+    shapes = spark.createDataFrame(
+        [("wavy", [[ring(wavy), ring(hole)]]), ("square", [[ring(square)]]), ("none", [])], f"name string, shape {geo.SHAPE_TYPE}"
+    )
+    cover = nearby.shape_cells(shapes, "name").collect()
+    inner = [c for c in cover if not c.border]
+    assert len(inner) > 1000 and all(c.edges is None for c in inner)
+    border = [c for c in cover if c.border and c.name == "wavy"]
+    assert len(border) < len(inner) and max(len(c.edges) for c in border) < 60
+    rng = random.Random(6)
+    points = [(i, rng.uniform(0, 6), rng.uniform(-2, 4)) for i in range(3000)]
+    points += [(5000 + i, 10 + x / 20, 10 + y / 20) for i, (x, y) in enumerate((x, y) for x in range(-1, 6) for y in range(-1, 6))]
+    points += [(9000, None, 1.0)]
+
+    def inside(x, y, rings):
+        crossings = 0
+        for r in rings:
+            for (x1, y1), (x2, y2) in zip(r, [*r[1:], r[0]]):
+                if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                    crossings += 1
+        return crossings % 2 == 1
+
+    expected = {("wavy", i) for i, x, y in points if x is not None and inside(x, y, [wavy, hole])}
+    expected |= {("square", i) for i, x, y in points if x is not None and inside(x, y, [square])}
+    found = nearby.points_in_shapes(spark.createDataFrame(points, "id long, lon double, lat double"), shapes, "id", "name")
+    assert {tuple(r) for r in found.collect()} == expected and len(expected) > 1000
