@@ -7,6 +7,9 @@ row per text with its smallest id, which is all that "some smaller id" asks for.
 are dealt to as many pieces as their size asks for (``PIECE_ROWS``), so a text that a third of all
 rows share does not become one task.
 
+Whole texts only move where their digest is among those: a bit set of a fixed size spares the scan the
+others. When it fills up more rows pass, and the join behind it drops them: slower, never different.
+
 The ids that fail there are united with the failures of the other filters, and rows are counted by
 part and combination of failures. Everything after that works on at most ``2 ** filters * 4`` rows a
 part: with the rows that fail none of a set of filters, for all sets, every figure of every order is a
@@ -21,18 +24,25 @@ columns are not read.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from functools import reduce
 from itertools import permutations
 from math import factorial
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.dense import bit_set, holds
 from tessera.llm.registry import register, table
 from tessera.session import settle
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 PIECE_ROWS = 2000
+DIGEST_BITS = 1 << 26
 # The limits of the filters.
 LEAST_WORDS, LEAST_DISTINCT, MOST_CAPITALS = 200, 50, 2
 WORD_GAP = "[ \\x09-\\x0D]+"
@@ -102,7 +112,15 @@ def copies(documents: DataFrame, keyed: DataFrame, doc_id: str, text: str, part:
         whole.alias("text"),
         F.unhex(F.sha2(whole, 256)).alias("digest"),
     ).filter("doc_id IS NOT NULL")
-    shared = settle(rows.join(settle(groups, "copied-digests"), "digest"), "copied-texts")
+    groups = settle(groups, "copied-digests")
+    key = F.xxhash64("digest")
+    bits = documents.sparkSession.sparkContext.broadcast(bit_set(groups.select(key.alias("key")), DIGEST_BITS))
+
+    @F.pandas_udf("boolean")
+    def may_be_shared(keys: pd.Series) -> pd.Series:
+        return pd.Series(holds(bits.value, keys.to_numpy()))
+
+    shared = settle(rows.filter(may_be_shared(key)).join(groups, "digest"), "copied-texts")
     first = shared.groupBy("digest", "text").agg(F.min("doc_id").alias("first"), F.max("pieces").alias("pieces"))
     smaller = first.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
     later = shared.filter("doc_id > least").withColumn("piece", F.pmod(F.xxhash64("doc_id"), F.col("pieces")).cast("int"))
