@@ -7,7 +7,8 @@ is broadcast: copies of frequent texts meet their winner where they are read. Th
 are below the share, so an ordinary shuffle spreads them.
 
 Defined cases: null text is the empty text; equal texts tie to the largest id; repeated
-rows (same id and text) count as copies, and all of them keep that id; an empty table gives an
+rows (same id and text) count as copies, and all of them keep that id; a row without id gives way to any
+row with the same text and an id, and rows without id stay where none has one; an empty table gives an
 empty result; extra columns are not read.
 """
 
@@ -64,14 +65,16 @@ def exact_groups(
             "group_size": F.coalesce("group_size", F.lit(1).cast("bigint")),
         }
     )
-    shown = ["doc_id", "keep_id", "group_size", (F.col("doc_id") == F.col("keep_id")).alias("kept"), "digest"]
+    shown = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "digest"]
     return hot.select(*shown).unionByName(cold.select(*shown))
 
 
 def exact_dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``documents`` whose text is the kept one of its group."""
-    kept = exact_groups(documents, doc_id, text).filter("kept").select(F.col("doc_id").alias(doc_id)).distinct()
-    return documents.join(kept, doc_id, "left_semi")
+    kept = exact_groups(documents, doc_id, text).filter("kept").select("doc_id", "digest").distinct().alias("kept")
+    own = F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    same = F.col(f"rows.{doc_id}").eqNullSafe(F.col("kept.doc_id")) & (F.col("_own_digest") == F.col("kept.digest"))
+    return documents.withColumn("_own_digest", own).alias("rows").join(kept, same, "left_semi").drop("_own_digest")
 
 
 @register(
@@ -79,7 +82,7 @@ def exact_dedup(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
     g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
-    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
+    SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM d JOIN g USING (text_sha256)
     """,
 )
 def op9_exact_dedup(spark, sf_dir) -> DataFrame:

@@ -146,3 +146,16 @@ def test_mix_takes_a_prefix_of_every_leaf(spark, corpus):
 def test_mix_of_nothing(spark):
     assert mix(frame(spark, []), F.lit("d"), weights(spark, []), 0.5).count() == 0
     assert mix(frame(spark, [(None, None, None, None)]), F.lit("d"), weights(spark, []), 0.5).count() == 0
+
+
+def test_exact_dedup_of_rows_without_id(spark):
+    rows = [(None, "alone"), (None, "shared"), (4, "shared"), (1, "a"), (5, "a"), (1, "b"), (None, None), (None, "")]
+    df = frame(spark, rows)
+    got = {(r.doc_id, r.digest.hex()[:4], r.keep_id, r.group_size, r.kept) for r in exact_groups(df).collect()}
+    name = {t: hashlib.sha256((t or "").encode()).hexdigest()[:4] for _, t in rows}
+    assert got == {
+        (None, name["alone"], None, 1, True), (None, name["shared"], 4, 2, False), (4, name["shared"], 4, 2, True),
+        (1, name["a"], 5, 2, False), (5, name["a"], 5, 2, True), (1, name["b"], 1, 1, True), (None, name[""], None, 2, True),
+    }
+    left = sorted((str(r.doc_id), r.text or "") for r in exact_dedup(df).collect())
+    assert left == [("1", "b"), ("4", "shared"), ("5", "a"), ("None", ""), ("None", ""), ("None", "alone")]
