@@ -2,8 +2,10 @@
 
 A batch of texts is one buffer of UTF-8 bytes with offsets, as Arrow holds it, so words are
 found and hashed by array operations and no text is cut. A word is a run of bytes other than
-space and the controls 9 to 13. A word's hash is a polynomial over a random value per byte,
-taken from one running sum, then mixed; 64 bits.
+space and the controls 9 to 13. A word's hash is the sum of one random 64-bit value for each pair
+of a byte and its place in the word (tabulation hashing), taken from one running sum, then
+mixed. Unlike a polynomial modulo a power of two it has no pattern of bytes on which different words meet:
+two different words share a hash with a chance of 2^-64, whatever their length.
 """
 
 from __future__ import annotations
@@ -17,9 +19,12 @@ from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Seed of the byte values and the odd base of the polynomial.
+# Seed of the byte values, the odd base of rolling hashes, and the step from one place
+# in a word to the next; values of the first places are looked up, those of later ones computed.
 SEED = 20240229
 BASE = 0x9E3779B97F4A7C15 | 1
+STEP = np.uint64(0xC2B2AE3D27D4EB4F)
+TABLE_PLACES = 64
 CHUNK_BYTES = 1 << 20
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -107,6 +112,8 @@ class WordReader:
 
     def __init__(self, fold_case: bool = False):
         self.values = byte_values(fold_case)
+        places = np.arange(TABLE_PLACES, dtype=np.uint64)[:, None]
+        self.table = mix(self.values + places * STEP).ravel()
         self.gap = separators()
         self.powers = Powers()
 
@@ -128,10 +135,18 @@ class WordReader:
         return starts, ends, np.searchsorted(starts, offsets)
 
     def hashes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        powers = self.powers.upto(len(raw) + 1)
-        total = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(self.values[raw] * powers.up[: len(raw)], out=total[1:])
-        return mix((total[ends] - total[starts]) * powers.down[starts])
+        """Hash of each span; spans ascend and may leave bytes between them out."""
+        if not len(starts):
+            return np.zeros(0, dtype=np.uint64)
+        base = starts[0]
+        body = raw[base : ends[-1]]
+        place = np.arange(len(body)) - np.repeat(starts - base, np.diff(np.r_[starts, ends[-1]]))
+        terms = self.table[(np.minimum(place, TABLE_PLACES - 1) << 8) | body]
+        far = np.flatnonzero(place >= TABLE_PLACES)
+        terms[far] = mix(self.values[body[far]] + place[far].astype(np.uint64) * STEP)
+        total = np.zeros(len(body) + 1, dtype=np.uint64)
+        np.cumsum(terms, out=total[1:])
+        return mix(total[ends - base] - total[starts - base])
 
     def rows(self, column: pa.Array):
         """For each text in turn, its word hashes."""
