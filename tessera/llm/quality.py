@@ -247,12 +247,11 @@ def text_scores(column: pa.Array, encoder: PassageEncoder, model) -> np.ndarray:
 
 def quality_scores(documents: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
-    shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def score(batches):
         encoder = PassageEncoder()
         for batch in batches:
-            scores = text_scores(batch.column(1), encoder, shared.value)
+            scores = text_scores(batch.column(1), encoder, model)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
         give_back()
 
@@ -265,12 +264,12 @@ def quality_scores(documents: DataFrame, model, doc_id: str = "doc_id", text: st
 
 def keep_good(documents: DataFrame, model, text: str = "text") -> DataFrame:
     """The rows of ``documents`` with a score of at least the threshold, columns as they are."""
-    shared, place = documents.sparkSession.sparkContext.broadcast(model), documents.columns.index(text)
+    place = documents.columns.index(text)
 
     def keep(batches):
         encoder = PassageEncoder()
         for batch in batches:
-            yield batch.filter(pa.array(text_scores(batch.column(place), encoder, shared.value) >= THRESHOLD))
+            yield batch.filter(pa.array(text_scores(batch.column(place), encoder, model) >= THRESHOLD))
         give_back()
 
     return documents.mapInArrow(keep, documents.schema)
