@@ -15,7 +15,7 @@ the leaf's cut, so no text is shuffled.
 Defined cases: null text has no tokens; null domain, language or source is "unknown"; rows with
 the same id share one key and are taken together; a document that would pass the allotment ends the
 prefix; weight 0 or a leaf without tokens gets nothing; a missing weight is 1; an empty table gives
-an empty result; extra columns stay.
+an empty result; extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,10 +36,10 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def labelled(documents: DataFrame, domain: Column) -> DataFrame:
-    """Tree columns added as _domain, _lang, _source, never null."""
-    named = {"_domain": domain, "_lang": F.col("lang"), "_source": F.col("source")}
-    return documents.withColumns({k: F.coalesce(c.cast("string"), F.lit("unknown")) for k, c in named.items()})
+def tree_columns(domain: Column) -> list[Column]:
+    """domain, lang and source of a document, never null."""
+    named = {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+    return [F.coalesce(c.cast("string"), F.lit("unknown")).alias(k) for k, c in named.items()]
 
 
 def with_weight(nodes: DataFrame, weights: DataFrame, depth: int) -> DataFrame:
@@ -104,13 +104,7 @@ def selection(
 ) -> tuple[DataFrame, DataFrame]:
     """(narrow rows, leaf cuts): every document's leaf and tokens, and where each leaf's prefix ends."""
     rows = settle(
-        labelled(documents, domain).select(
-            F.col(doc_id).alias("doc_id"),
-            F.col("_domain").alias("domain"),
-            F.col("_lang").alias("lang"),
-            F.col("_source").alias("source"),
-            word_count(F.col("text")).alias("n_tokens"),
-        ),
+        documents.select(F.col(doc_id).alias("doc_id"), *tree_columns(domain), word_count(F.col("text")).alias("n_tokens")),
         "mix_rows",
     )
     leaves = settle(rows.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("available")), "mix_leaves")
@@ -144,12 +138,12 @@ def selection(
     return rows, settle(cuts, "mix_cuts")
 
 
-def with_copies(labelled_rows: DataFrame, cuts: DataFrame, doc_id: str, seed: int, keys: dict[str, str]) -> DataFrame:
-    """``copies`` of each row: whole epochs, and one more up to the leaf's cut."""
-    own = cuts.select(*[F.col(c).alias(k) for c, k in keys.items()], F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"))
-    joined = labelled_rows.join(own, list(keys.values()), "left")
+def with_copies(rows: DataFrame, cuts: DataFrame, seed: int) -> DataFrame:
+    """``copies`` of each row (doc_id, domain, lang, source, ...): whole epochs, and one more up to the leaf's cut."""
+    own = cuts.select(*LEVELS, F.col("epochs").alias("_epochs"), F.col("cut").alias("_cut"))
+    joined = rows.join(own, list(LEVELS), "left")
     # without a bucket in which it ends, the prefix is empty; a cut that is a bucket's name precedes its keys
-    extra = F.coalesce(order_key(F.col("_epochs"), F.col(doc_id), seed) <= F.col("_cut"), F.lit(False)).cast("bigint")
+    extra = F.coalesce(order_key(F.col("_epochs"), F.col("doc_id"), seed) <= F.col("_cut"), F.lit(False)).cast("bigint")
     return joined.withColumn("copies", F.coalesce(F.col("_epochs") + extra, F.lit(0)).cast("bigint")).drop("_epochs", "_cut")
 
 
@@ -164,9 +158,11 @@ def mix(
 ) -> DataFrame:
     """``documents``, each row as many times as its leaf's epochs take it."""
     _, cuts = selection(documents, domain, weights, share, max_epochs, seed, doc_id)
-    rows = with_copies(labelled(documents, domain), cuts, doc_id, seed, {n: f"_{n}" for n in LEVELS})
+    # the row travels as one value, so that no column of it can clash with those made here
+    row = F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row")
+    rows = with_copies(documents.select(row, F.col(doc_id).alias("doc_id"), *tree_columns(domain)), cuts, seed)
     times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
-    return rows.filter("copies > 0").withColumn("_epoch", times).select(*documents.columns)
+    return rows.filter("copies > 0").select("row", times.alias("epoch")).select("row.*")
 
 
 # Fixed values of the registered query: weights by tree node, the share of all tokens, epochs.
@@ -223,6 +219,6 @@ def _fill_sql(nodes: str, parent: str, name: str) -> str:
 def op8_mixing(spark, sf_dir) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     rows, cuts = selection(documents, source_domain(), weight_table(spark), SHARE, MAX_EPOCHS)
-    return with_copies(rows, cuts, "doc_id", SEED, {n: n for n in LEVELS}).select(
+    return with_copies(rows, cuts, SEED).select(
         "doc_id", "domain", "lang", "source", "n_tokens", "copies"
     )

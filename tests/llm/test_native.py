@@ -124,7 +124,7 @@ def test_mix_takes_a_prefix_of_every_leaf(spark, corpus):
     rows += [(rows[0][0], *rows[0][1:])]
     df = frame(spark, rows)
     got, cuts = selection(df, F.lit("d"), weights(spark, []), 0.55, 2)
-    chosen = with_copies(got, cuts, "doc_id", 17, {n: n for n in LEVELS})
+    chosen = with_copies(got, cuts, 17)
     plan = {tuple(r)[:3]: r for r in leaf_budgets(got.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("available")), weights(spark, []), 0.55, 2).collect()}
     by_leaf = defaultdict(list)
     for r in chosen.withColumn("key0", order_key(F.lit(0), F.col("doc_id"), 17)).withColumn("key1", order_key(F.lit(1), F.col("doc_id"), 17)).collect():
@@ -148,6 +148,18 @@ def test_mix_of_nothing(spark):
     assert mix(frame(spark, [(None, None, None, None)]), F.lit("d"), weights(spark, []), 0.5).count() == 0
 
 
+def test_mix_keeps_columns_of_any_name(spark):
+    rows = [(i, "one two three", "en", f"src{i % 3}") for i in range(30)]
+    names = ["copies", "_lang", "_epochs", "epoch", "row", "domain", "_cut", "a.b", "key"]
+    df = frame(spark, rows)
+    wide = df.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    got = mix(wide, F.lit("d"), weights(spark, []), 0.55)
+    assert got.columns == wide.columns
+    held = got.collect()
+    assert sorted(r.doc_id for r in held) == sorted(r.doc_id for r in mix(df, F.lit("d"), weights(spark, []), 0.55).collect())
+    assert held and all(r[n] == f"own {n}" for r in held for n in names)
+
+
 def test_exact_dedup_of_rows_without_id(spark):
     rows = [(None, "alone"), (None, "shared"), (4, "shared"), (1, "a"), (5, "a"), (1, "b"), (None, None), (None, "")]
     df = frame(spark, rows)
