@@ -7,10 +7,10 @@ its suffix tree. Nodes at least ``length`` words deep are the maximal repeats: t
 places where those words start, and all but the earliest leaf are removed.
 
 Defined cases: null is a text without words; texts shorter than a window lose nothing; a window
-that overlaps its own copy counts; rows that share an id are pooled: windows found in either are
-taken from both, cut at the text's end, and at the same place neither is earlier than the other;
-rows without id are pooled likewise and come first; an empty table gives an empty result; extra
-columns are not read.
+that overlaps its own copy counts; rows that share an id, or have none, are texts of their own, in the
+order of a digest of their text; rows without id come first; rows equal in id and text are one text that
+occurs twice, and neither is the earlier one; an empty table gives an empty result; extra columns
+are not read.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from tessera.llm import repeats
 from tessera.llm.registry import register, table
+from tessera.llm.repeats import HOT_GROUP, SuffixRanks, covered_symbols, prepared, repeated_windows, with_spans
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -40,8 +40,9 @@ def deep_nodes(ranks: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[n
     return leaves, first[deep], last[deep]
 
 
-def later_leaves(ranks: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+def later_leaves(symbols: np.ndarray, places: np.ndarray, length: int, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
     """All leaves of deep nodes but those at the node's earliest place."""
+    ranks = SuffixRanks(symbols, length).at(places)
     leaves, first, last = deep_nodes(ranks, doc, start)
     size = last - first + 1
     node = np.repeat(np.arange(len(size)), size)
@@ -54,24 +55,24 @@ def later_leaves(ranks: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.nd
 
 
 def substring_dedup(
-    documents: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", hot: int = repeats.HOT_GROUP
+    documents: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", hot: int = HOT_GROUP
 ) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 (kept words joined by one space) of every text."""
-    texts = repeats.prepared(documents, doc_id, text)
+    texts = prepared(documents, doc_id, text)
     gram = min(GRAM, max(1, length // 2))
-    spans = repeats.repeated_windows(texts, "words", length, gram, "first", later_leaves, hot)
+    spans = repeated_windows(texts, "words", length, gram, "first", later_leaves, hot)
 
     def take_out(data: bytes, first: np.ndarray, last: np.ndarray):
         words = data.split()  # at space and the controls 9 to 13
         n, removed = len(words), 0
         if len(first):
-            mask = repeats.covered_symbols(first, last, length, n)
+            mask = covered_symbols(first, last, length, n)
             removed = int(mask.sum())
             words = [words[i] for i in np.flatnonzero(~mask).tolist()]
         return n, removed, hashlib.sha256(b" ".join(words)).hexdigest()
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
-    return repeats.with_spans(texts, spans, take_out, schema)
+    return with_spans(texts, spans, take_out, schema)
 
 
 @register("op5_substring_dedup")

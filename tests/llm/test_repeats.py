@@ -10,7 +10,8 @@ import pytest
 
 from tessera.llm import repeats
 from tessera.llm.substring_dedup import substring_dedup
-from tessera.llm.suffix_dedup import suffix_dedup
+from tessera.llm.suffix_dedup import factors, previous_factors, suffix_dedup
+from tessera.llm.words import WordReader
 
 from .conftest import frame
 
@@ -96,6 +97,120 @@ def test_suffix_ranks_follow_the_order_of_bytes():
     raw = np.frombuffer(b"banana bandana banana banda", dtype=np.uint8)
     for length in (3, 8, 13):
         places = np.arange(len(raw) - length + 1)
-        ranks = repeats.suffix_ranks(raw, places, length)
+        ranks = repeats.SuffixRanks(raw, length).at(places)
         strings = [raw[p : p + length].tobytes() for p in places]
         assert [sorted(set(strings)).index(s) for s in strings] == np.unique(ranks, return_inverse=True)[1].tolist()
+
+
+def shared_prefix(a, b) -> int:
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("dtype", [np.uint8, np.uint64])
+@pytest.mark.parametrize("length", [1, 3, 8, 13, 20, 40])
+def test_common_prefixes(length, dtype):
+    rng = np.random.default_rng(length)
+    symbols = np.r_[rng.integers(0, 2, 150), np.tile([0, 1, 1], 40), rng.integers(0, 2, 150)].astype(dtype)
+    places = np.arange(len(symbols) - length + 1)
+    a, b = rng.choice(places, 600), rng.choice(places, 600)
+    got = repeats.SuffixRanks(symbols, length).common(a, b)
+    assert got.tolist() == [shared_prefix(symbols[x : x + length], symbols[y : y + length]) for x, y in zip(a, b)]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_previous_factors(seed):
+    """Longest previous factors of a whole text against all pairs, and sources that are such matches."""
+    rng = np.random.default_rng(seed)
+    text = bytes(rng.integers(97, 99 + seed, 120).astype(np.uint8)) + b"abab" * 10
+    order = sorted(range(len(text)), key=lambda i: text[i:])
+    common = [0] + [shared_prefix(text[a:], text[b:]) for a, b in zip(order, order[1:])]
+    factor, source = previous_factors(order, common)
+    for here, long, at in zip(order, factor, source):
+        assert long == max((shared_prefix(text[j:], text[here:]) for j in range(here)), default=0)
+        if long:
+            assert order[at] < here and shared_prefix(text[order[at] :], text[here:]) == long
+        else:
+            assert at == -1
+
+
+def test_factors_up_to_a_length():
+    rng = np.random.default_rng(9)
+    text = np.r_[rng.integers(0, 3, 200), np.tile([0, 1], 50), rng.integers(0, 3, 100)].astype(np.uint8)
+    for length in (2, 7, 30):
+        places = np.arange(len(text) - length + 1)
+        doc = np.sort(rng.integers(0, 3, len(places)))
+        order, factor, source = factors(text, places, length, doc, places)
+        for i, here in enumerate(order):
+            window = text[here : here + length]
+            assert factor[i] == max((shared_prefix(text[j : j + length], window) for j in range(here)), default=0)
+            assert (source[i] < 0) == (factor[i] == 0)
+
+
+def with_ids(rows):
+    """Rows in the order that the operators define: missing ids first, then by id, then by digest of the text."""
+    tie = lambda t: int(hashlib.sha256((t or "").encode()).hexdigest()[:15], 16)
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1])))
+
+
+@pytest.mark.parametrize("hot", [repeats.HOT_GROUP, 1])
+def test_rows_that_share_an_id_or_have_none(spark, corpus, hot):
+    """Texts of their own: nothing is removed from one because of what another with its id repeats."""
+    texts = sorted({t or "" for _, t in corpus if t is None or len(t) < 5_000})
+    rows = with_ids([([None, 7, 8, i][i % 4], t) for i, t in enumerate(texts)])
+    named = list(enumerate(t for _, t in rows))
+    want = sorted((rows[i][0] or -1, *r) for i, r in words_result(named, 20).items())
+    got = substring_dedup(frame(spark, rows), hot=hot).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, *tuple(r)[1:]) for r in got) == want
+    for keep in ("none", "first"):
+        want = sorted((rows[i][0] or -1, *r) for i, r in bytes_result(named, 60, keep).items())
+        got = suffix_dedup(frame(spark, rows), 60, keep, hot=hot).collect()
+        assert sorted((-1 if r.doc_id is None else r.doc_id, *tuple(r)[1:]) for r in got) == want
+
+
+@pytest.mark.parametrize("keep, lost", [("none", [0, 0, 90, 90]), ("first", [0, 0, 0, 90])])
+def test_unrelated_text_under_a_shared_id(spark, keep, lost):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(90)) for c in "xyz")
+    rows = [(7, f"{x} q"), (7, y), (None, x), (None, z)]
+    if keep == "first":
+        got = [r.n_removed for r in substring_dedup(frame(spark, rows)).collect()]
+        assert sorted(got) == lost
+    got = [(r.doc_id, r.n_removed) for r in suffix_dedup(frame(spark, rows), keep=keep).collect()]
+    assert sorted(n for _, n in got) == [len(x) if n else 0 for n in lost]
+    # copies of one row without id: one text that occurs twice
+    copies = [(None, x), (None, x), (None, y)]
+    assert sorted(r.n_removed for r in suffix_dedup(frame(spark, copies), keep=keep).collect()) == ([0, len(x), len(x)] if keep == "none" else [0, 0, 0])
+
+
+def thue_morse(n: int) -> tuple[str, str]:
+    """Two words of n letters on which every polynomial modulo a power of two with an odd base agrees from some length on."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 8192])
+def test_words_of_a_pattern_stay_different(spark, n):
+    one, two = thue_morse(n)
+    raw = np.frombuffer(f"{one} {two} {one}".encode(), np.uint8)
+    reader = WordReader()
+    a, b, c = reader.hashes(raw, *reader.spans(raw, np.array([0, len(raw)]))[:2])
+    assert a == c != b
+    rows = [(i, " ".join([w, *(f"w{k}" for k in range(19))])) for i, w in enumerate((one, two, one))]
+    got = substring_dedup(frame(spark, rows)).collect()
+    assert {r.doc_id: r.n_removed for r in got} == {0: 0, 1: 0, 2: 20}
+
+
+def test_word_hashes_do_not_depend_on_their_surroundings():
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, n).astype(np.uint8)) for n in (1, 2, 7, 63, 64, 65, 66, 300)]
+    reader = WordReader(fold_case=True)
+
+    def hashed(text: bytes) -> list[int]:
+        raw = np.frombuffer(text, np.uint8)
+        return reader.hashes(raw, *reader.spans(raw, np.array([0, len(raw)]))[:2]).tolist()
+
+    want = [hashed(w)[0] for w in words]
+    assert len(set(want)) == len(words)
+    assert hashed(b"  " + b" \n".join(words).upper() + b"\t") == want
