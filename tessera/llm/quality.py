@@ -6,9 +6,10 @@ gives each passage a weight within its text, and the score is a logistic functio
 sum. All parts are learnt together from labels of texts only; the weights that passages
 get are learnt from them too.
 
-Fitting uses at most ``SAMPLE`` labelled texts, those with the least hash of their id, and of a text with more
-than ``BAG`` passages that many spread evenly; both bound what the driver holds. Scoring reads all
-passages of all texts, where they are read, without a shuffle.
+Fitting uses a sample of labelled texts, whole: in order of the hash of their id, at most ``SAMPLE`` rows and as
+many as have ``SAMPLE_BYTES`` of text together, which bounds what the driver holds (a passage takes 696 bytes there
+and has some 400 bytes of text, 128 at least); a single text longer than that does not teach. Scoring reads all passages of all texts,
+where they are read, without a shuffle.
 
 Defined cases: null and empty texts are one passage without characters and get a score like
 any; several labels of one id are averaged; rows with a null label or id teach nothing; without
@@ -23,7 +24,7 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.registry import register, table
@@ -33,7 +34,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PASSAGE_WORDS = 64
 SAMPLE = 4000
-BAG = 256
+SAMPLE_BYTES = 64 << 20
 THRESHOLD = 0.3
 HIDDEN, GATE = 24, 12
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 0.01, 1e-4
@@ -203,14 +204,18 @@ def each_text(column: pa.Array, encoder: PassageEncoder):
         yield encoder(raw[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
 
 
-def sample_bags(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int) -> tuple[list, np.ndarray]:
-    """Feature bags and labels of at most ``sample`` texts, in order of their id."""
+def sample_bags(documents: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, sample: int, sample_bytes: int = SAMPLE_BYTES) -> tuple[list, np.ndarray]:
+    """Feature bags and labels of at most ``sample`` texts with ``sample_bytes`` together, in order of their id."""
     known = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(label).cast("double").alias("label"))
     known = known.filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = known.groupBy("doc_id").agg(F.avg("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    # at most ``sample`` rows on this side
-    picked = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    # at most ``sample`` rows on this side, here and below
+    sized = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    order = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    sized = sized.filter(F.col("bytes") <= sample_bytes).withColumn("upto", F.sum("bytes").over(order))
+    taken = sized.filter(F.col("upto") <= sample_bytes).select("doc_id", "label")
+    picked = texts.join(F.broadcast(taken), "doc_id").select("doc_id", "text", "label")
 
     def encode(batches):
         encoder = PassageEncoder()
@@ -218,8 +223,7 @@ def sample_bags(documents: DataFrame, labels: DataFrame, doc_id: str, text: str,
             bags = []
             for features, bounds in each_text(batch.column(1), encoder):
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-                    spread = np.unique(np.linspace(a, b - 1, min(b - a, BAG)).astype(np.int64))
-                    bags.append(features[spread].astype(np.float16).tobytes())
+                    bags.append(features[a:b].astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], names=["doc_id", "label", "bag"])
         give_back()
 
