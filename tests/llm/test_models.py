@@ -82,6 +82,19 @@ def test_quality_on_held_out_texts(spark, data):
     assert kept.columns == documents.columns and kept.count() == scored.filter("predicted = 1").count()
 
 
+def test_quality_learns_from_whole_texts(spark):
+    known = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 5][:4]
+    texts = dict(zip(known, ["w " * 40_000, "plain words", None, "x"]))
+    df = frame(spark, list(texts.items()))
+    labels = spark.createDataFrame([(i, i % 2) for i in known], "doc_id long, quality int")
+    args = (df, labels, "doc_id", "text", "quality")
+    bags, _ = quality.sample_bags(*args, 10)
+    assert [len(b) for b in bags] == [625, 1, 1, 1]
+    bags, _ = quality.sample_bags(*args, 10, sample_bytes=79_999)
+    assert [len(b) for b in bags] == [1, 1, 1]
+    assert len(quality.sample_bags(*args, 2)[0]) == 2
+
+
 def test_attention_gradients():
     rng = np.random.default_rng(3)
     model = quality.AttentionModel(6)
@@ -192,7 +205,7 @@ def test_block_search_finds_all_within_the_radius(spark):
     base = rng.integers(0, 1 << 63, (30, 2), dtype=np.uint64)
     rows = []
     for i, words in enumerate(base):
-        for j, distance in enumerate((0, 15, 31)):
+        for j, distance in enumerate((0, 15, 31, decontaminate.RADIUS)):
             changed = words.copy()
             for bit in rng.choice(128, distance, replace=False).tolist():
                 changed[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
@@ -204,6 +217,21 @@ def test_block_search_finds_all_within_the_radius(spark):
     assert {r.q for r in met.collect()} == {q for q, _, _ in rows}
 
 
+def test_radius_holds_borderline_windows():
+    """Windows of similarity just above 0.8 lie within the radius: a run of words is changed until it is barely reached."""
+    rng = np.random.default_rng(5)
+    for size in (18, 36, 116):
+        changed = size // 9
+        for _ in range(400):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            b = a.copy()
+            b[:changed] = rng.integers(0, 1 << 63, changed, dtype=np.uint64)
+            smaller, larger = decontaminate.weighted_similarity(a, b)
+            assert 80 * larger <= 100 * smaller <= 84 * larger
+            apart = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(decontaminate.simhash(a), decontaminate.simhash(b)))
+            assert apart <= decontaminate.RADIUS
+
+
 def expected_scores(rows, order):
     texts = [(d, "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()) for d, t in rows]
     all_counts, own = Counter(), []
