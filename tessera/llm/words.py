@@ -26,6 +26,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 TABLE_PLACES = 64
 CHUNK_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -135,9 +136,16 @@ class WordReader:
         return starts, ends, np.searchsorted(starts, offsets)
 
     def hashes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Hash of each span; spans ascend and may leave bytes between them out."""
-        if not len(starts):
-            return np.zeros(0, dtype=np.uint64)
+        """Hash of each span; spans ascend and may leave bytes between them out. Read in blocks of ``HASH_BYTES``, or of one longer span."""
+        out = np.zeros(len(starts), dtype=np.uint64)
+        first = 0
+        while first < len(starts):
+            last = max(int(np.searchsorted(ends, starts[first] + HASH_BYTES, side="right")), first + 1)
+            out[first:last] = self._block(raw, starts[first:last], ends[first:last])
+            first = last
+        return out
+
+    def _block(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         base = starts[0]
         body = raw[base : ends[-1]]
         place = np.arange(len(body)) - np.repeat(starts - base, np.diff(np.r_[starts, ends[-1]]))
