@@ -15,6 +15,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontaminate, mixing, ngram_join, quality, token_files
+from tessera.llm.registry import bound_batches
 from tessera.session import drop_paths, scratch_mark, scratch_since, settle
 
 SHINGLE_WORDS, LEAST_SIMILARITY = 5, 80
@@ -27,6 +28,7 @@ def tidy(stage):
 
     @wraps(stage)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
         drop_paths(spark, _LEFT_OVER)
         mark = scratch_mark()
         result = stage(spark, docs, sf_dir)
