@@ -78,22 +78,18 @@ def embed(
 def top_k(index: DataFrame, query_vector, k: int | None, id_column: str, where: Column | None = None) -> DataFrame:
     """The ``k`` most similar rows among those that pass ``where``; all of them, ranked, when k is None.
 
-    The filter sits below the scoring. Batches are scored by one matrix product and keep their own
-    k best, so a task sends on k rows per batch; the last ranking is again a top-k per task.
+    The filter sits below the scoring. Only embeddings leave the JVM, a batch is scored by one matrix
+    product, and the last ranking is a top-k per task before rows move.
     """
     pool = index if where is None else index.filter(where)
     asked = np.asarray(query_vector, dtype=np.float64)
-    schema = T.StructType([*pool.schema.fields, T.StructField("similarity", T.DoubleType())])
 
-    def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            if len(frame):
-                frame["similarity"] = np.round(_matrix(frame["embedding"]) @ asked, SCORE_DIGITS)
-                if k is not None and len(frame) > k:
-                    frame = frame.sort_values(["similarity", id_column], ascending=[False, True]).head(k)
-                yield frame
+    @F.pandas_udf(T.DoubleType())
+    def score(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for column in columns:
+            yield pd.Series(np.round(_matrix(column) @ asked, SCORE_DIGITS) if len(column) else [], dtype="float64")
 
-    scored = pool.mapInPandas(score, schema).withColumn("distance", 1 - F.col("similarity"))
+    scored = pool.withColumn("similarity", score("embedding")).withColumn("distance", 1 - F.col("similarity"))
     ranked = scored.orderBy(F.col("similarity").desc(), F.col(id_column))
     return ranked if k is None else ranked.limit(k)
 
