@@ -13,6 +13,14 @@ def literal_lookup(pairs: dict[str, str], key: Column) -> Column:
     return F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])[key]
 
 
+def worked_out(value: Column) -> Column:
+    """``value`` as a generated column, which Spark makes once per row.
+
+    A plain column is pasted into every filter and column that uses it, and then made anew at each place.
+    """
+    return F.explode(F.array(value))
+
+
 def array_to_json(value: Column) -> Column:
     return F.to_json(value)
 

@@ -118,7 +118,8 @@ def intro_paragraphs(html: Column) -> Column:
     """
     head = F.regexp_replace(F.regexp_replace(html, UNSEEN_PATTERN, ""), HEADING_PATTERN, "")
     pieces = F.split(head, PARAGRAPH_PATTERN, -1)
-    bodies = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    # all pieces but the first, without asking for their number, which would split the page again
+    bodies = F.slice(pieces, 2, 1_000_000_000)
 
     def paragraph_text(body: Column) -> Column:
         nodes = F.split(F.regexp_replace(body, PARAGRAPH_END_PATTERN, ""), TAG_PATTERN, -1)

@@ -366,10 +366,12 @@ def batch_top_k(
 def numbered_keys(reviews: DataFrame) -> DataFrame:
     """(review_key, seq): the place of each text among those of its listing and day.
 
-    Made from narrow keys, without the text, and without gathering a listing's day in one task.
+    Made from narrow keys, without the text, and without gathering a listing's day in one task. The keys
+    are settled, since ranges are found by a first pass over them, which would read the texts as well.
     """
     day = ["listing_id", "review_date"]
-    placed, offsets = ranked_slices(reviews.select(*day, "review_key"), day, ["review_key"])
+    keys = settle(reviews.select(*day, "review_key"), "review-keys")
+    placed, offsets = ranked_slices(keys, day, ["review_key"])
     numbered = placed.join(offsets, [*day, "_slice"])
     return settle(numbered.select("review_key", (F.col("_before") + F.col("_place")).alias("seq")), "review-numbers")
 
@@ -394,9 +396,14 @@ def review_documents(reviews: DataFrame) -> DataFrame:
 
 
 def placed_reviews(texts: DataFrame, listings: DataFrame) -> DataFrame:
-    """Review texts long enough to index, with the neighbourhood of their listing or "Unknown"."""
+    """Review texts long enough to index, with the neighbourhood of their listing or "Unknown".
+
+    The listings that have texts are settled first, by their ids alone: the texts themselves need not
+    be gathered by listing where these are few enough to be broadcast, and a listing is cleaned once.
+    """
+    named = listings.select("listing_id", "neighbourhood").join(texts.select("listing_id").distinct(), "listing_id", "left_semi")
     enough = texts.filter(long_enough(F.col("comments"), LEAST_REVIEW_CHARS))
-    return lookup_or_default(enough, listings, "listing_id", "neighbourhood")
+    return lookup_or_default(enough, settle(named, "named-listings"), "listing_id", "neighbourhood")
 
 
 def build_review_index(

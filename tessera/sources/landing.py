@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.nested import worked_out
 from tessera.functions.text import CITY_WORDS, contains_any, intro_paragraphs, link_targets
 
 
@@ -21,7 +22,7 @@ def articles_from_pages(pages: DataFrame, html: str, words=CITY_WORDS) -> DataFr
     ``status`` is "error" without paragraphs, "wrong_location" when none of the words
     occurs in the text, and otherwise "ok".
     """
-    found = pages.withColumn("intro_paragraphs", intro_paragraphs(F.col(html))).drop(html)
+    found = pages.withColumn("intro_paragraphs", worked_out(intro_paragraphs(F.col(html)))).drop(html)
     text = found.withColumn("intro_text", F.array_join("intro_paragraphs", "\n\n"))
     return text.select(
         "*",
