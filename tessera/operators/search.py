@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ REVIEW_RESULTS = 10
 CONTEXT_RESULTS = 5
 
 # Rows of a block of the many-question search, on either side; most pivots, and rings around each.
-BLOCK_ROWS = 1000
+BLOCK_ROWS = 4000
 MOST_PIVOTS = 256
 PIVOT_SAMPLE = 4096
 RINGS = 4
@@ -151,15 +152,17 @@ def _best_per_query(query_ids, item_ids, scores, k: int) -> pd.DataFrame:
     return pd.DataFrame({name: pd.Series(values[kept], dtype=values.dtype) for name, values in columns.items()})
 
 
-def _score_block(queries: np.ndarray, query_ids: np.ndarray, items: np.ndarray, item_ids: np.ndarray, k: int) -> pd.DataFrame:
-    """k best items of one block for each query, scored by matrix products of bounded size."""
+def _score_block(
+    queries: np.ndarray, query_ids: np.ndarray, items: np.ndarray, item_ids: np.ndarray, k: int, least: np.ndarray | None = None
+) -> pd.DataFrame:
+    """k best items of one block for each query, scored by matrix products of bounded size; none below its ``least``."""
     step = max(k, 4_000_000 // max(len(queries), 1))
     found = []
     for start in range(0, len(items), step):
         scores = np.round(queries @ items[start : start + step].T, SCORE_DIGITS)
-        keep = np.ones_like(scores, dtype=bool)
-        if scores.shape[1] > k:
-            keep = scores >= np.partition(scores, -k, axis=1)[:, -k][:, None]
+        keep = np.ones_like(scores, dtype=bool) if least is None else scores >= least[:, None]
+        if scores.shape[1] > k and np.count_nonzero(keep) > k * len(queries):
+            keep &= scores >= np.partition(scores, -k, axis=1)[:, -k][:, None]
         rows, cols = np.nonzero(keep)
         found.append((query_ids[rows], item_ids[start + cols], scores[rows, cols]))
     return _best_per_query(*(np.concatenate(part) for part in zip(*found)), k)
@@ -200,8 +203,31 @@ class Regions:
         return (bound + slack >= least[:, None]) & ~self.first(vectors, k)
 
 
-def _vectors(column: pa.Array) -> np.ndarray:
-    return np.stack(column.to_numpy(zero_copy_only=False)).astype(np.float64) if len(column) else np.zeros((0, 0))
+def _vectors(column: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
+    """Rows of lists, or of the bytes that ``_packed`` made of them, as a matrix of doubles."""
+    many = len(column)
+    if not many:
+        return np.zeros((0, 0))
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type):
+        values, widths = np.frombuffer(b"".join(column.to_pylist()), dtype=kind), pc.binary_length(column)
+        width = pc.max(widths).as_py() // np.dtype(kind).itemsize
+    else:
+        values, widths = column.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(column)
+        width = pc.max(widths).as_py()
+    if pc.min(widths) != pc.max(widths):
+        raise ValueError("all vectors must have the same length")
+    return values.astype(np.float64).reshape(many, width)
+
+
+def _packed(vectors: np.ndarray, kind: str) -> pa.Array:
+    """One value of bytes per vector: between JVM and workers a list would pass element by element."""
+    return pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary())
+
+
+def _kind(rows: DataFrame) -> str:
+    """How the numbers of ``embedding`` are packed: floats stay floats, all others are doubles."""
+    return "<f4" if isinstance(rows.schema["embedding"].dataType.elementType, T.FloatType) else "<f8"
 
 
 def _spread(sample: np.ndarray, many: int) -> np.ndarray:
@@ -215,49 +241,53 @@ def _spread(sample: np.ndarray, many: int) -> np.ndarray:
     return sample[chosen]
 
 
-def _near_pivots(items: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Items with their nearest pivot and the distance to it."""
+def _near_pivots(items: DataFrame, pivots: np.ndarray, kind: str) -> DataFrame:
+    """Items, packed, with their nearest pivot and the distance to it."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         half = (pivots**2).sum(axis=1) / 2
         for batch in batches:
             if batch.num_rows:
-                vectors = _vectors(batch.column("embedding"))
+                vectors = _vectors(batch.column("embedding"), kind)
                 pivot = np.argmax(vectors @ pivots.T - half, axis=1)
                 away = np.linalg.norm(vectors - pivots[pivot], axis=1)
-                columns = [*batch.columns, pa.array(pivot.astype(np.int32)), pa.array(away)]
-                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_pivot", "_away"])
+                columns = [batch.column("item_id"), _packed(vectors, kind), pa.array(pivot.astype(np.int32)), pa.array(away)]
+                yield pa.RecordBatch.from_arrays(columns, names=["item_id", "embedding", "_pivot", "_away"])
 
-    return items.mapInArrow(near, T.StructType([*items.schema.fields, *T._parse_datatype_string("_pivot int, _away double").fields]))
+    added = T._parse_datatype_string("embedding binary, _pivot int, _away double").fields
+    return items.mapInArrow(near, T.StructType([items.schema["item_id"], *added]))
 
 
-def _aimed(queries: DataFrame, regions: Regions, k: int, second: bool) -> DataFrame:
-    """Queries with the regions that they have to meet; ``second`` takes ``_least`` into account."""
+def _aimed(queries: DataFrame, regions: Regions, k: int, kind: str, second: bool) -> DataFrame:
+    """Queries, packed, with the regions that they have to meet; ``second`` takes ``_least`` into account."""
 
     def aim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                vectors = _vectors(batch.column("embedding"))
+                vectors = _vectors(batch.column("embedding"), kind)
                 if second:
-                    needed = regions.rest(vectors, k, batch.column("_least").to_numpy(zero_copy_only=False))
+                    least = batch.column("_least")
+                    needed = regions.rest(vectors, k, least.to_numpy(zero_copy_only=False))
                 else:
+                    least = pa.array(np.full(batch.num_rows, -np.inf))
                     needed = regions.first(vectors, k)
                 rows, targets = np.nonzero(needed)
                 upto = np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(upto), pa.array(targets.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("query_id"), batch.column("embedding"), lists], names=["query_id", "embedding", "_targets"])
+                columns = [batch.column("query_id"), _packed(vectors, kind), least, lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["query_id", "embedding", "_least", "_targets"])
 
-    kinds = [queries.schema["query_id"], queries.schema["embedding"], T.StructField("_targets", T.ArrayType(T.IntegerType()))]
-    return queries.mapInArrow(aim, T.StructType(kinds))
+    added = T._parse_datatype_string("embedding binary, _least double, _targets array<int>").fields
+    return queries.mapInArrow(aim, T.StructType([queries.schema["query_id"], *added]))
 
 
-def _scored_pairs(aimed: DataFrame, items: DataFrame, k: int, block_rows: int) -> tuple[DataFrame, int]:
+def _scored_pairs(aimed: DataFrame, items: DataFrame, k: int, block_rows: int, kinds: tuple[str, str]) -> tuple[DataFrame, int]:
     """The k best of every query within the regions it aims at; and the number of pairs that this scores.
 
-    A region's rows come in pieces and its queries in slices of about ``block_rows``; a piece and a slice
+    Products below a query's ``_least`` do not leave a task. A region's rows come in pieces and its queries in slices of about ``block_rows``; a piece and a slice
     are one group, scored by one matrix product.
     """
-    pairs = aimed.select("query_id", "embedding", F.explode("_targets").alias("_region"))
+    pairs = aimed.select("query_id", "embedding", "_least", F.explode("_targets").alias("_region"))
     asked = {r["_region"]: r["count"] for r in pairs.groupBy("_region").count().collect()}
     held = {r["_region"]: (r["n"], r["pieces"]) for r in items.groupBy("_region").agg(F.count(F.lit(1)).alias("n"), (F.max("_piece") + 1).alias("pieces")).collect()}
     # one row per region: a bounded number
@@ -269,7 +299,7 @@ def _scored_pairs(aimed: DataFrame, items: DataFrame, k: int, block_rows: int) -
         pairs.join(plan, "_region")
         .withColumn("_slice", F.pmod(F.xxhash64("query_id"), F.col("_slices")).cast("int"))
         .withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
-        .select("_region", "_piece", "_slice", "query_id", "embedding")
+        .select("_region", "_piece", "_slice", "query_id", "embedding", "_least")
     )
     right = (
         items.join(plan, "_region")
@@ -280,13 +310,14 @@ def _scored_pairs(aimed: DataFrame, items: DataFrame, k: int, block_rows: int) -
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
 
     def pair(asked: pa.Table, held: pa.Table) -> pa.Table:
-        kinds = [asked.schema.field("query_id").type, held.schema.field("item_id").type, pa.float64()]
+        types = [asked.schema.field("query_id").type, held.schema.field("item_id").type, pa.float64()]
         columns = [[], [], []]
         if asked.num_rows and held.num_rows:
             ids = [side.column(name).to_numpy(zero_copy_only=False) for side, name in ((asked, "query_id"), (held, "item_id"))]
-            best = _score_block(_vectors(asked.column("embedding")), ids[0], _vectors(held.column("embedding")), ids[1], k)
+            sides = [_vectors(side.column("embedding"), kind) for side, kind in zip((asked, held), kinds)]
+            best = _score_block(sides[0], ids[0], sides[1], ids[1], k, asked.column("_least").to_numpy())
             columns = [best[name].to_numpy() for name in ("query_id", "item_id", "similarity")]
-        return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=["query_id", "item_id", "similarity"])
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["query_id", "item_id", "similarity"])
 
     group = ["_region", "_piece", "_slice"]
     scored = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(pair, schema)
@@ -328,7 +359,8 @@ def batch_top_k(
         kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
         return items.sparkSession.createDataFrame([], f"{kinds}, similarity double, place int")
     centres = _spread(np.array([r["embedding"] for r in sample], dtype=np.float64), many)
-    placed = settle(_near_pivots(items, centres), "near-pivots")
+    kinds = (_kind(q), _kind(items))
+    placed = settle(_near_pivots(items, centres, kinds[1]), "near-pivots")
     widest = F.broadcast(placed.groupBy("_pivot").agg(F.max("_away").alias("_widest")))
     # ring 0 holds what lies on the pivot, the others equal parts of its reach
     ring = F.when(F.col("_away") == 0, 0).otherwise(F.least(F.ceil(F.col("_away") / F.col("_widest") * RINGS), F.lit(RINGS)))
@@ -352,12 +384,12 @@ def batch_top_k(
         ),
         "index-regions",
     )
-    aimed = settle(_aimed(q, regions, k, False), "first-regions")
-    scored, near_pairs = _scored_pairs(aimed, dealt, k, block_rows)
+    aimed = settle(_aimed(q, regions, k, kinds[0], False), "first-regions")
+    scored, near_pairs = _scored_pairs(aimed, dealt, k, block_rows, kinds)
     found = settle(_best(scored, k), "first-found")
     floor = found.groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("similarity")).otherwise(F.lit(float("-inf"))).alias("_least"))
-    again = settle(_aimed(aimed.select("query_id", "embedding").join(floor, "query_id"), regions, k, True), "other-regions")
-    more, far_pairs = _scored_pairs(again, dealt, k, block_rows)
+    again = settle(_aimed(aimed.select("query_id", "embedding").join(floor, "query_id"), regions, k, kinds[0], True), "other-regions")
+    more, far_pairs = _scored_pairs(again, dealt, k, block_rows, kinds)
     if report is not None:
         report |= {"scored": near_pairs + far_pairs, "all": n * aimed.count()}
     return _best(found.drop("place").unionByName(more), k)

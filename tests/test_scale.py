@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pytest
 
 from tessera.operators import search
 from tessera.plans import silver
@@ -37,3 +40,29 @@ def test_texts_do_not_move_to_be_placed(spark):
         assert "SortMergeJoin" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_products_below_the_floor_stay_in_their_task():
+    items, numbers = np.arange(20, dtype=float)[:, None], np.arange(20)
+    found = search._score_block(np.array([[1.0], [1.0]]), np.array([7, 8]), items, numbers, 5, np.array([18.0, -np.inf]))
+    assert [tuple(r) for r in found.itertuples(index=False)] == [(7, 19, 19.0), (7, 18, 18.0), *[(8, i, float(i)) for i in (19, 18, 17, 16, 15)]]
+
+
+@pytest.mark.parametrize(("kind", "of"), [("<f4", pa.float32()), ("<f8", pa.float64())])
+def test_packed_vectors_are_the_same(kind, of):
+    given = [[1.5, -0.1], [3e-30, 2.0], [0.0, 7.25]]
+    lists = pa.chunked_array([pa.array(given[:1], pa.list_(of)), pa.array(given[1:], pa.list_(of))])
+    plain = search._vectors(lists, kind)
+    assert plain.tolist() == np.array(given, dtype=kind).astype(float).tolist()
+    assert search._vectors(search._packed(plain, kind), kind).tolist() == plain.tolist()
+    with pytest.raises(ValueError):
+        search._vectors(pa.array([[1.0], [1.0, 2.0], [1.0, 2.0, 3.0]], pa.list_(of)), kind)
+
+
+def test_batch_top_k_of_doubles_is_exact(spark):
+    values = np.random.default_rng(3).normal(size=(80, 5))
+    index = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(values)], "id long, embedding array<double>")
+    queries = index.selectExpr("id AS q", "cast(embedding AS array<float>) AS embedding")
+    found = {(r.query_id, r.item_id, r.place) for r in search.batch_top_k(queries, index, 4, "q", "id", block_rows=16).collect()}
+    scores = np.round(values.astype(np.float32).astype(float) @ values.T, search.SCORE_DIGITS)
+    assert found == {(q, int(i), n + 1) for q, row in enumerate(scores) for n, i in enumerate(np.lexsort((np.arange(80), -row))[:4])}
