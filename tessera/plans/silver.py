@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import casts
-from tessera.functions.nested import literal_lookup
+from tessera.functions.nested import literal_lookup, worked_out
 from tessera.operators.keep import keep_one
 
 # Borough names as complaints write them and as listings write them.
@@ -89,10 +89,12 @@ def clean_complaints(raw: DataFrame, boroughs: dict[str, str] = BOROUGHS, unique
 
     ``unique`` also drops repeats of a complaint key, which overlapping pulls bring.
     """
-    rows = raw.select(
+    date = casts.iso_millis_to_date("created_date").alias("date")
+    borough = literal_lookup(boroughs, F.upper("borough")).alias("borough")
+    rows = raw.withColumn("_read", worked_out(F.struct(date, borough))).select(
         "unique_key",
-        casts.iso_millis_to_date("created_date").alias("complaint_date"),
-        literal_lookup(boroughs, F.upper("borough")).alias("borough"),
+        F.col("_read.date").alias("complaint_date"),
+        F.col("_read.borough").alias("borough"),
         "complaint_type",
         "descriptor",
         casts.to_double("latitude").alias("latitude"),

@@ -5,9 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import search
-from tessera.plans import silver
+from tessera.plans import gold, silver
 from tessera.sources import landing
 
 
@@ -66,3 +67,19 @@ def test_batch_top_k_of_doubles_is_exact(spark):
     found = {(r.query_id, r.item_id, r.place) for r in search.batch_top_k(queries, index, 4, "q", "id", block_rows=16).collect()}
     scores = np.round(values.astype(np.float32).astype(float) @ values.T, search.SCORE_DIGITS)
     assert found == {(q, int(i), n + 1) for q, row in enumerate(scores) for n, i in enumerate(np.lexsort((np.arange(80), -row))[:4])}
+
+
+def test_complaints_are_read_once_and_counted_by_type(spark):
+    day = "2024-05-06T01:02:03.000"
+    given = [("a", day, "X"), ("b", day, None), (None, day, "Y"), ("c", day, "X"), ("d", "2024-05-06", "X"), ("e", None, "X")]
+    raw = spark.createDataFrame(given, "unique_key string, created_date string, complaint_type string").selectExpr(
+        "*", "'queens' AS borough", "'' AS descriptor", "'1' AS latitude", "'2' AS longitude"
+    )
+    raw = raw.unionByName(raw.withColumn("borough", F.lit("Elsewhere")))
+    complaints = silver.clean_complaints(raw)
+    assert complaints.columns == ["unique_key", "complaint_date", "borough", "complaint_type", "descriptor", "latitude", "longitude", "year", "month"]
+    monthly = gold.noise_borough_month(complaints)
+    plan = optimized(monthly)
+    assert plan.count("RLIKE") == 1 and plan.count("Aggregate [") == 2
+    assert [tuple(r) for r in monthly.collect()] == [("Queens", 2024, 5, 3, ["X", "Y"])]
+    assert gold.noise_borough_month(complaints.filter("complaint_type IS NULL")).first().complaint_types == []
