@@ -89,10 +89,10 @@ class IndexStore:
     def bucket(self, key: str, buckets: int) -> Column:
         return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
-    def _write(self, rows: DataFrame, name: str, buckets: int) -> tuple[str, int]:
-        """Rows with ``_bucket`` to a folder of its own, one task a bucket; also their number."""
+    def _write(self, rows: DataFrame, name: str) -> tuple[str, int]:
+        """Rows with ``_bucket`` to a folder of its own, a large bucket by many tasks; also their number."""
         folder, seen = f"{self.root}/{name}-{uuid.uuid4().hex}", Observation()
-        dealt = rows.repartition(buckets, "_bucket").observe(seen, F.count(F.lit(1)).alias("rows"))
+        dealt = rows.hint("rebalance", "_bucket").observe(seen, F.count(F.lit(1)).alias("rows"))
         dealt.write.partitionBy("_bucket").parquet(folder)
         return folder, seen.get["rows"]
 
@@ -140,7 +140,7 @@ class IndexStore:
         newest = self.version()
         number = 0 if newest is None else newest.number + 1
         schema = _ddl(rows)
-        folder, n = self._write(self._known(rows).withColumn("_bucket", self.bucket(self.key, self.buckets)), "base", self.buckets)
+        folder, n = self._write(self._known(rows).withColumn("_bucket", self.bucket(self.key, self.buckets)), "base")
         return self._publish(Version(number, self.key, self.buckets, schema, {folder: list(range(self.buckets))})), n
 
     def apply(self, rows: DataFrame | None, gone: DataFrame | None = None) -> tuple[Version, int]:
@@ -167,7 +167,7 @@ class IndexStore:
                 )
             )
         delta = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        folder, n = self._write(delta.withColumn("_bucket", self.bucket(newest.key, newest.buckets)), "delta", newest.buckets)
+        folder, n = self._write(delta.withColumn("_bucket", self.bucket(newest.key, newest.buckets)), "delta")
         return self._publish(replace(newest, number=newest.number + 1, deltas=[*newest.deltas, folder])), n
 
     def upsert(self, incoming: DataFrame, version: str) -> tuple[Version, int]:
@@ -197,7 +197,7 @@ class IndexStore:
         # no more numbers than buckets
         touched = sorted(r["_bucket"] for r in changes.select("_bucket").distinct().collect())
         rows = self._merged(newest).filter(F.col("_bucket").isin(touched))
-        folder, _ = self._write(rows, "base", newest.buckets)
+        folder, _ = self._write(rows, "base")
         bases = {path: [b for b in held if b not in touched] for path, held in newest.bases.items()}
         bases = {path: held for path, held in bases.items() if held} | {folder: touched}
         return self._publish(replace(newest, number=newest.number + 1, bases=bases, deltas=[]))

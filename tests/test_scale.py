@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators import search
 from tessera.plans import gold, silver
+from tessera.session import scratch_path
 from tessera.sources import landing
+from tessera.sources.index_store import IndexStore
 
 
 def optimized(df) -> str:
@@ -83,3 +85,22 @@ def test_complaints_are_read_once_and_counted_by_type(spark):
     assert plan.count("RLIKE") == 1 and plan.count("Aggregate [") == 2
     assert [tuple(r) for r in monthly.collect()] == [("Queens", 2024, 5, 3, ["X", "Y"])]
     assert gold.noise_borough_month(complaints.filter("complaint_type IS NULL")).first().complaint_types == []
+
+
+def test_a_large_bucket_is_written_by_many_tasks(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    store = IndexStore(spark, scratch_path(spark, "one-bucket"), buckets=1)
+    given = spark.range(0, 20_000, 1, 8).selectExpr("cast(id AS string) AS id", "sha2(cast(id AS string), 512) AS document")
+    try:
+        spark.conf.set(name, "256k")
+        _, written = store.replace(given)
+        store.apply(given.filter("id < 10000").withColumn("document", F.lit("new")), given.select("id").filter("id >= 19000"))
+    finally:
+        spark.conf.set(name, before)
+    base, _ = list(store.version().bases), store.version().deltas
+    files = spark.read.parquet(base[0]).select(F.input_file_name().alias("f")).distinct().count()
+    assert written == 20_000 and files > 2
+    assert store.read().count() == 19_000 and store.read().filter("document = 'new'").count() == 10_000
+    store.compact()
+    assert store.read().count() == 19_000 and store.read().select("id").distinct().count() == 19_000
