@@ -105,7 +105,7 @@ def raw_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_complaints(spark: SparkSession, sf: str) -> DataFrame:
     """Every line item as a complaint; the seventh lines have no usable borough."""
-    region = table(spark, sf, "region")
+    region = table(spark, sf, "region").select("r_regionkey", F.initcap("r_name").alias("r_title"))
     rows = table(spark, sf, "lineitem").join(region, F.expr("l_suppkey % 5") == F.col("r_regionkey"))
     return rows.selectExpr(
         "concat(l_orderkey, '-', l_linenumber) AS unique_key",
@@ -113,7 +113,7 @@ def raw_complaints(spark: SparkSession, sf: str) -> DataFrame:
         "concat('Noise - ', l_returnflag) AS complaint_type",
         "l_linestatus AS descriptor",
         "cast(NULL AS string) AS incident_zip",
-        "CASE WHEN l_linenumber = 7 THEN 'Unspecified' ELSE initcap(r_name) END AS borough",
+        "CASE WHEN l_linenumber = 7 THEN 'Unspecified' ELSE r_title END AS borough",
         "cast(NULL AS string) AS community_board",
         "concat('40.', lpad(cast(l_partkey % 10000 AS string), 4, '0')) AS latitude",
         "concat('-73.', lpad(cast(l_partkey % 9973 AS string), 4, '0')) AS longitude",
