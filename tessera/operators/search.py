@@ -20,7 +20,7 @@ from tessera.functions.text import long_enough, strip, strip_citations
 from tessera.operators.keep import keep_first
 from tessera.operators.lookup import lookup_or_default
 from tessera.operators.strata import ranked_slices, sample_rows
-from tessera.session import settle
+from tessera.session import bound_batches, settle
 
 # The functions that run inside tasks travel by value: executors need numpy and pandas,
 # but not this package.
@@ -62,8 +62,9 @@ def embed(
 ) -> DataFrame:
     """Add an ``embedding`` column. ``load_encoder`` runs once per task, not per row.
 
-    Texts reach the encoder whole, ``batch`` at a time; only they leave the JVM.
+    Texts reach the encoder whole, ``batch`` at a time; only they leave the JVM, in batches bounded by bytes.
     """
+    bound_batches(documents.sparkSession)
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import search
 from tessera.plans import gold, silver
-from tessera.session import scratch_path
+from tessera.session import BATCH_BYTES, BATCH_SETTING, scratch_path
 from tessera.sources import landing
 from tessera.sources.index_store import IndexStore
 
@@ -104,3 +104,23 @@ def test_a_large_bucket_is_written_by_many_tasks(spark):
     assert store.read().count() == 19_000 and store.read().filter("document = 'new'").count() == 10_000
     store.compact()
     assert store.read().count() == 19_000 and store.read().select("id").distinct().count() == 19_000
+
+
+def test_texts_reach_the_encoder_in_batches_of_bytes(spark):
+    class Sizes:
+        """Encodes every text of a call as the number of characters of all of them."""
+
+        def __call__(self, texts):
+            return np.full((len(texts), 1), sum(map(len, texts)), dtype=np.float32)
+
+    before = spark.conf.get(BATCH_SETTING)
+    try:
+        spark.conf.unset(BATCH_SETTING)
+        texts = spark.range(0, 300, 1, 1).selectExpr("id", "repeat('x', 100000) AS text")
+        widest = search.embed(texts, "text", Sizes, batch=100_000).agg(F.max(F.col("embedding")[0])).first()[0]
+        assert 100_000 <= widest <= 2 * BATCH_BYTES
+        spark.conf.set(BATCH_SETTING, "12345678")
+        search.embed(texts, "text", Sizes)
+        assert spark.conf.get(BATCH_SETTING) == "12345678"  # a setting of the caller stays
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
